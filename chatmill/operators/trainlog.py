@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -83,10 +82,10 @@ def entry_step() -> Column:
 def merge_history(prior: DataFrame, current: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """Entries of an earlier run whose step the current run has not logged, and all current entries.
 
-    `keys` separates runs that are merged side by side. Adds `at`, the step to sort by.
+    `keys` separates runs that are merged side by side. Adds `at_step`, the step to sort by.
     """
-    prior, current = (df.withColumn("at", entry_step()) for df in (prior, current))
-    on = [*keys, "at"]
+    prior, current = (df.withColumn("at_step", entry_step()) for df in (prior, current))
+    on = [*keys, "at_step"]
     kept = prior.join(current.select(*on).distinct(), on, "left_anti")
     return kept.unionByName(current, allowMissingColumns=True)
 
@@ -96,7 +95,7 @@ def entry_series(entries: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
 
     Gradient norm and learning rate count only on entries that carry a training loss.
     """
-    step = F.col("at") if "at" in entries.columns else entry_step()
+    step = F.col("at_step") if "at_step" in entries.columns else entry_step()
     loss = F.col("loss")
 
     def point(tag: str, value: Column) -> Column:
@@ -159,7 +158,7 @@ def ema(
     keys = list(keys)
     rows = series.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).withColumn("__slice", F.spark_partition_id())
     schema = T.StructType([*rows.schema.fields, T.StructField("__ema", T.DoubleType()), T.StructField("__i", T.LongType())])
-    local = stage(rows.mapInPandas(partial(_smooth_slice, keys=keys, alpha=alpha), schema), "ema")
+    local = stage(rows.mapInPandas(lambda batches: _smooth_slice(batches, keys, alpha), schema), "ema")
     weight = F.pow(F.lit(1 - alpha), F.col("__i"))
 
     ends = local.groupBy(*keys, "__slice").agg(
@@ -167,7 +166,7 @@ def ema(
     )
     crossing = ends.withColumn("slices", F.count(F.lit(1)).over(Window.partitionBy(*keys))).filter(F.col("slices") > 1).drop("slices")
     out = T.StructType([*[local.schema[k] for k in keys], T.StructField("__slice", T.IntegerType()), T.StructField("__shift", T.DoubleType())])
-    carries = crossing.groupBy(*keys).applyInPandas(partial(_carry, keys=keys), out)
+    carries = crossing.groupBy(*keys).applyInPandas(lambda ends: _carry(ends, keys), out)
 
     joined = local.join(F.broadcast(carries), [*keys, "__slice"], "left")
     return joined.select(*series.columns, (F.col("__ema") + F.coalesce(weight * F.col("__shift"), F.lit(0.0))).alias(name))

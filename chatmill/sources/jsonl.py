@@ -24,9 +24,9 @@ def read_lines(spark: SparkSession, path: str | list[str], number: bool = False)
         strip(F.col("value")).alias("line"),
     )
     if number:
-        raw = number_rows(raw, ["file", "seq"], "__at")
-        first = raw.groupBy("file").agg(F.min("__at").alias("__first"))
-        raw = raw.join(first, "file").withColumn("line_no", F.col("__at") - F.col("__first") + 1).drop("__at", "__first")
+        raw = number_rows(raw, ["file", "seq"], "__line")
+        first = raw.groupBy("file").agg(F.min("__line").alias("__first"))
+        raw = raw.join(first, "file").withColumn("line_no", F.col("__line") - F.col("__first") + 1).drop("__line", "__first")
     return raw.filter(F.col("line") != "")
 
 
