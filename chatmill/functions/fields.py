@@ -17,7 +17,7 @@ def _same(p: Column, t: Column) -> Column:
         return F.lower(strip(x))
 
     return (
-        F.when((p["k"] == "list") & (t["k"] == "list"), F.array_sort(F.transform(p["l"], fold)) == F.array_sort(F.transform(t["l"], fold)))
+        F.when((p["k"] == "list") & (t["k"] == "list"), F.sort_array(F.transform(p["l"], fold)) == F.sort_array(F.transform(t["l"], fold)))
         .when((p["k"] == "text") & (t["k"] == "text"), fold(p["s"]) == fold(t["s"]))
         .otherwise((p["k"] == t["k"]) & (p["k"] != "nan") & p["s"].eqNullSafe(t["s"]))
     )
@@ -35,16 +35,16 @@ def score_fields(
     """
     names = [f.name for f in fields]
     df = df.withColumn("__v", field_views(names)(clean_reply(F.col(raw)), F.col(truth)))
+    p, t = (F.from_json(f"__v.{side}_view", FIELD_VIEW) for side in ("reply", "truth"))
     df = df.withColumns(
         {
             "predicted": F.col("__v.json"),
             "strategy": F.col("__v.strategy"),
             "status": F.when(F.col("__v.json").isNull(), "parse_error").otherwise("ok"),
-            "__p": F.from_json("__v.reply_view", FIELD_VIEW),
-            "__t": F.from_json("__v.truth_view", FIELD_VIEW),
+            "__same": F.zip_with(p, t, _same),
         }
     )
-    df = df.withColumns({f"field_{n}": _same(F.get("__p", F.lit(i)), F.get("__t", F.lit(i))) for i, n in enumerate(names)})
-    matched = sum((F.col(f"field_{n}").cast("int") for n in names), F.lit(0))
+    df = df.withColumns({f"field_{n}": F.get("__same", F.lit(i)) for i, n in enumerate(names)})
+    matched = F.size(F.filter("__same", lambda same: same))
     df = df.withColumns({"fields_matched": matched, "fields_total": F.lit(len(names))})
-    return df.withColumn("field_accuracy", F.bround(F.col("fields_matched") / F.col("fields_total"), 4)).drop("__v", "__p", "__t")
+    return df.withColumn("field_accuracy", F.bround(F.col("fields_matched") / F.col("fields_total"), 4)).drop("__v", "__same")

@@ -14,22 +14,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatmill.functions.text import let, normalize, strip_thinking
+from chatmill.functions.text import fold_spaces, let, normalize, strip_thinking
 
 
 def words(text: Column) -> Column:
-    """White-space tokens of the normalised text."""
-    return F.filter(F.split(normalize(text), " ", -1), lambda t: t != "")
+    """White-space tokens of the lower-cased text."""
+    return F.filter(F.split(fold_spaces(F.lower(text)), " ", -1), lambda t: t != "")
 
 
 def rouge_tokens(text: Column) -> Column:
     """Runs of a-z and 0-9 of the lower-cased text; every other character separates."""
-    return F.filter(F.split(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "), " ", -1), lambda t: t != "")
+    return F.filter(F.split(F.lower(text), "[^a-z0-9]+", -1), lambda t: t != "")
 
 
 def bigrams(tokens: Column) -> Column:
-    pairs = F.transform(F.sequence(F.lit(1), F.size(tokens) - 1), lambda i: F.concat_ws(" ", F.get(tokens, i - 1), F.get(tokens, i)))
-    return F.when(F.size(tokens) < 2, F.array().cast("array<string>")).otherwise(pairs)
+    """Neighbouring tokens as one text each; none for fewer than two tokens."""
+    return let(tokens, lambda s: F.filter(F.transform(s, lambda x, i: F.when(i > 0, F.concat_ws(" ", F.get(s, i - 1), x))), lambda g: g.isNotNull()))
 
 
 def _count_repeats(tokens: Column) -> Column:
@@ -58,7 +58,7 @@ def _count_repeats(tokens: Column) -> Column:
 
 def bag_overlap(a: Column, b: Column) -> Column:
     """Size of the multiset intersection of two token arrays (neither token may end in a space and a number)."""
-    return F.size(F.array_intersect(_count_repeats(a), _count_repeats(b)))
+    return let(F.transform(F.array(a, b), _count_repeats), lambda x: F.size(F.array_intersect(F.get(x, F.lit(0)), F.get(x, F.lit(1)))))
 
 
 def f_measure(overlap: Column, n_pred: Column, n_ref: Column) -> Column:
@@ -74,22 +74,35 @@ def _bag_f(pair: Column) -> Column:
     )
 
 
+def _word_pair(pred: Column, ref: Column) -> Column:
+    return F.struct(words(pred).alias("p"), words(ref).alias("r"))
+
+
+def _rouge_pairs(pred: Column, ref: Column) -> Column:
+    """Token pairs of the one-gram and the two-gram score."""
+    ones = F.transform(F.array(pred, ref), rouge_tokens)
+
+    def pairs(one: Column) -> Column:
+        return let(
+            F.transform(one, bigrams),
+            lambda two: F.transform(F.array(one, two), lambda x: F.struct(F.get(x, F.lit(0)).alias("p"), F.get(x, F.lit(1)).alias("r"))),
+        )
+
+    return let(ones, pairs)
+
+
 def exact_match(pred: Column, ref: Column) -> Column:
     return (normalize(pred) == normalize(ref)).cast("double")
 
 
 def token_f1(pred: Column, ref: Column) -> Column:
-    return let(F.struct(words(pred).alias("p"), words(ref).alias("r")), _bag_f)
+    return let(_word_pair(pred, ref), _bag_f)
 
 
 def rouge_1_2(pred: Column, ref: Column) -> Column:
     """STRUCT<rouge1_f, rouge2_f>, rounded to 6 places."""
-
-    def both(pair: Column) -> Column:
-        two = F.struct(bigrams(pair["p"]).alias("p"), bigrams(pair["r"]).alias("r"))
-        return F.struct(F.bround(_bag_f(pair), 6).alias("rouge1_f"), F.bround(let(two, _bag_f), 6).alias("rouge2_f"))
-
-    return let(F.struct(rouge_tokens(pred).alias("p"), rouge_tokens(ref).alias("r")), both)
+    scores = F.transform(_rouge_pairs(pred, ref), _bag_f)
+    return let(scores, lambda s: F.struct(*[F.bround(F.get(s, F.lit(i)), 6).alias(f"rouge{i + 1}_f") for i in range(2)]))
 
 
 _WORD = re.compile("[a-z0-9]+")
@@ -143,10 +156,11 @@ def score_columns(df, raw: str = "raw_response", truth: str = "ground_truth", al
     """
     df = df.withColumn("response", strip_thinking(F.col(raw)))
     pred, ref = F.col("response"), F.col(truth)
-    df = df.withColumns(
-        {"exact_match": exact_match(pred, ref), "token_f1": token_f1(pred, ref), "__rouge": rouge_1_2(pred, ref)}
-    )
-    df = df.withColumns({"rouge1_f": F.col("__rouge.rouge1_f"), "rouge2_f": F.col("__rouge.rouge2_f")}).drop("__rouge")
+    # One expression for the three bag scores keeps the plan small.
+    bags = F.transform(F.concat(F.array(_word_pair(pred, ref)), _rouge_pairs(pred, ref)), _bag_f)
+    df = df.withColumns({"exact_match": exact_match(pred, ref), "__bags": bags})
+    one, two = (F.bround(F.get("__bags", F.lit(i)), 6) for i in (1, 2))
+    df = df.withColumns({"token_f1": F.get("__bags", F.lit(0)), "rouge1_f": one, "rouge2_f": two}).drop("__bags")
     if alignment:
         df = df.withColumn("__al", alignment_scores(pred, ref))
         df = df.withColumns({"rougeL_f": F.col("__al.rougeL_f"), "edit_sim": F.col("__al.edit_sim")}).drop("__al")

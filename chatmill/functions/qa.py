@@ -9,7 +9,7 @@ from chatmill.functions.options import expand_questions
 from chatmill.functions.text import LINE_END, SPACE, let, rstrip
 
 # The separator line and the question prefix of the format.
-SEPARATOR = rf"(?md)^--[{SPACE}]*$"
+SEPARATOR = rf"(?mdU)^--[{SPACE}]*$"
 QUESTION_PREFIX = "> "
 
 NO_PREFIX = "no question prefix"

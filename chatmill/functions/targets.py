@@ -15,16 +15,30 @@ from chatmill.functions.repair import read_object
 from chatmill.functions.text import let
 from chatmill.schemas import PROFILE_FIELDS, FieldSpec
 
-# Short escapes of JSON text; other control characters are written as \u00xx.
-_ESCAPES = {"\\": "\\\\", '"': '\\"', "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+# Control characters that JSON text writes as \u00xx, having no short escape.
+_NO_SHORT_ESCAPE = r"[\x00-\x07\x0b\x0e-\x1f]"
+
+
+def _inner(text: Column) -> Column:
+    """The escaped text between the quotes, by Spark's own writer."""
+    return let(F.to_json(F.array(text)), lambda w: F.substring(w, F.lit(3), F.length(w) - 4))
 
 
 def quote(text: Column) -> Column:
-    """A JSON string literal; only quotes, backslashes and control characters are escaped."""
-    body = reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), _ESCAPES.items(), text)
-    rest = [chr(i) for i in range(32) if chr(i) not in _ESCAPES]
-    full = reduce(lambda c, ch: F.replace(c, F.lit(ch), F.lit(f"\\u{ord(ch):04x}")), rest, body)
-    return F.concat(F.lit('"'), F.when(text.rlike(r"[\x00-\x1f]"), full).otherwise(body), F.lit('"'))
+    """A JSON string literal; only quotes, backslashes and control characters are escaped.
+
+    Spark writes \\u00xx in upper case: texts that need such an escape are written character by character.
+    """
+
+    def escape(ch: Column) -> Column:
+        code = F.lower(F.lpad(F.hex(F.ascii(ch)), 4, "0"))
+        return F.when(ch.rlike(_NO_SHORT_ESCAPE), F.concat(F.lit("\\u"), code)).otherwise(_inner(ch))
+
+    def body(t: Column) -> Column:
+        special = F.when(~t.rlike(_NO_SHORT_ESCAPE), _inner(t)).otherwise(F.array_join(F.transform(F.split(t, "", -1), escape), ""))
+        return F.when(~t.rlike(r'["\\\x00-\x1f]'), t).otherwise(special)
+
+    return F.concat(F.lit('"'), let(text, body), F.lit('"'))
 
 
 def strict_json(text: Column) -> Column:
@@ -99,38 +113,38 @@ def with_ordered_target(
     the schema asks for, are written by built-in expressions; only a record with other values in its lists
     or with unknown keys is sent to an Arrow UDF, which sees null for all others.
     """
-    known = F.array(*[F.lit(f.name) for f in fields])
-    dates = [f.name for f in fields if f.is_date]
-    source = F.col(text)
-
-    def text_of(v: Column, f: FieldSpec) -> Column:
-        if f.is_list:
-            items = F.try_variant_get(v, f'$["{f.name}"]', "array<string>")
-            lines = F.transform(items, lambda x: F.concat(F.lit("    "), F.when(x.isNull(), "null").otherwise(quote(x))))
-            return F.when(F.size(items) == 0, "[]").otherwise(F.concat(F.lit("[\n"), F.array_join(lines, ",\n"), F.lit("\n  ]")))
-        value = F.try_variant_get(v, f'$["{f.name}"]', "string")
-        return F.when(value.isNull(), "null").otherwise(quote(reformat_date(value, fmt) if f.is_date else value))
-
-    def is_plain(v: Column) -> Column:
-        def fits(f: FieldSpec) -> Column:
-            kinds = ("ARRAY<STRING>", "ARRAY<VOID>") if f.is_list else ("STRING", "VOID")
-            return F.coalesce(_kind(v, f.name).isin(*kinds), F.lit(True))
-
-        no_others = F.size(F.array_except(F.json_object_keys(source), known)) == 0
-        return reduce(lambda a, b: a & b, map(fits, fields), v.isNotNull() & F.coalesce(no_others, F.lit(False)))
-
-    def written(v: Column) -> Column:
-        keys = F.json_object_keys(source)
+    texts, lists = [f for f in fields if not f.is_list], [f for f in fields if f.is_list]
+    date_field = next((f.name for f in fields if f.is_date), "")
+    known = F.array(*[F.lit(f.name) for f in texts + lists])
+    value, keys, is_plain, typed = F.col("__value"), F.col("__keys"), F.col("__plain"), F.col("__typed")
+
+    def fits(f: FieldSpec) -> Column:
+        kinds = ("ARRAY<STRING>", "ARRAY<VOID>") if f.is_list else ("STRING", "VOID")
+        return F.coalesce(_kind(value, f.name).isin(*kinds), F.lit(True))
+
+    def literal(x: Column) -> Column:
+        return F.coalesce(quote(x), F.lit("null"))
+
+    def block(items: Column) -> Column:
+        lines = F.transform(items, lambda x: F.concat(F.lit("    "), literal(x)))
+        return F.when(F.size(items) == 0, "[]").otherwise(F.concat(F.lit("[\n"), F.array_join(lines, ",\n"), F.lit("\n  ]")))
+
+    def write(values: Column) -> Column:
         full = F.concat(F.array_intersect(order, keys), F.array_except(keys, order))
-        pieces = F.create_map(*[x for f in fields for x in (F.lit(f.name), text_of(v, f))])
-        lines = let(pieces, lambda m: F.transform(full, lambda k: F.concat(F.lit("  "), quote(k), F.lit(": "), m[k])))
-        return F.when(F.size(keys) == 0, "{}").otherwise(F.concat(F.lit("{\n"), F.array_join(lines, ",\n"), F.lit("\n}")))
-
-    df = df.withColumn(
-        "__target",
-        let(strict_json(source), lambda v: let(is_plain(v), lambda ok: F.struct(ok.alias("ok"), F.when(ok, written(v)).alias("text")))),
-    )
-    name = dates[0] if dates else ""
-    day = reformat_date(F.get_json_object(source, f"$.{name}"), fmt) if dates else F.lit(None).cast("string")
-    other = _pretty(F.when(~F.col("__target.ok"), source), order, F.lit(name), day)
-    return df.withColumn(out, F.coalesce(F.col("__target.text"), other)).drop("__target")
+        lines = F.transform(full, lambda k: F.concat(F.lit("  "), quote(k), F.lit(": "), F.get(values, F.array_position(known, k).cast("int") - 1)))
+        return F.when(F.size(full) == 0, "{}").otherwise(F.concat(F.lit("{\n"), F.array_join(lines, ",\n"), F.lit("\n}")))
+
+    schema = T.StructType([T.StructField(f.name, T.ArrayType(T.StringType()) if f.is_list else T.StringType()) for f in fields])
+    no_others = value.isNotNull() & F.coalesce(F.size(F.array_except(keys, known)) == 0, F.lit(False))
+    # Step by step, so that what is used several times is computed once per row; the values are written by one
+    # expression for all text fields and one for all list fields, which keeps the plan small.
+    df = df.withColumns({"__value": strict_json(F.col(text)), "__keys": F.json_object_keys(text)})
+    df = df.withColumn("__plain", reduce(lambda a, b: a & b, map(fits, fields), no_others))
+    df = df.withColumn("__typed", F.when(is_plain, F.from_json(text, schema)))
+    date = F.when(is_plain, typed[date_field]).otherwise(F.get_json_object(text, f"$.{date_field}")) if date_field else F.lit(None).cast("string")
+    df = df.withColumn("__day", reformat_date(date, fmt))
+    plain_texts = F.transform(F.array(*[F.col("__day") if f.is_date else typed[f.name] for f in texts]), literal)
+    plain_lists = F.transform(F.array(*[typed[f.name] for f in lists]), block) if lists else F.array().cast("array<string>")
+    native = F.when(is_plain, let(F.concat(plain_texts, plain_lists), write))
+    others = _pretty(F.when(~is_plain, F.col(text)), F.when(~is_plain, order), F.lit(date_field), F.when(~is_plain, F.col("__day")))
+    return df.withColumn(out, F.coalesce(native, others)).drop("__value", "__keys", "__plain", "__typed", "__day")

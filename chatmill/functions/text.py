@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters counted as white space by str.strip, str.split and \s in Python,
-# written as a Java character class. Java's own \s and Spark's trim know fewer of them.
-SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# The characters counted as white space by str.strip, str.split and \\s in Python: those with
+# the Unicode property, and the four separators U+001C to U+001F. To be used in patterns with the flag U.
+SPACE = r"\s\x1c-\x1f"
+SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 # The line ends known to str.splitlines in Python.
 LINE_END = r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85\u2028\u2029]"
@@ -28,16 +29,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def strip(text: Column) -> Column:
     """Drop white space at both ends, with Python's idea of white space."""
-    return F.regexp_replace(text, rf"\A[{SPACE}]++|(?<![{SPACE}])[{SPACE}]++\z", "")
+    return F.trim(text, F.lit(SPACES))
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?<![{SPACE}])[{SPACE}]++\z", "")
+    return F.rtrim(text, F.lit(SPACES))
+
+
+def fold_spaces(text: Column) -> Column:
+    """Turn every white space run into one space."""
+    return F.regexp_replace(text, f"(?U)[{SPACE}]+", " ")
 
 
 def normalize(text: Column) -> Column:
     """Lower-case, fold white space runs to one space, drop it at the ends."""
-    return F.trim(F.regexp_replace(F.lower(text), f"[{SPACE}]+", " "))
+    return F.trim(fold_spaces(F.lower(text)))
 
 
 def strip_thinking(text: Column) -> Column:
@@ -50,12 +56,15 @@ def strip_think_blocks(text: Column) -> Column:
     return strip(F.regexp_replace(text, f"(?s){THINK_BLOCK}", ""))
 
 
+def _cut_end(text: Column, mark: str) -> Column:
+    """A stripped text without the mark at its end."""
+    return F.when(text.endswith(mark), rstrip(F.substring(text, F.lit(1), F.length(text) - len(mark)))).otherwise(text)
+
+
 def strip_code_fences(text: Column) -> Column:
     """Remove a backtick fence and then a tilde fence around the text."""
-    text = F.regexp_replace(strip(text), rf"(?iu)\A```(?:json|python|text)?[{SPACE}]*", "")
-    text = F.regexp_replace(text, rf"(?<![{SPACE}])[{SPACE}]*```[{SPACE}]*\z", "")
-    text = F.regexp_replace(text, rf"(?iu)\A~~~(?:json)?[{SPACE}]*", "")
-    return strip(F.regexp_replace(text, rf"(?<![{SPACE}])[{SPACE}]*~~~[{SPACE}]*\z", ""))
+    text = _cut_end(F.regexp_replace(strip(text), rf"(?iU)\A```(?:json|python|text)?[{SPACE}]*", ""), "```")
+    return strip(_cut_end(F.regexp_replace(text, rf"(?iU)\A~~~(?:json)?[{SPACE}]*", ""), "~~~"))
 
 
 def truncate(text: Column, width: int = 45) -> Column:

@@ -108,7 +108,7 @@ def expand_question_options(t: Tables):
     template = F.concat(
         F.lit("Is the {"), F.replace("p_name", F.lit(" "), F.lit(", ")), F.lit(", _} part { "), F.concat_ws(",", "p_brand", "p_type", "p_brand"), F.lit("}?")
     )
-    rows = t.part.select("p_partkey", template.alias("question"))
+    rows = t.spread("part").select("p_partkey", template.alias("question"))
     return expand_questions(rows).select("p_partkey", "option_no", "question")
 
 
@@ -236,5 +236,5 @@ SELECT o_orderkey, value,
 FROM m
 """)
 def date_formats(t: Tables):
-    rows = t.orders.select("o_orderkey", F.expr(DATE_SQL).alias("value"))
+    rows = t.spread("orders").select("o_orderkey", F.expr(DATE_SQL).alias("value"))
     return rows.select("*", *[reformat_date(F.col("value"), F.lit(i)).alias(f"fmt_{i}") for i in range(6)])

@@ -38,29 +38,39 @@ VALUES_SQL = {
 }
 
 
-def _object_sql(skip: str | None = None, change: dict[str, str] | None = None, extra: str = "") -> str:
-    values = {k: v for k, v in (VALUES_SQL | (change or {})).items() if k != skip}
-    return "'{' || " + " || ',' || ".join(f"'\"{k}\":' || {v}" for k, v in values.items()) + f" || '{extra}}}'"
+def _pair(field: str, value: str | None = None) -> str:
+    return f"'\"{field}\":' || {value or VALUES_SQL[field]}"
+
+
+TARGET_SQL = "'{' || " + " || ',' || ".join(map(_pair, VALUES_SQL)) + " || '}'"
+
+
+def _with(*changes: tuple[str, str]) -> str:
+    """The target with new values for some fields."""
+    out = "target"
+    for field, value in changes:
+        out = f"replace({out}, {_pair(field)}, {_pair(field, value)})"
+    return out
 
 
-TARGET_SQL = _object_sql()
 FAULTY_SQL = f"""
 CASE c_custkey % 9
-  WHEN 1 THEN {_object_sql(skip="languages")}
-  WHEN 2 THEN {_object_sql(change={"education": "'null'"})}
-  WHEN 3 THEN {_object_sql(change={"skills": "'\"' || c_mktsegment || '\"'"})}
-  WHEN 4 THEN {_object_sql(change={"nationality": "'5'"})}
-  WHEN 5 THEN {_object_sql(extra=',"zip":"1"')}
-  WHEN 6 THEN '[' || {TARGET_SQL} || ']'
-  WHEN 7 THEN substr({TARGET_SQL}, 1, 100)
-  WHEN 8 THEN {TARGET_SQL} || ' end'
-  ELSE {TARGET_SQL} END
+  WHEN 1 THEN replace(target, {_pair("languages")} || ',', '')
+  WHEN 2 THEN {_with(("education", "'null'"))}
+  WHEN 3 THEN {_with(("skills", "'\"' || c_mktsegment || '\"'"))}
+  WHEN 4 THEN {_with(("nationality", "'5'"))}
+  WHEN 5 THEN substr(target, 1, length(target) - 1) || ',"zip":"1"}}'
+  WHEN 6 THEN '[' || target || ']'
+  WHEN 7 THEN substr(target, 1, 100)
+  WHEN 8 THEN target || ' end'
+  ELSE target END
 """
-BASE_SQL = "FROM customer JOIN nation ON c_nationkey = n_nationkey"
+BASE_SQL = f"FROM (SELECT *, {TARGET_SQL} AS target FROM customer JOIN nation ON c_nationkey = n_nationkey)"
 
 
 def _customers(t: Tables, **texts: str) -> DataFrame:
-    rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = t.spread("customer").join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = rows.withColumn("target", F.expr(TARGET_SQL))
     return rows.select("c_custkey", "c_nationkey", *[F.expr(sql).alias(name) for name, sql in texts.items()])
 
 
@@ -121,7 +131,7 @@ w AS (SELECT *, CASE WHEN variant = 0 THEN {NAMES!r} ELSE mixed END AS field_ord
 
 @query(f"WITH {ORDER_SQL} SELECT c_custkey, variant, array_to_string(field_order, ',') AS field_order, date_fmt FROM w")
 def augment_fields(t: Tables):
-    rows = with_variants(t.customer.select("c_custkey"), "c_custkey", 3, 42)
+    rows = with_variants(t.spread("customer").select("c_custkey"), "c_custkey", 3, 42)
     return rows.select("c_custkey", "variant", F.array_join("field_order", ",").alias("field_order"), "date_fmt")
 
 
@@ -151,7 +161,7 @@ PROMPT_SQL = f"""replace({_sql_text(_WORDING.intro)} || chr(10) || chr(10)
 
 @query(f"WITH {ORDER_SQL} SELECT c_custkey, variant, {PROMPT_SQL} AS prompt FROM w")
 def schema_prompt(t: Tables):
-    rows = with_variants(t.customer.select("c_custkey"), "c_custkey", 3, 42)
+    rows = with_variants(t.spread("customer").select("c_custkey"), "c_custkey", 3, 42)
     return rows.select("c_custkey", "variant", prompt_column(F.col("field_order"), F.col("date_fmt")).alias("prompt"))
 
 
@@ -173,15 +183,15 @@ DAYS_SQL = f"d AS (SELECT *, {BIRTH_SQL} AS birth, strptime({BIRTH_SQL}, '%d.%m.
 
 @query(f"WITH {ORDER_SQL}, {DAYS_SQL} SELECT c_custkey, variant, {PRETTY_SQL} AS target FROM d")
 def ordered_json(t: Tables):
-    rows = with_variants(_customers(t, json_text=TARGET_SQL), "c_custkey", 3, 42)
+    rows = with_variants(_customers(t, json_text="target"), "c_custkey", 3, 42)
     rows = with_ordered_target(rows, "json_text", F.col("field_order"), F.col("date_fmt"))
     return rows.select("c_custkey", "variant", "target")
 
 
 @query(f"""
-WITH {ORDER_SQL}, {DAYS_SQL}, p AS (SELECT *, {PROMPT_SQL} AS prompt, {PRETTY_SQL} AS target FROM d)
+WITH {ORDER_SQL}, {DAYS_SQL}, p AS (SELECT *, {PROMPT_SQL} AS prompt, {PRETTY_SQL} AS pretty FROM d)
 SELECT doc_id AS sample, variant, md5('<|im_start|>system' || chr(10) || prompt || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10)
-  || trim(text, ' ' || chr(9) || chr(10) || chr(13)) || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) || target || '<|im_end|>' || chr(10)) AS record_key
+  || trim(text, ' ' || chr(9) || chr(10) || chr(13)) || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) || pretty || '<|im_end|>' || chr(10)) AS record_key
 FROM documents JOIN p ON doc_id = c_custkey WHERE c_custkey % 9 = 0 AND c_custkey % 10 <> 7
 """)
 def cv_records(t: Tables):
@@ -201,16 +211,16 @@ def cv_tasks(t: Tables):
 
 REPLY_SQL = f"""
 CASE c_custkey % 10
-  WHEN 0 THEN {TARGET_SQL}
-  WHEN 1 THEN '```json' || chr(10) || {TARGET_SQL} || chr(10) || '```'
-  WHEN 2 THEN '<think>{{"name": 1}}</think>' || chr(10) || '~~~' || chr(10) || {TARGET_SQL} || chr(10) || '~~~'
-  WHEN 3 THEN 'Here it is: ' || {TARGET_SQL} || ' Done }}.'
-  WHEN 4 THEN replace({TARGET_SQL}, '"]', '",]')
-  WHEN 5 THEN replace({_object_sql(change={"languages": "'[]'", "skills": "'[]'", "products": "'[]'"})}, '"', chr(39))
-  WHEN 6 THEN substr({TARGET_SQL}, 1, length({TARGET_SQL}) - 2)
+  WHEN 0 THEN target
+  WHEN 1 THEN '```json' || chr(10) || target || chr(10) || '```'
+  WHEN 2 THEN '<think>{{"name": 1}}</think>' || chr(10) || '~~~' || chr(10) || target || chr(10) || '~~~'
+  WHEN 3 THEN 'Here it is: ' || target || ' Done }}.'
+  WHEN 4 THEN replace(target, '"]', '",]')
+  WHEN 5 THEN replace({_with(("languages", "'[]'"), ("skills", "'[]'"), ("products", "'[]'"))}, '"', chr(39))
+  WHEN 6 THEN substr(target, 1, length(target) - 2)
   WHEN 7 THEN 'I cannot read ' || c_name
-  WHEN 8 THEN '[' || {TARGET_SQL}
-  ELSE substr({TARGET_SQL}, 1, 40) END
+  WHEN 8 THEN '[' || target
+  ELSE substr(target, 1, 40) END
 """
 
 
@@ -233,11 +243,11 @@ def repair_json(t: Tables):
 EDITED_SQL = f"""
 CASE c_custkey % 8
   WHEN 1 THEN 'no object'
-  WHEN 2 THEN {_object_sql(skip="gender", change={"name": "'\"  ' || c_name || ' \"'", "nationality": "'\"' || lower(n_name) || '\"'"})}
-  WHEN 3 THEN {_object_sql(change={"languages": "'[\"' || lower(n_name) || ' b2\",\" deutsch c1\"]'", "education": "'null'"})}
-  WHEN 4 THEN {_object_sql(change={"email": "'5'", "products": "'\"Ü\"'"})}
-  WHEN 5 THEN {_object_sql(change={"skills": "'[\"' || c_mktsegment || '\",\"' || c_mktsegment || '\"]'", "address": "'null'"})}
-  ELSE {TARGET_SQL} END
+  WHEN 2 THEN replace({_with(("name", "'\"  ' || c_name || ' \"'"), ("nationality", "'\"' || lower(n_name) || '\"'"))}, {_pair("gender")} || ',', '')
+  WHEN 3 THEN {_with(("languages", "'[\"' || lower(n_name) || ' b2\",\" deutsch c1\"]'"), ("education", "'null'"))}
+  WHEN 4 THEN {_with(("email", "'5'"), ("products", "'\"Ü\"'"))}
+  WHEN 5 THEN {_with(("skills", "'[\"' || c_mktsegment || '\",\"' || c_mktsegment || '\"]'"), ("address", "'null'"))}
+  ELSE target END
 """
 
 
@@ -257,7 +267,7 @@ s AS (SELECT *, CASE WHEN k = 1 THEN 'parse_error' ELSE 'ok' END AS status, {MAT
 
 
 def _scored(t: Tables) -> DataFrame:
-    return score_fields(_customers(t, raw_response=EDITED_SQL, ground_truth=TARGET_SQL))
+    return score_fields(_customers(t, raw_response=EDITED_SQL, ground_truth="target"))
 
 
 @query(

@@ -58,7 +58,7 @@ F1_SQL, R1_SQL, R2_SQL = _f_sql("ow", "wp", "wr"), _f_sql("o1", "p1", "r1"), _f_
 
 
 def replies(t: Tables) -> DataFrame:
-    pairs = reply_pairs(t.conversations)
+    pairs = reply_pairs(t.spread("conversations"))
     return pairs.select("conv_id", "turn", F.expr(RAW_SQL).alias("raw_response"), F.col("reply").alias("ground_truth"))
 
 
