@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +23,7 @@ REPLY = (
     T.StructField("status", T.StringType()),
     T.StructField("timestamp", T.TimestampType()),
 )
+_ARROW = {"raw_response": pa.string(), "latency_s": pa.float64(), "status": pa.string(), "timestamp": pa.timestamp("us", "UTC")}
 
 
 @dataclass(frozen=True)
@@ -86,7 +87,7 @@ def ask_model(
     Rows are asked and handed on in blocks of a few per thread, so no task holds more than that.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = client_factory()
         block = settings.threads * 16
 
@@ -98,12 +99,14 @@ def ask_model(
 
         with ThreadPoolExecutor(settings.threads) as pool:
             for batch in batches:
-                for at in range(0, len(batch), block):
-                    rows = batch.iloc[at : at + block]
-                    replies = list(pool.map(one, zip(rows[system], rows[user], strict=True)))
-                    yield rows.assign(**{f.name: [r[f.name] for r in replies] for f in REPLY})
-
-    return tasks.mapInPandas(run, T.StructType([*tasks.schema.fields, *REPLY]))
+                for at in range(0, batch.num_rows, block):
+                    rows = batch.slice(at, block)
+                    texts = (rows.column(name).to_pylist() for name in (system, user))
+                    replies = list(pool.map(one, zip(*texts, strict=True)))
+                    columns = [pa.array([r[name] for r in replies], kind) for name, kind in _ARROW.items()]
+                    yield pa.RecordBatch.from_arrays([*rows.columns, *columns], [*rows.schema.names, *_ARROW])
+
+    return tasks.mapInArrow(run, T.StructType([*tasks.schema.fields, *REPLY]))
 
 
 def _blank_unless_answered(df: DataFrame, names: list[str]) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -111,21 +113,22 @@ def entry_series(entries: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     return rows.select(*keys, F.col("p.tag").alias("tag"), "step", F.col("p.value").alias("value"))
 
 
-def _smooth_slice(batches: Iterator[pd.DataFrame], keys: list[str], alpha: float) -> Iterator[pd.DataFrame]:
+def _smooth_slice(batches: Iterator[pa.RecordBatch], keys: list[str], alpha: float) -> Iterator[pa.RecordBatch]:
     """Smooth one sorted slice, each series from its first value in the slice; `__i` counts its rows from 1."""
-    open_key, before, done = None, None, 0
+    open_key, before, done = None, [], 0
     for batch in batches:
-        out = []
-        for key, rows in batch.groupby(keys, sort=False, dropna=False):
+        frame = batch.select([*keys, "value"]).to_pandas()
+        smooth, place = np.empty(len(frame)), np.empty(len(frame), dtype=np.int64)
+        for key, rows in frame.groupby(keys, sort=False, dropna=False)["value"]:
             if key != open_key:
                 open_key, before, done = key, [], 0
-            values = pd.Series([*before, *rows["value"]], dtype="float64")
+            values = pd.Series([*before, *rows], dtype="float64")
             # ewm skips NaN, the recursion does not: everything after a NaN is NaN.
-            smooth = values.ewm(alpha=alpha, adjust=False).mean().mask(values.isna().cummax())
-            out.append(rows.assign(__ema=smooth.iloc[len(before) :].to_numpy(), __i=range(done + 1, done + 1 + len(rows))))
-            before, done = [smooth.iloc[-1]], done + len(rows)
-        if out:
-            yield pd.concat(out)
+            run = values.ewm(alpha=alpha, adjust=False).mean().mask(values.isna().cummax()).to_numpy()
+            smooth[rows.index] = run[len(before) :]
+            place[rows.index] = np.arange(done + 1, done + 1 + len(rows))
+            before, done = [run[-1]], done + len(rows)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(smooth), pa.array(place)], [*batch.schema.names, "__ema", "__i"])
 
 
 def _carry(ends: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
@@ -158,7 +161,7 @@ def ema(
     keys = list(keys)
     rows = series.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).withColumn("__slice", F.spark_partition_id())
     schema = T.StructType([*rows.schema.fields, T.StructField("__ema", T.DoubleType()), T.StructField("__i", T.LongType())])
-    local = stage(rows.mapInPandas(lambda batches: _smooth_slice(batches, keys, alpha), schema), "ema")
+    local = stage(rows.mapInArrow(lambda batches: _smooth_slice(batches, keys, alpha), schema), "ema")
     weight = F.pow(F.lit(1 - alpha), F.col("__i"))
 
     ends = local.groupBy(*keys, "__slice").agg(
@@ -167,6 +170,8 @@ def ema(
     crossing = ends.withColumn("slices", F.count(F.lit(1)).over(Window.partitionBy(*keys))).filter(F.col("slices") > 1).drop("slices")
     out = T.StructType([*[local.schema[k] for k in keys], T.StructField("__slice", T.IntegerType()), T.StructField("__shift", T.DoubleType())])
     carries = crossing.groupBy(*keys).applyInPandas(lambda ends: _carry(ends, keys), out)
+    # pandas hands NaN back as null.
+    carries = carries.withColumn("__shift", F.coalesce("__shift", F.lit(float("nan"))))
 
     joined = local.join(F.broadcast(carries), [*keys, "__slice"], "left")
     return joined.select(*series.columns, (F.col("__ema") + F.coalesce(weight * F.col("__shift"), F.lit(0.0))).alias(name))

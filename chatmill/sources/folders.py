@@ -15,8 +15,8 @@ METADATA_MARK = "_metadata"
 
 def _files(spark: SparkSession, paths: list[str], suffix: str, depth_below: bool) -> DataFrame:
     """(`path`, `file`, `text`) of the files with a suffix; one row per file."""
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", depth_below)
-    return reader.text(paths).select(
+    reader = spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", depth_below)
+    return reader.text(paths, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), F.col("value").alias("text")
     )
 
