@@ -18,7 +18,8 @@ def merge_sources(sources: dict[str, DataFrame]) -> DataFrame:
 
 def record_counts(df: DataFrame, by: str = "source", total: str = "total") -> DataFrame:
     """Records per source and a total row."""
-    counted = df.rollup(by).agg(F.count(F.lit(1)).alias("records"), F.grouping(by).alias("__all"))
+    # Counted first, so that the roll-up doubles a row per source and not the rows themselves.
+    counted = df.groupBy(by).agg(F.count(F.lit(1)).alias("n")).rollup(by).agg(F.sum("n").alias("records"), F.grouping(by).alias("__all"))
     return counted.select(F.when(F.col("__all") == 1, total).otherwise(F.col(by)).alias(by), "records")
 
 

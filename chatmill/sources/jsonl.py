@@ -54,11 +54,16 @@ def read_conversations(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return lines.withColumn("__v", strict_json(F.col("line"))).select("file", "seq", _turns(record).alias("conversations"))
 
 
-def read_tolerant(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """(good, bad) lines. Good lines keep their text whole, with any keys; bad ones carry `line_no` and `reason`."""
-    good = read_lines(spark, path).filter(strict_json(F.col("line")).isNotNull())
-    bad = read_lines(spark, path, number=True).filter(strict_json(F.col("line")).isNull())
-    return good, bad.select("file", "line_no", "line", F.lit(UNREADABLE).alias("reason"))
+def read_tolerant(spark: SparkSession, path: str | list[str], line_numbers: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) lines. Good lines keep their text whole, with any keys; bad ones carry the `reason`.
+
+    Bad lines carry `line_no` too, unless `line_numbers` is off, which saves the sort that counts the lines.
+    """
+    lines = read_lines(spark, path)
+    numbered = read_lines(spark, path, number=True) if line_numbers else lines
+    bad = numbered.filter(strict_json(F.col("line")).isNull())
+    where = ["line_no"] if line_numbers else ["seq"]
+    return lines.filter(strict_json(F.col("line")).isNotNull()), bad.select("file", *where, "line", F.lit(UNREADABLE).alias("reason"))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -58,8 +58,9 @@ class TrainingMonitor:
         self.spark.range(1).select(F.lit(json.dumps({"step": step})).alias("value")).write.mode("overwrite").text(f"{self.folder}/state")
 
     def on_batch(self, batch: DataFrame, batch_id: int) -> None:
-        batch.select(*LOG_ENTRY.fieldNames()).write.mode("overwrite").parquet(f"{self.folder}/entries/batch={batch_id}")
-        step = self.entries().agg(F.max(entry_step())).first()[0]
+        path = f"{self.folder}/entries/batch={batch_id}"
+        batch.select(*LOG_ENTRY.fieldNames()).write.mode("overwrite").parquet(path)
+        step = self.spark.read.schema(LOG_ENTRY).parquet(path).agg(F.max(entry_step())).first()[0]
         if step is not None and step - self._last_refresh() >= self.every:
             self.refresh(step)
 

@@ -99,6 +99,18 @@ def test_streamed_results(spark, tmp_path):
     assert {r.doc: (r.n_total, r.n_ok, r.score_mean) for r in spark.read.parquet(summary).collect()} == {"a": (3, 2, 0.5), "b": (1, 1, 0.5)}
 
 
+def test_asking_in_a_stream(spark, tmp_path):
+    """Finished micro-batches stay when a run breaks off; a restart asks only for what came since."""
+    (tmp_path / "in").mkdir()
+    schema = spark.createDataFrame([], "doc string, system string, question string, ground_truth string").schema
+    for name in ("a", "none", "fail 9"):
+        (tmp_path / "in" / f"{name}.json").write_text(json.dumps({"doc": name, "system": "s", "question": name, "ground_truth": "s:a"}) + "\n")
+        rows = read_stream(spark, str(tmp_path / "in"), schema, files_per_batch=1)
+        append_scored(rows, lambda df: evaluate_documents(ask_model(df, Flaky, InferSettings(retries=1))), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    got = {r.doc: (r.status[:5], r.exact_match) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {"a": ("ok", 1.0), "none": ("ok", 0.0), "fail 9": ("error", None)}
+
+
 def test_training_monitor(spark, tmp_path):
     (tmp_path / "in").mkdir()
     prior = spark.createDataFrame([(1, None, 9.0, None, None, None), (12, None, 8.0, None, None, None)], LOG_ENTRY)

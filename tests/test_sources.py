@@ -7,6 +7,7 @@ from chatmill.functions.chat import ChatTemplate, is_multimodal, render, render_
 from chatmill.operators.conversations import multimodal_route
 from chatmill.operators.report import document_summary
 from chatmill.plans.evaluation import profile_tasks
+from chatmill.plans.merge import merge_files
 from chatmill.schemas import DOC_RESULT
 from chatmill.sources import jsonl, logs, sinks
 from chatmill.sources.folders import read_documents, read_sample_folders
@@ -54,6 +55,21 @@ def test_tolerant_reader_names_the_line(spark, tmp_path):
     assert sorted((r.file[-7:], r.line_no, r.line) for r in bad.collect()) == [("a.jsonl", 3, "oops"), ("b.jsonl", 2, '{"z": 3} tail')]
 
 
+def test_merge_files(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text("".join(f'{{"n": {i}}}\n' for i in range(50)) + "broken\n", encoding="utf-8")
+    (tmp_path / "b.jsonl").write_text('{"any": "key", "n": 1}\n{"n": 0}\n')
+    paths = [str(tmp_path / n) for n in ("a.jsonl", "b.jsonl")]
+    plain = [r.line for r in merge_files(spark, paths).collect()]
+    assert plain == [f'{{"n": {i}}}' for i in range(50)] + ['{"any": "key", "n": 1}', '{"n": 0}']
+    mixed = [r.line for r in merge_files(spark, paths, shuffle_seed=42).collect()]
+    assert sorted(mixed) == sorted(plain) and mixed != plain
+    assert mixed == [r.line for r in merge_files(spark, paths, shuffle_seed=42).collect()]
+    sinks.write_lines(merge_files(spark, paths), str(tmp_path / "out"))
+    assert spark.read.text(str(tmp_path / "out")).count() == 52
+    with pytest.raises(FileNotFoundError):
+        merge_files(spark, [*paths, str(tmp_path / "none")])
+
+
 def test_round_trip(spark, jsonl_file, tmp_path):
     records = jsonl.read_conversations(spark, jsonl_file)
     sinks.write_conversations(records.orderBy("file", "seq"), str(tmp_path / "out" / "deep"))
