@@ -32,15 +32,16 @@ def _cutoff(keys: DataFrame, share: float) -> DataFrame:
         keys.join(F.broadcast(found), "slice")
         .withColumn("row", F.row_number().over(place))
         .filter(F.col("row") == F.col("place"))
-        .select(F.struct("hash", "grp").alias("cutoff"))
+        .select("hash", "grp")
     )
 
 
 def with_split(df: DataFrame, group: Column | str, share: float, seed: int = 42, name: str = "split") -> DataFrame:
     """Add `train` or `eval`: the groups are put in seeded hash order and the first ones go to eval.
 
-    The order position is found as a single cut-off value over the distinct groups, so the rows
-    themselves are labelled in place: no join and no shuffle, however large a group is.
+    The order position is found as a single cut-off value over the distinct groups, in a job of its own
+    that runs now. The rows are labelled in place by comparing with that value: no join and no shuffle,
+    however large a group is, and jobs over either side filter right at the scan.
     """
     if not 0 < share < 1:
         raise ValueError("the split share must lie between 0 and 1")
@@ -48,8 +49,11 @@ def with_split(df: DataFrame, group: Column | str, share: float, seed: int = 42,
     key = seeded_key(seed, group)
     keys = df.select(group.cast("string").alias("grp")).distinct()
     keys = keys.withColumn("hash", seeded_key(seed, "grp")).withColumn("slice", hash_number(F.col("hash"), _DIGITS))
-    mine = F.struct(key.alias("hash"), group.cast("string").alias("grp"))
-    return df.withColumn(name, F.when(mine <= _cutoff(keys, share).scalar(), EVAL).otherwise(TRAIN))
+    last = _cutoff(keys, share).first()
+    if last is None:
+        raise ValueError("there are no groups to split")
+    mine, cutoff = F.struct(key, group.cast("string")), F.struct(F.lit(last.hash), F.lit(last.grp).cast("string"))
+    return df.withColumn(name, F.when(mine <= cutoff, EVAL).otherwise(TRAIN))
 
 
 def group_split(df: DataFrame, group: Column | str, share: float, seed: int = 42) -> tuple[DataFrame, DataFrame]:

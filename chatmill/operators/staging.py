@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local: dict[str, str] = {}
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`; a local session without one gets a temporary folder."""
@@ -15,9 +17,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="chatmill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="chatmill-")
+    return _local[app]
 
 
 def new_path(spark: SparkSession, label: str) -> str:

@@ -9,7 +9,7 @@ from chatmill.functions.prompts import DOCUMENT_PREAMBLE
 from chatmill.operators import report
 from chatmill.operators.conversations import last_turns
 from chatmill.operators.infer import InferSettings, Request, ask_model, evaluate_documents, join_replies
-from chatmill.operators.staging import new_path
+from chatmill.operators.staging import new_path, stage
 from chatmill.queries.registry import Tables, query
 from chatmill.streaming.results import append_scored, read_stream, rolling_summary
 
@@ -148,7 +148,7 @@ def infer_scored(t: Tables):
 @query(INFER_SQL + "SELECT conv_id, length(question) % 7 = 0 AS open FROM q")
 def unanswered_tasks(t: Tables):
     tasks = last_turns(t.conversations)
-    answered = _replies(t).filter(F.col("status") == "ok").select("conv_id", "raw_response")
+    answered = stage(_replies(t).filter(F.col("status") == "ok").select("conv_id", "raw_response"), "replies")
     done, left = join_replies(tasks.select("conv_id"), answered, "conv_id")
     return done.select("conv_id", F.lit(False).alias("open")).unionByName(left.select("conv_id", F.lit(True).alias("open")))
 

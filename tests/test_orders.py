@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from chatmill.operators import ordering as O
 from chatmill.operators.combine import merge_sources, record_counts
+from chatmill.operators.staging import shared_dir
 from chatmill.operators.split import group_split, with_split
 
 
@@ -61,8 +62,9 @@ def test_split_is_exact_and_keeps_groups(spark, groups, share):
 
 def test_split_labels_rows_without_moving_them(spark):
     plan = with_split(spark.range(100).withColumn("g", F.col("id") % 10), "g", 0.2)._jdf.queryExecution().executedPlan().toString()
-    outer = plan.split("Subquery")[0]
-    assert "Exchange" not in outer and "Join" not in outer
+    assert "Exchange" not in plan and "Join" not in plan and "Subquery" not in plan
+    with pytest.raises(ValueError):
+        with_split(spark.range(0).withColumn("g", F.lit("x")), "g", 0.2)
 
 
 def test_split_refuses_an_empty_side(spark):
@@ -81,3 +83,19 @@ def test_merge(spark):
     assert {(r.source, r.records) for r in record_counts(merged).collect()} == {("a", 2), ("b", 1), ("c", 2), ("total", 5)}
     with pytest.raises(ValueError):
         merge_sources({})
+
+
+def test_shared_folder():
+    class Conf(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
+
+    class Session:
+        def __init__(self, master, **conf):
+            self.sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
+            self.conf = Conf({"spark.checkpoint.dir": v for v in conf.values()})
+
+    assert shared_dir(Session("spark://host", folder="hdfs:///cp/")) == "hdfs:///cp"
+    assert shared_dir(Session("local[2]")) == shared_dir(Session("local[2]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session("yarn"))

@@ -23,8 +23,8 @@ def test_reasoning_blocks(column):
     any_case = column(X.strip_thinking, SAMPLES)
     assert any_case[9:13] == ["Yes", "B", "<think>open", "xyz"]
     assert column(X.strip_think_blocks, SAMPLES)[10] == "<THINK>a</Think>B"
-    cases = ['<think>reasoning</think>{"a": 1}', '<think>\nl1\nl2\n</think>\n{"x": 2}', '{"a": 1}', ""]
-    assert column(X.strip_think_blocks, cases) == ['{"a": 1}', '{"x": 2}', '{"a": 1}', ""]
+    cases = ['<think>hm</think>[0]', '<think>\nfirst\n\nthen\n</think>\n\n{"city": "Ulm"}', "[0]", ""]
+    assert column(X.strip_think_blocks, cases) == ["[0]", '{"city": "Ulm"}', "[0]", ""]
 
 
 def test_code_fences(column):
