@@ -71,20 +71,20 @@ BASE_SQL = f"FROM (SELECT *, {TARGET_SQL} AS target FROM customer JOIN nation ON
 def _customers(t: Tables, **texts: str) -> DataFrame:
     rows = t.spread("customer").join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     rows = rows.withColumn("target", F.expr(TARGET_SQL))
-    return rows.select("c_custkey", "c_nationkey", *[F.expr(sql).alias(name) for name, sql in texts.items()])
+    return rows.select("c_custkey", "c_nationkey", "c_mktsegment", *[F.expr(sql).alias(name) for name, sql in texts.items()])
 
 
 def _folders(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """(pairs, rejects): documents as texts and customers as objects, in folders of one language each."""
+    """(pairs, rejects): documents as texts and customers as objects; one market segment has no object files."""
     texts = t.documents.select(F.lit("").alias("lang"), F.col("doc_id").alias("sample"), F.lit("cv.md").alias("file"), F.col("text").alias("cv_text"))
     second = texts.filter(F.col("sample") % 4 == 0).withColumns({"file": F.lit("old.md"), "cv_text": F.lit("not used")})
-    objects = _customers(t, json_text=FAULTY_SQL).filter(F.col("c_custkey") % 10 != 7)
+    objects = _customers(t, json_text=FAULTY_SQL).filter(F.col("c_mktsegment") != "MACHINERY")
     objects = objects.select(F.lit("").alias("lang"), F.col("c_custkey").alias("sample"), F.lit("cv.json").alias("file"), "json_text")
     return pair_folders(texts.unionByName(second), objects, ["lang", "sample"])
 
 
 FOLDER_SQL = f"""
-o AS (SELECT c_custkey, c_nationkey, c_name, c_mktsegment, n_name, {FAULTY_SQL} AS json_text {BASE_SQL} WHERE c_custkey % 10 <> 7)
+o AS (SELECT c_custkey, c_nationkey, c_name, c_mktsegment, n_name, {FAULTY_SQL} AS json_text {BASE_SQL} WHERE c_mktsegment <> 'MACHINERY')
 """
 
 
@@ -192,7 +192,7 @@ def ordered_json(t: Tables):
 WITH {ORDER_SQL}, {DAYS_SQL}, p AS (SELECT *, {PROMPT_SQL} AS prompt, {PRETTY_SQL} AS pretty FROM d)
 SELECT doc_id AS sample, variant, md5('<|im_start|>system' || chr(10) || prompt || '<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10)
   || trim(text, ' ' || chr(9) || chr(10) || chr(13)) || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) || pretty || '<|im_end|>' || chr(10)) AS record_key
-FROM documents JOIN p ON doc_id = c_custkey WHERE c_custkey % 9 = 0 AND c_custkey % 10 <> 7
+FROM documents JOIN p ON doc_id = c_custkey WHERE c_custkey % 9 = 0 AND c_mktsegment <> 'MACHINERY'
 """)
 def cv_records(t: Tables):
     """Folder pairs, validation, variants, prompt and target as whole records."""
