@@ -57,3 +57,41 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query(op9_bpe_codec)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatmill.llm.toxicity import score_toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_toxicity(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
+query(op7_toxicity)
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatmill.llm.secrets import with_secrets
+
+    found = with_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets")
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = listed(F.filter("secrets", lambda s: s["kind"] != "novel"))
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), count("novel"), F.sha2(base, 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans"))
+
+
+query(op4_secrets)
+
+
+def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatmill.llm.mixing import Mix
+
+    mix = Mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mix.words_taken().withColumnRenamed("key", "doc_id")
+
+
+query(op10_mix)
