@@ -105,3 +105,32 @@ def op1_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query(op1_pseudonyms)
+
+
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatmill.llm.minhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+query(
+    op2_near_duplicates,
+    r"""
+    WITH RECURSIVE words AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), shingles AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+    ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1
+    ), shared AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+        FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+    ), links AS (
+        SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)
+    ), reach(id, c) AS (
+        SELECT doc_id, doc_id FROM documents UNION SELECT links.b, reach.c FROM reach JOIN links ON links.a = reach.id
+    ), least AS (SELECT id, min(c) AS c FROM reach GROUP BY 1)
+    SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id, d.doc_id = c AS kept
+    FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least ON least.id = d.doc_id
+    """,
+)
