@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 from array import array
 from collections.abc import Iterable, Iterator
 
@@ -15,7 +16,7 @@ from chatmill.llm.byte_level import SPLIT, read_ranks, splitter
 
 # What a Python worker remembers: pieces (and the longest one, in characters), transitions, and pair tests. They bound
 # its memory only: what isn't remembered is made again.
-REMEMBERED, LONGEST, TRANSITIONS, TESTS = 400_000, 48, 400_000, 400_000
+REMEMBERED, LONGEST, TRANSITIONS, TESTS = 400_000, 48, 200_000, 400_000
 # Ids decoded at a time.
 CHUNK = 16_384
 
@@ -29,7 +30,6 @@ class Merges:
         self.ranks = ranks
         self.halves: dict[bytes, tuple[bytes, bytes] | None] = {}
         self.edges: tuple[dict, dict] = ({}, {})
-        self.tests: dict[tuple[bytes, bytes], bool] = {}
 
     def merge(self, piece: bytes) -> list[bytes]:
         """Tokens of a short string by merging step by step: the definition that the transducer must match."""
@@ -72,27 +72,18 @@ class Merges:
         Both grow from their bytes in the order of ranks; they stay apart if, as long as either still grows, no pair
         across the border comes first. At equal rank the leftmost merge comes first.
         """
-        key = (left, right)
-        if (known := self.tests.get(key)) is not None:
-            return known
         a, b, i, j = self.edge(left, 1), self.edge(right, 0), 0, 0
         while True:
             across = self.ranks.get(a[i][0] + b[j][0], _NEVER)
             grow_a, grow_b = a[i][1], b[j][1]
             if across < grow_a and across <= grow_b and across < _NEVER:
-                apart = False
-                break
+                return False
             if grow_a == grow_b == _NEVER:
-                apart = True
-                break
+                return True
             if grow_a <= grow_b:
                 i += 1
             else:
                 j += 1
-        if len(self.tests) >= TESTS:
-            self.tests.clear()
-        self.tests[key] = apart
-        return apart
 
 
 class Transducer:
@@ -101,60 +92,85 @@ class Transducer:
     A string has one encoding: the only cut into tokens of which all neighbours can stand side by side. A state holds every
     way to read the bytes so far: the tokens not yet emitted, and the place in the tree of tokens of the one being read.
     What all ways agree on is emitted, so a token goes out once the bytes after it leave no other reading; a way lives no
-    longer than the longest token, which bounds states and lookahead.
+    longer than the longest token, which bounds states and lookahead. States are numbered; when the table of transitions
+    is full it is begun anew.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.merges = Merges(ranks)
+        self.tokens = {i: token for token, i in ranks.items()}
         self.places: list[dict[int, int]] = [{}]
-        self.ends: dict[int, bytes] = {}
-        for token in ranks:
+        self.ends: dict[int, int] = {}
+        for token, i in ranks.items():
             if self.merges.reachable(token):
                 at = 0
                 for b in token:
                     at = self.places[at].setdefault(b, len(self.places))
                     if at == len(self.places):
                         self.places.append({})
-                self.ends[at] = token
-        # A way is (token before, tokens not emitted, place). The token before is kept for testing the next one.
-        self.start = ((None, (), 0),)
-        self.table: dict[tuple[tuple, int], tuple[tuple[bytes, ...], tuple]] = {}
-
-    def step(self, state: tuple, byte: int) -> tuple[tuple[bytes, ...], tuple]:
-        """Tokens emitted and next state."""
-        if (known := self.table.get((state, byte))) is not None:
-            return known
-        ways = []
-        for before, held, place in state:
-            to = self.places[place].get(byte)
+                self.ends[at] = i
+        self.near: dict[tuple[int, int], bool] = {}
+        self.restart()
+
+    def restart(self) -> None:
+        # A state: the token emitted last (-1: none), and the ways as (tokens not emitted, place).
+        self.states: list[tuple[int, tuple]] = [(-1, (((), 0),))]
+        self.numbers = {self.states[0]: 0}
+        self.table: list[dict[int, tuple[tuple[int, ...], int]]] = [{}]
+        self.made = 0
+
+    def adjacent(self, left: int, right: int) -> bool:
+        key = (left, right)
+        if (known := self.near.get(key)) is None:
+            if len(self.near) >= TESTS:
+                self.near.clear()
+            known = self.near[key] = self.merges.adjacent(self.tokens[left], self.tokens[right])
+        return known
+
+    def step(self, number: int, byte: int) -> tuple[tuple[int, ...], int]:
+        """Tokens emitted and next state, made for the first time."""
+        before, old = self.states[number]
+        places, ends, ways = self.places, self.ends, []
+        for held, place in old:
+            to = places[place].get(byte)
             if to is None:
                 continue
-            if self.places[to]:
-                ways.append((before, held, to))
-            token = self.ends.get(to)
-            last = held[-1] if held else before
-            if token is not None and (last is None or self.merges.adjacent(last, token)):
-                ways.append((before, (*held, token), 0))
-        agreed = 0
-        first = ways[0][1]
-        while agreed < len(first) and all(len(w[1]) > agreed and w[1][agreed] == first[agreed] for w in ways):
-            agreed += 1
-        out = first[:agreed]
-        made = out, tuple((out[-1] if out else before, held[agreed:], place) for before, held, place in ways)
-        if len(self.table) >= TRANSITIONS:
-            self.table.clear()
-        self.table[state, byte] = made
+            if places[to]:
+                ways.append((held, to))
+            if (token := ends.get(to)) is not None:
+                last = held[-1] if held else before
+                if last < 0 or self.adjacent(last, token):
+                    ways.append(((*held, token), 0))
+        out: tuple[int, ...] = ()
+        first = ways[0][0]
+        if first and all(held and held[0] == first[0] for held, _ in ways):
+            n = 1
+            while n < len(first) and all(held[n : n + 1] == first[n : n + 1] for held, _ in ways):
+                n += 1
+            out, before, ways = first[:n], first[n - 1], [(held[n:], place) for held, place in ways]
+        state = (before, tuple(ways))
+        to = self.numbers.get(state)
+        if to is None:
+            to = self.numbers[state] = len(self.states)
+            self.states.append(state)
+            self.table.append({})
+        self.table[number][byte] = made = (out, to)
+        self.made += 1
         return made
 
-    def encode(self, piece: bytes) -> list[bytes]:
-        if len(piece) > 1 and piece in self.merges.ranks:
-            return [piece]  # as the library has it: a piece that is a token is that token, even one that merging never makes
-        state, out = self.start, []
+    def encode(self, piece: bytes) -> list[int]:
+        if piece in self.merges.ranks:
+            return [self.merges.ranks[piece]]  # as the library has it: a piece that is a token is that token
+        if self.made >= TRANSITIONS:
+            self.restart()
+        state, out, table = 0, [], self.table
         for byte in piece:
-            emitted, state = self.step(state, byte)
-            out += emitted
+            known = table[state].get(byte)
+            emitted, state = known if known is not None else self.step(state, byte)
+            if emitted:
+                out += emitted
         # At the end one way stands between two tokens: the encoding.
-        out += next((held for _, held, place in state if place == 0), ())
+        out += next((held for held, place in self.states[state][1] if place == 0), ())
         return out
 
 
@@ -164,10 +180,9 @@ class Encoder(dict):
     def __init__(self, ranks: dict[bytes, int], pattern: str = SPLIT):
         super().__init__()
         self.transducer, self.pieces = Transducer(ranks), splitter(pattern)
-        self.packed = {token: i.to_bytes(4, "little") for token, i in ranks.items()}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = b"".join(map(self.packed.__getitem__, self.transducer.encode(piece.encode("utf-8", "surrogatepass"))))
+        ids = struct.pack(f"<{len(found := self.transducer.encode(piece.encode('utf-8', 'surrogatepass')))}I", *found)
         if len(piece) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self.clear()

@@ -134,3 +134,27 @@ query(
     FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least ON least.id = d.doc_id
     """,
 )
+
+
+def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatmill.llm.caps import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+query(
+    op3_near_vectors,
+    """
+    WITH RECURSIVE units AS (
+        SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
+    ), links AS (
+        SELECT x.vec_id AS a, y.vec_id AS b FROM units x JOIN units y ON x.vec_id <> y.vec_id WHERE list_cosine_similarity(x.e, y.e) >= 0.95
+    ), reach(id, c) AS (
+        SELECT vec_id, vec_id FROM embeddings UNION SELECT links.b, reach.c FROM reach JOIN links ON links.a = reach.id
+    ), least AS (SELECT id, min(c) AS c FROM reach GROUP BY 1
+    ), counts AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
+    SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, vec_id = c AS kept
+    FROM embeddings JOIN least ON id = vec_id LEFT JOIN counts ON a = vec_id
+    """,
+)
