@@ -14,9 +14,11 @@ from pyspark.sql import types as T
 from chatmill.deploy import ship
 from chatmill.llm.byte_level import SPLIT, read_ranks, splitter
 
-# What a Python worker remembers: pieces (and the longest one, in characters), transitions, and pair tests. They bound
+# What a Python worker remembers: pieces (and the longest one, in characters) and transitions. They bound
 # its memory only: what isn't remembered is made again.
-REMEMBERED, LONGEST, TRANSITIONS, TESTS = 400_000, 48, 200_000, 400_000
+REMEMBERED, LONGEST, TRANSITIONS = 300_000, 48, 200_000
+# A way is given up early where at most so many tokens could still end it and none can follow.
+FEW = 8
 # Ids decoded at a time.
 CHUNK = 16_384
 
@@ -109,46 +111,83 @@ class Transducer:
                     if at == len(self.places):
                         self.places.append({})
                 self.ends[at] = i
-        self.near: dict[tuple[int, int], bool] = {}
+        # The tokens that begin at a place and go on beyond it, where they are few.
+        self.beyond: dict[int, list[int]] = {}
+        self._count(0)
         self.restart()
 
+    def _count(self, root: int) -> None:
+        stack, order = [root], []
+        while stack:
+            order.append(at := stack.pop())
+            stack += self.places[at].values()
+        more: dict[int, list[int] | None] = {}
+        for at in reversed(order):
+            found: list[int] | None = []
+            for to in self.places[at].values():
+                inner = more.pop(to)
+                found = None if found is None or inner is None else found + inner + ([self.ends[to]] if to in self.ends else [])
+            more[at] = found if found is not None and len(found) <= FEW else None
+            if more[at] is not None:
+                self.beyond[at] = more[at]
+
     def restart(self) -> None:
-        # A state: the token emitted last (-1: none), and the ways as (tokens not emitted, place).
-        self.states: list[tuple[int, tuple]] = [(-1, (((), 0),))]
+        # A way reads a token from a place on, after a token (-1: none). Its moves: the way on (-1: no token of these bytes can
+        # follow), and the token that ends here (-1: none).
+        self.ways: list[tuple[int, int]] = [(-1, 0)]
+        self.way_numbers = {(-1, 0): 0}
+        self.moves: list[dict[int, tuple[int, int]]] = [{}]
+        # A state: the ways, each with its tokens that are not emitted yet.
+        self.states: list[tuple] = [(((), 0),)]
         self.numbers = {self.states[0]: 0}
         self.table: list[dict[int, tuple[tuple[int, ...], int]]] = [{}]
         self.made = 0
 
     def adjacent(self, left: int, right: int) -> bool:
-        key = (left, right)
-        if (known := self.near.get(key)) is None:
-            if len(self.near) >= TESTS:
-                self.near.clear()
-            known = self.near[key] = self.merges.adjacent(self.tokens[left], self.tokens[right])
-        return known
+        return left < 0 or self.merges.adjacent(self.tokens[left], self.tokens[right])
+
+    def way(self, last: int, place: int) -> int:
+        """The number of a way."""
+        number = self.way_numbers.get((last, place))
+        if number is None:
+            number = self.way_numbers[last, place] = len(self.ways)
+            self.ways.append((last, place))
+            self.moves.append({})
+        return number
+
+    def move(self, number: int, byte: int) -> tuple[int, int]:
+        """The way on and the token that ends here, made for the first time."""
+        last, place = self.ways[number]
+        to, on, token = self.places[place].get(byte), -1, -1
+        if to is not None:
+            if to in self.ends and self.adjacent(last, self.ends[to]):
+                token = self.ends[to]
+            few = self.beyond.get(to)
+            if self.places[to] and (few is None or any(self.adjacent(last, t) for t in few)):
+                on = self.way(last, to)
+        self.moves[number][byte] = made = (on, token)
+        return made
 
     def step(self, number: int, byte: int) -> tuple[tuple[int, ...], int]:
         """Tokens emitted and next state, made for the first time."""
-        before, old = self.states[number]
-        places, ends, ways = self.places, self.ends, []
-        for held, place in old:
-            to = places[place].get(byte)
-            if to is None:
-                continue
-            if places[to]:
-                ways.append((held, to))
-            if (token := ends.get(to)) is not None:
-                last = held[-1] if held else before
-                if last < 0 or self.adjacent(last, token):
-                    ways.append(((*held, token), 0))
+        moves, ways = self.moves, []
+        for held, way in self.states[number]:
+            known = moves[way].get(byte)
+            on, token = known if known is not None else self.move(way, byte)
+            if on >= 0:
+                ways.append((held, on))
+            if token >= 0:
+                ways.append(((*held, token), self.way(token, 0)))
         out: tuple[int, ...] = ()
-        first = ways[0][0]
-        if first and all(held and held[0] == first[0] for held, _ in ways):
-            n = 1
-            while n < len(first) and all(held[n : n + 1] == first[n : n + 1] for held, _ in ways):
-                n += 1
-            out, before, ways = first[:n], first[n - 1], [(held[n:], place) for held, place in ways]
-        state = (before, tuple(ways))
+        if first := ways[0][0]:
+            if len(ways) == 1:
+                out, ways = first, [((), ways[0][1])]
+            elif all(held[:1] == first[:1] for held, _ in ways):
+                n = 1
+                while n < len(first) and all(held[n : n + 1] == first[n : n + 1] for held, _ in ways):
+                    n += 1
+                out, ways = first[:n], [(held[n:], way) for held, way in ways]
+        state = tuple(ways)
         to = self.numbers.get(state)
         if to is None:
             to = self.numbers[state] = len(self.states)
@@ -170,7 +209,7 @@ class Transducer:
             if emitted:
                 out += emitted
         # At the end one way stands between two tokens: the encoding.
-        out += next((held for held, place in self.states[state][1] if place == 0), ())
+        out += next((held for held, way in self.states[state] if not self.ways[way][1]), ())
         return out
 
 
