@@ -51,5 +51,8 @@ def permute(x: Column, n: Column, key: Column, mixer: Mixer = fast_mixer) -> Col
     def once(v: Column) -> Column:
         return F.transform(F.array(permute_pair(F.floor(v / b), v % b, a, b, key, mixer)), lambda p: p["l"] * b + p["r"])[0]
 
-    first = F.array(once(x.cast("long")))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), first[0], lambda v, _: F.when(v < n, v).otherwise(once(v)))
+    def walked(v: Column) -> Column:
+        more = F.aggregate(F.sequence(F.lit(1), F.lit(WALKS)), v, lambda w, _: F.when(w < n, w).otherwise(once(w)))
+        return F.when(v < n, v).otherwise(more)
+
+    return F.transform(F.array(once(x.cast("long"))), walked)[0]

@@ -100,7 +100,7 @@ class Mix:
         # Each slot draws one of as many tickets as there are slots; a source holds as many as its quota.
         draws = spark.range(slots).select((F.col("id") / size).cast("long").alias("shard"), F.pmod(F.xxhash64(F.lit(self.seed), F.lit("draw"), "id"), F.lit(max(slots, 1))).alias("ticket"))
         tickets = self._spread(self.sources.select("nth", F.col("from").alias("low"), "quota"), "quota").select("nth", (F.col("low") + F.col("at")).alias("ticket"))
-        drawn = draws.join(tickets, "ticket").groupBy("shard", "nth").agg(F.count(F.lit(1)).alias("n"))
+        drawn = draws.join(tickets.hint("merge"), "ticket").groupBy("shard", "nth").agg(F.count(F.lit(1)).alias("n"))
         drawn = _with_sources(stage(drawn, "mix-draws"), self.sources, self.few, "quota")
         kept = F.greatest(F.lit(0), F.least(F.col("n"), F.col("quota") - F.col("seen")))
         drawn = drawn.withColumn("seen", _running(drawn, "nth", "shard", "n")).withColumn("kept", kept.cast("long"))
@@ -109,7 +109,7 @@ class Mix:
         got = drawn.groupBy("nth").agg(F.sum("kept").alias("got"))
         short = self.sources.join(got, "nth", "left").select("nth", (F.col("quota") - F.coalesce(F.col("got"), F.lit(0))).alias("short")).filter("short > 0")
         short = self._spread(short.withColumn("low", _running(short, None, "nth", "short")), "short").select("nth", (F.col("low") + F.col("at")).alias("place"))
-        more = freed.join(short, "place").groupBy("shard", "nth").agg(F.count(F.lit(1)).alias("n"))
+        more = freed.join(short.hint("merge"), "place").groupBy("shard", "nth").agg(F.count(F.lit(1)).alias("n"))
         counts = drawn.select("shard", "nth", F.col("kept").alias("n")).unionByName(more).groupBy("shard", "nth").agg(F.sum("n").alias("n"))
         return counts.withColumn("first", _running(counts, "nth", "shard", "n"))
 
@@ -118,7 +118,9 @@ class Mix:
         """A row for each number `at` below the count, made in chunks that are dealt out, so that a large count is no large row."""
         last = (F.col(count) - 1) / chunk
         chunks = df.filter(F.col(count) > 0).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last).cast("long"))))
-        chunks = chunks.repartition(F.xxhash64(*[c for c, t in chunks.dtypes if t in ("bigint", "int")]))
+        # A given number of partitions: the few bytes of the chunks say nothing of the rows that they stand for.
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        chunks = chunks.repartition(tasks, F.xxhash64(*[c for c, t in chunks.dtypes if t in ("bigint", "int")]))
         start = F.col("chunk") * chunk
         return chunks.withColumn("at", F.explode(F.sequence(start, F.least(start + chunk, F.col(count)) - 1))).drop("chunk")
 
@@ -147,7 +149,7 @@ class Mix:
     def words_taken(self) -> DataFrame:
         """(key, size, source_size, target, taken) for each row: its words, its source's words and target, and the words that the mix takes of it, repeats counted."""
         times = self.placements().groupBy("nth", "block").agg(F.count(F.lit(1)).alias("times"))
-        taken = self.text_blocks().join(times, ["nth", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+        taken = self.text_blocks().join(times.hint("merge"), ["nth", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
         rows = _with_sources(self._numbered(), self.sources, self.few, "source_size", "target").select("row", "key", "size", "source_size", "target")
         return rows.join(taken, "row", "left").select("key", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
@@ -158,7 +160,7 @@ class Mix:
         `length`, if there is such a column, is set to the new number of characters. Texts without words are in no block.
         """
         places = self.placements().select("nth", "round", "block")
-        pieces = self.text_blocks().join(places, ["nth", "block"]).groupBy("row", "round").agg(F.sum("words").alias("words"), F.first("start").alias("start"), F.sort_array(F.collect_list("block")).alias("blocks"))
+        pieces = self.text_blocks().join(places.hint("merge"), ["nth", "block"]).groupBy("row", "round").agg(F.sum("words").alias("words"), F.first("start").alias("start"), F.sort_array(F.collect_list("block")).alias("blocks"))
         rows = pieces.join(self.rows.select("row", "size", "doc"), "row")
         n, body = self.block_words, F.col(f"doc.`{text}`")
         words = F.regexp_extract_all(body, F.lit(WORD), F.lit(0))
