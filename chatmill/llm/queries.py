@@ -158,3 +158,12 @@ query(
     FROM embeddings JOIN least ON id = vec_id LEFT JOIN counts ON a = vec_id
     """,
 )
+
+
+def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatmill.llm.suffix_tree import score_corpus
+
+    return score_corpus(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+query(op5_suffix_tree)
