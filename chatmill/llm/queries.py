@@ -70,7 +70,7 @@ query(op7_toxicity)
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from chatmill.llm.secrets import with_secrets
+    from chatmill.llm.secret_scan import with_secrets
 
     found = with_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "secrets")
 
@@ -167,3 +167,12 @@ def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query(op5_suffix_tree)
+
+
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatmill.llm.projected import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+query(op6_nearest)
