@@ -188,8 +188,8 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     fine = rows.filter(F.col("key").isNotNull() & usable(F.col("vector")))
     plain = fine.select("key", F.transform("vector", lambda x: x.cast("double") + F.lit(0.0)).alias("vector"))
     size = dimension(plain, "vector")
-    members = plain.groupBy("vector").agg(F.min("key").alias("id"), F.count(F.lit(1)).alias("copies"))
-    members = stage(members.select("id", "copies", "vector"), "vectors")
+    members = plain.groupBy("vector").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("copies"))
+    members = stage(members.withColumn("id", F.monotonically_increasing_id()), "vectors")
     if size is None:
         return df.select(F.col(key), F.lit(0).cast("long").alias("n_links"), F.col(key).alias("component_id"), F.lit(True).alias("kept"))
     units = _unit_column(members.select("id", "copies", "vector"), "vector", "unit").drop("vector")
@@ -205,7 +205,8 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     counts = found.filter("n > 0").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     groups = components(found.filter("n = 0"))
     known = members.join(counts, "id", "left").join(groups, "id", "left")
-    known = known.select("vector", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    known = known.select("vector", "first", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component"))
+    known = known.join(known.groupBy("component").agg(F.min("first").alias("component_id")), "component").select("vector", "n_links", "component_id")
     # Equal vectors find their member by its components; a vector with very many copies is one row on that side, so Spark can split the other.
     named = plain.join(known, "vector").select("key", "n_links", "component_id")
     others = rows.filter(F.col("key").isNull() | ~usable(F.col("vector"))).select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"))

@@ -32,6 +32,9 @@ EXCEPTIONS = (
     "pond scum", "soap scum", "sore loser", "no idiot", "idiot proof", "stupid question",
 )
 
+# Labelled rows that are learned from, at most: those whose keys have the smallest hashes. So few are broadcast, and no text
+# is shuffled to meet its label.
+LABELLED = 20_000
 # Entries that a task counts before it passes them on.
 HELD_ENTRIES = 300_000
 
@@ -147,7 +150,7 @@ def _beginnings(df: DataFrame, shortest: int, longest: int) -> DataFrame:
 
         def rows() -> pd.DataFrame:
             entries = list(seen[0].keys() | seen[1].keys())
-            out = pd.DataFrame({"entry": entries, "a": [seen[1][e] for e in entries], "b": [seen[0][e] for e in entries]})
+            out = pd.DataFrame({"entry": pd.Series(entries, dtype=object), "a": pd.Series([seen[1][e] for e in entries], dtype="int64"), "b": pd.Series([seen[0][e] for e in entries], dtype="int64")})
             seen[0].clear()
             seen[1].clear()
             return out
@@ -162,7 +165,8 @@ def _beginnings(df: DataFrame, shortest: int, longest: int) -> DataFrame:
                 seen[label].update(found)
                 if len(seen[0]) + len(seen[1]) > HELD_ENTRIES:
                     yield rows()
-        yield rows()
+        if seen[0] or seen[1]:
+            yield rows()
 
     return df.select("__text", "__label").mapInPandas(count, "entry string, a long, b long").groupBy("entry").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
 
@@ -241,22 +245,30 @@ def is_held_out(key: Column, of: int, rest: int = 2) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % of == rest
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", limit: float = 0.3) -> DataFrame:
-    """Score all texts by a lexicon that is learned from the labelled ones.
+def _taught(labels: DataFrame, key: str, label: str, most: int) -> DataFrame:
+    """(__key, __label) of at most `most` keys that may be learned from; a key labelled more than once is toxic if any label says so."""
+    named = labels.select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__label"))
+    usable = named.filter(F.col("__key").isNotNull() & F.col("__label").isin(0, 1) & ~is_held_out(F.col("__key"), 4))
+    known = usable.groupBy("__key").agg(F.max("__label").alias("__label"))
+    # Written once, so that every pass over the texts sees the same rows.
+    return F.broadcast(stage(known.orderBy(F.xxhash64(F.col("__key").cast("string")), "__key").limit(most), "labels"))
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", limit: float = 0.3, labelled: int = LABELLED) -> DataFrame:
+    """Score all texts by a lexicon that is learned from labelled ones.
 
     Returns one row per row of `docs`: key, held_out (crc32 of the key mod 4 is 2: its label is not learned from), score
-    (0 to 1), predicted (1 from `limit` on), hits and words. Labels match by key; a key labelled more than once counts as
-    toxic if any of its labels says so; null keys have no label. Null, empty and wordless texts get the score of texts
-    without a hit. Without labels of both kinds the score is one value for all. The strengths are written to the shared
-    folder once: the labelled ones set the bands, then all are scored.
+    (0 to 1), predicted (1 from `limit` on), hits and words. Labels match by key; at most `labelled` of them are used, a key
+    labelled more than once counts as toxic if any of its labels says so, and null keys have no label. Null, empty and
+    wordless texts get the score of texts without a hit. Without labels of both kinds the score is one value for all. The
+    strengths are written to the shared folder once: the labelled ones set the bands, then all are scored.
     """
     ship(docs.sparkSession)
-    known = labels.select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__label")).filter(F.col("__key").isNotNull()).groupBy("__key").agg(F.max("__label").alias("__label"))
+    known = _taught(labels, key, label, labelled)
     texts = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"))
-    taught = texts.filter(~is_held_out(F.col("__key"), 4)).join(known, "__key")
-    lexicon = learn_lexicon(taught, "__text", "__label")
+    lexicon = learn_lexicon(texts.join(known, "__key"), "__text", "__label")
     measured = stage(with_strength(texts, lexicon, "__text", "__m").select("__key", "__m.*"), "toxicity")
-    lexicon = calibrate(measured.filter(~is_held_out(F.col("__key"), 4)).join(known, "__key"), lexicon, "strength", "__label") if lexicon.weights else lexicon
+    lexicon = calibrate(measured.join(known, "__key"), lexicon, "strength", "__label") if lexicon.weights else lexicon
     score = _share(F.col("strength"), lexicon)
     return measured.select(
         F.col("__key").alias(key),
@@ -268,11 +280,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     )
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", limit: float = 0.3) -> DataFrame:
+def drop_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", limit: float = 0.3, labelled: int = LABELLED) -> DataFrame:
     """The rows of `docs` whose score is below `limit`, unchanged. Labels, null keys and empty texts as in `score_toxicity`."""
     ship(docs.sparkSession)
-    known = labels.select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__label")).filter(F.col("__key").isNotNull()).groupBy("__key").agg(F.max("__label").alias("__label"))
-    taught = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).filter(~is_held_out(F.col("__key"), 4)).join(known, "__key")
+    taught = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")).join(_taught(labels, key, label, labelled), "__key")
     lexicon = learn_lexicon(taught, "__text", "__label")
     if lexicon.weights:
         lexicon = calibrate(with_strength(taught, lexicon, "__text", "__m").select("__m.strength", "__label"), lexicon, "strength", "__label")
