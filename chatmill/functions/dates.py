@@ -17,14 +17,14 @@ ENGLISH_MONTHS = (
     "July", "August", "September", "October", "November", "December",
 )
 
-# Labels of the notations by format number; number 0 is that of the source data.
+# What prompts call the notations, by format number; number 0 is that of the source data.
 DATE_LABELS = (
-    "DD.MM.YYYY (e.g. 15.03.1990)",
-    "YYYY-MM-DD (e.g. 1990-03-15)",
-    "DD/MM/YYYY (e.g. 15/03/1990)",
-    "MM/DD/YYYY (e.g. 03/15/1990)",
-    "D. month YYYY with the German month name (e.g. 15. März 1990)",
-    "month DD, YYYY with the English month name (e.g. March 15, 1990)",
+    "DD.MM.YYYY, like 24.12.2001",
+    "YYYY-MM-DD, like 2001-12-24",
+    "DD/MM/YYYY, like 24/12/2001",
+    "MM/DD/YYYY, like 12/24/2001",
+    "in German words, like 24. Dezember 2001",
+    "in English words, like December 24, 2001",
 )
 SOURCE_FORMAT = 0
 

@@ -12,6 +12,9 @@ from chatmill.functions.text import let, strip
 OPTION_BLOCK = r"(\{[^}]+\})"
 NOTHING = "_"
 
+# Questions numbered at a time.
+CHUNK = 10_000
+
 
 def _div(a: Column, b: Column) -> Column:
     return F.call_function("div", a, b)
@@ -57,9 +60,14 @@ def fill_options(template: Column, blocks: Column, number: Column) -> Column:
 
 
 def expand_questions(df: DataFrame, template: str = "question", out: str = "question", number: str = "option_no") -> DataFrame:
-    """One row per question a template stands for, numbered from 0 in product order."""
+    """One row per question a template stands for, numbered from 0 in product order.
+
+    Numbers are made in chunks of CHUNK, so a product of 10^8 is an array of 10^4 chunk numbers and one chunk at a time.
+    """
     work = df.withColumn("__template", F.col(template)).withColumn("__blocks", option_blocks(F.col("__template")))
-    work = work.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), option_count(F.col("__blocks")) - 1)).alias(number))
-    return work.withColumn(out, fill_options(F.col("__template"), F.col("__blocks"), F.col(number))).drop(
-        "__template", "__blocks"
-    )
+    work = work.withColumn("__n", option_count(F.col("__blocks")))
+    last = F.call_function("div", F.col("__n") - 1, F.lit(CHUNK).cast("bigint"))
+    work = work.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("__chunk"))
+    start = F.col("__chunk") * CHUNK
+    work = work.select("*", F.explode(F.sequence(start, F.least(start + CHUNK, F.col("__n")) - 1)).alias(number))
+    return work.withColumn(out, fill_options(F.col("__template"), F.col("__blocks"), F.col(number))).drop("__template", "__blocks", "__n", "__chunk")

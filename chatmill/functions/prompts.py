@@ -12,10 +12,9 @@ from chatmill.functions.text import let
 from chatmill.schemas import PROFILE_FIELDS, FieldSpec
 
 DOCUMENT_PREAMBLE = (
-    "Answer questions about the document below.\n"
-    "Reply with the exact value found in the document and nothing else: no introduction, no explanation,"
-    " no markup. Keep the line breaks of values that span several lines.\n\n"
-    "=== Document ===\n"
+    "You look things up in one document.\n"
+    "Copy what the document says, word for word, and stop there. Several lines stay several lines.\n\n"
+    "--- text of the document ---\n"
 )
 
 
@@ -23,12 +22,12 @@ DOCUMENT_PREAMBLE = (
 class SchemaWording:
     """Texts of the extraction prompt; `{date}` in a field description or rule is the date label."""
 
-    intro: str = "Read the application below and return one JSON object with exactly these fields in exactly this order:"
+    intro: str = "Turn the application that follows into a JSON object. Its keys, from first to last:"
     rules: tuple[str, ...] = (
-        "- Return the bare JSON object only, without code fences or comments.",
-        "- Use null for a string that is missing and [] for a list that is missing or empty.",
-        "- Write dates as {date}.",
-        "- A skill is something a person can do, a product is something a person uses.",
+        "* The reply starts with { and ends with }.",
+        "* Nothing said about a text key: null. Nothing said about a list key: [].",
+        "* Days look like {date}.",
+        "* Abilities go under skills; names of goods, even if the person is able with them, go under products.",
     )
     labels: tuple[str, ...] = DATE_LABELS
 

@@ -101,6 +101,15 @@ def _dump(value) -> str | None:
     return text
 
 
+def _plain(value):
+    """Equal values become equal texts: whole numbers, and true and false, as integers, at any depth."""
+    if isinstance(value, dict):
+        return {k: _plain(v) for k, v in value.items()}
+    if isinstance(value, list):
+        return [_plain(v) for v in value]
+    return int(value) if isinstance(value, (bool, int)) or isinstance(value, float) and value.is_integer() else value
+
+
 def _view(value: dict, names: list[str]) -> str:
     """The named fields as `[{"k": kind, "s": text, "l": items}, ...]`, the shape of FIELD_VIEW."""
     out = []
@@ -113,9 +122,9 @@ def _view(value: dict, names: list[str]) -> str:
         elif isinstance(v, list):
             out.append({"k": "list", "l": [str(x) for x in v]})
         elif isinstance(v, (int, float)):
-            out.append({"k": "nan"} if v != v else {"k": "value", "s": repr(int(v) if v == v // 1 else v)})
+            out.append({"k": "nan"} if v != v else {"k": "value", "s": repr(_plain(v))})
         else:
-            out.append({"k": "value", "s": json.dumps(v, sort_keys=True)})
+            out.append({"k": "value", "s": json.dumps(_plain(v), sort_keys=True)})
     return _dump(out)
 
 

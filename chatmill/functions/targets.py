@@ -18,6 +18,9 @@ from chatmill.schemas import PROFILE_FIELDS, FieldSpec
 # Control characters that JSON text writes as \u00xx, having no short escape.
 _NO_SHORT_ESCAPE = r"[\x00-\x07\x0b\x0e-\x1f]"
 
+# Characters of a text, and levels of nesting, that an outline keeps.
+_OUTLINE_TEXT, _OUTLINE_DEPTH = 1000, 8
+
 
 def _inner(text: Column) -> Column:
     """The escaped text between the quotes, by Spark's own writer."""
@@ -52,6 +55,44 @@ def strict_json(text: Column) -> Column:
     return F.when(as_field.isNotNull(), as_item)
 
 
+def _outlined(value, depth: int = 0):
+    """The same keys and kinds in what the native reader takes: long texts cut short, numbers without NaN and infinities."""
+    if isinstance(value, str):
+        return value[:_OUTLINE_TEXT].encode("utf-8", "replace").decode()
+    if isinstance(value, dict):
+        return {_outlined(k): _outlined(v, depth + 1) for k, v in value.items()} if depth < _OUTLINE_DEPTH else {}
+    if isinstance(value, list):
+        return [_outlined(v, depth + 1) for v in value] if depth < _OUTLINE_DEPTH else []
+    return value if value is None or isinstance(value, bool) or abs(value) < 1e18 else 0
+
+
+@F.pandas_udf(T.StringType())
+def _outline(text: pd.Series) -> pd.Series:
+    def one(t):
+        try:
+            return None if t is None else json.dumps(_outlined(json.loads(t)), ensure_ascii=False)
+        except (ValueError, RecursionError):
+            return None
+
+    return pd.Series([one(t) for t in text], dtype=object)
+
+
+def outline(text: Column) -> Column:
+    """The text if it is JSON for the native reader; else a text of the same keys and kinds if Python's reader takes it; else null.
+
+    Python's reader also takes repeated keys (the last one counts), NaN, infinities, and texts of any length. Only what the
+    native reader refuses goes through an Arrow UDF.
+    """
+    native = strict_json(text).isNotNull()
+    return F.when(native, text).otherwise(_outline(F.when(~native, text)))
+
+
+def readable(text: Column) -> Column:
+    """Whether a text is one JSON value and nothing else, as Python's json.loads has it; false for null."""
+    native = strict_json(text).isNotNull()
+    return native | F.coalesce(_outline(F.when(~native, text)).isNotNull(), F.lit(False))
+
+
 def _kind(value: Column, name: str) -> Column:
     """Type of one key: null when absent, else VOID, STRING, ARRAY<...>, ..."""
     return F.schema_of_variant(F.try_variant_get(value, f'$["{name}"]', "variant"))
@@ -61,7 +102,8 @@ def target_faults(text: Column, fields: tuple[FieldSpec, ...] = PROFILE_FIELDS)
     """ARRAY<STRUCT<field, fault>>, empty for a text that holds exactly the expected fields.
 
     Faults: `unreadable` and `not an object` (field null), `missing`, `not a list`, `not a string`,
-    `unexpected`. A text with a repeated key is unreadable.
+    `unexpected`. `text` is read by the native reader; pass `outline(text)`, as a column of its own, to take what only
+    Python's reader takes.
     """
     known = F.array(*[F.lit(f.name) for f in fields])
 
@@ -75,14 +117,14 @@ def target_faults(text: Column, fields: tuple[FieldSpec, ...] = PROFILE_FIELDS)
             wrong = ~kind.startswith("ARRAY") if f.is_list else ~kind.isin("STRING", "VOID")
             what = "not a list" if f.is_list else "not a string"
             found.append(F.when(kind.isNull(), fault(F.lit(f.name), "missing")).when(wrong, fault(F.lit(f.name), what)))
-        extra = F.transform(F.array_except(F.json_object_keys(text), known), lambda k: fault(k, "unexpected"))
         return (
             F.when(v.isNull(), F.array(fault(F.lit(None), "unreadable")))
             .when(~F.schema_of_variant(v).startswith("OBJECT"), F.array(fault(F.lit(None), "not an object")))
-            .otherwise(F.concat(F.array_compact(F.array(*found)), F.coalesce(extra, F.array())))
+            .otherwise(F.array_compact(F.array(*found)))
         )
 
-    return let(strict_json(text), check)
+    extra = F.transform(F.array_except(F.json_object_keys(text), known), lambda k: fault(k, "unexpected"))
+    return F.concat(let(strict_json(text), check), F.coalesce(extra, F.array()))
 
 
 @F.pandas_udf(T.StringType())
@@ -93,8 +135,9 @@ def _pretty(text: pd.Series, order: pd.Series, date_field: pd.Series, date: pd.S
             return None
         if isinstance(value.get(field), str):
             value[field] = day
-        listed = {k: value[k] for k in names if k in value}
-        return json.dumps(listed | {k: v for k, v in value.items() if k not in listed}, ensure_ascii=False, indent=2)
+        rank = {name: i for i, name in enumerate(names)}
+        placed = sorted(value, key=lambda k: rank.get(k, len(rank)))
+        return json.dumps({k: value[k] for k in placed}, ensure_ascii=False, indent=2)
 
     return pd.Series([one(*row) for row in zip(text, order, date_field, date, strict=True)], dtype=object)
 
@@ -140,11 +183,11 @@ def with_ordered_target(
     # expression for all text fields and one for all list fields, which keeps the plan small.
     df = df.withColumns({"__value": strict_json(F.col(text)), "__keys": F.json_object_keys(text)})
     df = df.withColumn("__plain", reduce(lambda a, b: a & b, map(fits, fields), no_others))
-    df = df.withColumn("__typed", F.when(is_plain, F.from_json(text, schema)))
-    date = F.when(is_plain, typed[date_field]).otherwise(F.get_json_object(text, f"$.{date_field}")) if date_field else F.lit(None).cast("string")
+    df = df.withColumns({"__typed": F.when(is_plain, F.from_json(text, schema)), "__odd": _outline(F.when(value.isNull(), F.col(text)))})
+    date = F.when(is_plain, typed[date_field]).otherwise(F.get_json_object(F.coalesce("__odd", text), f"$.{date_field}")) if date_field else F.lit(None).cast("string")
     df = df.withColumn("__day", reformat_date(date, fmt))
     plain_texts = F.transform(F.array(*[F.col("__day") if f.is_date else typed[f.name] for f in texts]), literal)
     plain_lists = F.transform(F.array(*[typed[f.name] for f in lists]), block) if lists else F.array().cast("array<string>")
     native = F.when(is_plain, let(F.concat(plain_texts, plain_lists), write))
     others = _pretty(F.when(~is_plain, F.col(text)), F.when(~is_plain, order), F.lit(date_field), F.when(~is_plain, F.col("__day")))
-    return df.withColumn(out, F.coalesce(native, others)).drop("__value", "__keys", "__plain", "__typed", "__day")
+    return df.withColumn(out, F.coalesce(native, others)).drop("__value", "__keys", "__plain", "__typed", "__odd", "__day")

@@ -16,16 +16,13 @@ def bag_scores(df: DataFrame, ids: list[str], pred: Column, ref: Column, name: s
     """
     side = F.explode(
         F.concat(
-            F.transform(pred, lambda t: F.struct(t.alias("token"), F.lit(1).alias("p"), F.lit(0).alias("r"))),
-            F.transform(ref, lambda t: F.struct(t.alias("token"), F.lit(0).alias("p"), F.lit(1).alias("r"))),
+            F.transform(F.coalesce(pred, F.array().cast("array<string>")), lambda t: F.struct(t.alias("token"), F.lit(1).alias("p"), F.lit(0).alias("r"))),
+            F.transform(F.coalesce(ref, F.array().cast("array<string>")), lambda t: F.struct(t.alias("token"), F.lit(0).alias("p"), F.lit(1).alias("r"))),
+            # One row that counts nothing, so that a row without any token comes out too.
+            F.array(F.struct(F.lit(None).cast("string").alias("token"), F.lit(0).alias("p"), F.lit(0).alias("r"))),
         )
     )
     tokens = df.select(*ids, side.alias("t")).groupBy(*ids, "t.token").agg(F.sum("t.p").alias("p"), F.sum("t.r").alias("r"))
     sums = tokens.groupBy(*ids).agg(F.sum(F.least("p", "r")).alias("overlap"), F.sum("p").alias("n_pred"), F.sum("r").alias("n_ref"))
-    scored = sums.select(*ids, "overlap", f_measure(F.col("overlap"), F.col("n_pred"), F.col("n_ref")).alias(name))
-    # Rows without any token have no token rows: they come back here with score 0.
-    return (
-        df.select(*ids)
-        .join(scored, ids, "left")
-        .select(*ids, F.coalesce("overlap", F.lit(0)).alias("overlap"), F.coalesce(name, F.lit(0.0)).alias(name))
-    )
+    score = F.coalesce(f_measure(F.col("overlap"), F.col("n_pred"), F.col("n_ref")), F.lit(0.0))
+    return sums.select(*ids, "overlap", score.alias(name))

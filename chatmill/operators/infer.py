@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -55,20 +56,19 @@ Client = Callable[[Request], str | None]
 
 def _ask(client: Client, request: Request, retries: int, sleep: Callable[[float], None], clock: Callable[[], float]) -> dict:
     """Reply with the latency of the attempt that worked, or an error row after the last attempt."""
-    begun = datetime.now(timezone.utc)
-    problem = None
-    for attempt in range(retries):
+    row = {"raw_response": "", "latency_s": None, "status": "", "timestamp": datetime.now(timezone.utc)}
+    for pause in [0, *(1 << n for n in range(retries - 1))][:retries]:
+        if pause:
+            sleep(pause)
+        asked_at = clock()
         try:
-            start = clock()
-            text = client(request)
-            took = clock() - start
-            return {"raw_response": text or "", "latency_s": round(took, 3), "status": "ok", "timestamp": begun}
-        except Exception as exc:  # any failure of the client counts as a failed attempt
-            problem = exc
-        if attempt < retries - 1:
-            sleep(2**attempt)
-    status = f"error: Request failed after {retries} attempts: {problem}"
-    return {"raw_response": "", "latency_s": None, "status": status, "timestamp": begun}
+            reply = client(request)
+        except Exception as failure:  # whatever the client raises
+            # Fixed value: the wording of a failed request's status.
+            row["status"] = f"error: Request failed after {retries} attempts: {failure}"
+        else:
+            return row | {"raw_response": reply or "", "latency_s": round(clock() - asked_at, 3), "status": "ok"}
+    return row
 
 
 def ask_model(
@@ -84,12 +84,12 @@ def ask_model(
 
     The factory must be picklable; it is called once per task on the executor. Requests in flight are the
     running Spark tasks times `settings.threads`, so bound the load on a service by repartitioning the tasks.
-    Rows are asked and handed on in blocks of a few per thread, so no task holds more than that.
+    A window of a few requests per thread slides over the rows, so no task holds more than that.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = client_factory()
-        block = settings.threads * 16
+        ahead = settings.threads * 16
 
         def one(texts: tuple[str, str]) -> dict:
             request = Request(
@@ -98,13 +98,23 @@ def ask_model(
             return _ask(client, request, settings.retries, sleep, clock)
 
         with ThreadPoolExecutor(settings.threads) as pool:
+            # Requests run ahead of the rows handed on, so a slow one holds up nothing but its own row.
+            waiting: deque = deque()
+
+            def finished() -> pa.RecordBatch:
+                row, reply = waiting.popleft()
+                done = reply.result()
+                columns = [pa.array([done[name]], kind) for name, kind in _ARROW.items()]
+                return pa.RecordBatch.from_arrays([*row.columns, *columns], [*row.schema.names, *_ARROW])
+
             for batch in batches:
-                for at in range(0, batch.num_rows, block):
-                    rows = batch.slice(at, block)
-                    texts = (rows.column(name).to_pylist() for name in (system, user))
-                    replies = list(pool.map(one, zip(*texts, strict=True)))
-                    columns = [pa.array([r[name] for r in replies], kind) for name, kind in _ARROW.items()]
-                    yield pa.RecordBatch.from_arrays([*rows.columns, *columns], [*rows.schema.names, *_ARROW])
+                texts = (batch.column(name).to_pylist() for name in (system, user))
+                for at, pair in enumerate(zip(*texts, strict=True)):
+                    waiting.append((batch.slice(at, 1), pool.submit(one, pair)))
+                    if len(waiting) >= ahead:
+                        yield finished()
+            while waiting:
+                yield finished()
 
     return tasks.mapInArrow(run, T.StructType([*tasks.schema.fields, *REPLY]))
 

@@ -11,9 +11,6 @@ from chatmill.operators.staging import stage
 # monotonically_increasing_id holds the partition above these bits and the row's place in it below.
 _ROW_BITS = 33
 
-# A cap up to this size is taken by Spark's top-k operator; its rows meet in one task.
-TOP_K = 10_000
-
 
 def _columns(order: list[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
@@ -72,14 +69,19 @@ def number_shuffled(df: DataFrame, seed: int, ids: list[str], name: str = "row_n
 
 
 def first_rows(df: DataFrame, order: list[Column | str], n: int | None) -> DataFrame:
-    """The first `n` rows in the given order; None keeps all rows, n < 1 is refused."""
+    """The first `n` rows, in the given order; None keeps all rows, n < 1 is refused.
+
+    The n-th order key is found from the order columns alone, whatever n is; rows up to it are kept. `order` must tell rows
+    apart, and its columns must sort ascending. Whole rows are read once, after that, and sorted over all tasks.
+    """
     if n is None:
         return df
     if n < 1:
         raise ValueError("a row cap must be at least 1; use None for all rows")
-    if n <= TOP_K:
-        return df.orderBy(*_columns(order)).limit(n)
-    return number_rows(df, order, "__row").filter(F.col("__row") < n).drop("__row")
+    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(_columns(order))])
+    keys = df.select(key.alias("key"))
+    last = number_rows(keys, ["key"], "row").filter(F.col("row") < n).agg(F.max("key").alias("key"))
+    return df.withColumn("__key", key).filter(F.col("__key") <= last.scalar()).drop("__key").orderBy(*_columns(order))
 
 
 def number_samples(df: DataFrame, order: list[Column | str], name: str = "sample") -> DataFrame:

@@ -10,7 +10,7 @@ from chatmill.functions.prompts import DOCUMENT_PREAMBLE
 from chatmill.functions.qa import qa_samples
 from chatmill.operators.ordering import first_rows, seeded_shuffle
 from chatmill.operators.pairing import pair_documents
-from chatmill.operators.split import group_split
+from chatmill.operators.split import EVAL, TRAIN, with_split
 
 ROW_ID = ["stem", "block_no", "option_no"]
 
@@ -31,13 +31,22 @@ def document_dataset(
     docs: DataFrame, qa: DataFrame, share: float | None = None, seed: int = 42, preamble: str = DOCUMENT_PREAMBLE
 ) -> tuple[DataFrame, DataFrame | None]:
     """(train, eval) records. With a split, whole documents go to one side and train is shuffled."""
-    records = document_records(docs, qa, preamble)
+    pairs = pair_documents(docs, qa)
+
+    def records(side: DataFrame) -> DataFrame:
+        system = F.concat(F.lit(preamble), F.col("content"))
+        return qa_samples(side).select(*ROW_ID, exchange(system, F.col("question"), F.col("answer")).alias("conversations"))
+
+    def in_order(side: DataFrame) -> DataFrame:
+        # Placed by document before the questions are split out, so that a document's text is moved once.
+        return records(side.repartitionByRange("stem")).sortWithinPartitions(*ROW_ID)
+
     if share is None:
-        return records.repartitionByRange(*ROW_ID).sortWithinPartitions(*ROW_ID), None
-    # The split is over the pairs, also those that yield no sample.
-    pairs = pair_documents(docs.select("stem"), qa)
-    train, evaluation = (document_records(docs, side, preamble) for side in group_split(pairs, "stem", share, seed))
-    return seeded_shuffle(train, seed, ROW_ID), evaluation.repartitionByRange(*ROW_ID).sortWithinPartitions(*ROW_ID)
+        return in_order(pairs), None
+    # The split is over the pairs, also those that yield no sample; they are labelled once.
+    labelled = with_split(pairs, "stem", share, seed)
+    train, evaluation = (labelled.filter(F.col("split") == side).drop("split") for side in (TRAIN, EVAL))
+    return seeded_shuffle(records(train), seed, ROW_ID), in_order(evaluation)
 
 
 def document_tasks(docs: DataFrame, qa: DataFrame, max_samples: int | None = None, preamble: str = DOCUMENT_PREAMBLE) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chatmill.functions.chat import exchange
 from chatmill.functions.prompts import SchemaWording, schema_prompt
-from chatmill.functions.targets import strict_json, target_faults, with_ordered_target
+from chatmill.functions.targets import outline, readable, target_faults, with_ordered_target
 from chatmill.operators.augment import with_variants
 from chatmill.operators.ordering import first_rows, number_samples, seeded_shuffle
 from chatmill.operators.split import EVAL, TRAIN, with_split
@@ -18,7 +18,8 @@ ROW_ID = ["lang", "sample", "variant"]
 
 def valid_samples(pairs: DataFrame, fields: tuple[FieldSpec, ...] = PROFILE_FIELDS) -> tuple[DataFrame, DataFrame]:
     """(pairs whose target has exactly the expected fields, rejects with their `faults`)."""
-    checked = pairs.withColumn("faults", target_faults(F.col("json_text"), fields))
+    checked = pairs.withColumn("__outline", outline(F.col("json_text")))
+    checked = checked.withColumn("faults", target_faults(F.col("__outline"), fields)).drop("__outline")
     return checked.filter(F.size("faults") == 0).drop("faults"), checked.filter(F.size("faults") > 0)
 
 
@@ -53,7 +54,7 @@ def profile_dataset(
 
 def folder_tasks(pairs: DataFrame, max_samples: int | None = None) -> DataFrame:
     """Evaluation tasks from sample folders: any readable target counts, its fields are not checked."""
-    tasks = pairs.filter(strict_json(F.col("json_text")).isNotNull())
+    tasks = pairs.filter(readable(F.col("json_text")))
     return first_rows(tasks.select("lang", "sample", F.col("cv_text").alias("question"), F.col("json_text").alias("ground_truth")), ["lang", "sample"], max_samples)
 
 
@@ -69,6 +70,6 @@ def conversation_tasks(records: DataFrame, max_samples: int | None = None) -> Da
 
     truth = last("assistant", "{}")
     tasks = records.select("file", "seq", last("user", "").alias("question"), truth.alias("ground_truth"))
-    tasks = tasks.withColumn("ground_truth", F.when(strict_json(F.col("ground_truth")).isNull(), "{}").otherwise(F.col("ground_truth")))
+    tasks = tasks.withColumn("ground_truth", F.when(readable(F.col("ground_truth")), F.col("ground_truth")).otherwise("{}"))
     named = number_samples(first_rows(tasks, ["file", "seq"], max_samples), ["file", "seq"])
     return named.select("sample", "question", "ground_truth")

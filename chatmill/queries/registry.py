@@ -23,14 +23,6 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for work that is heavy per row: with fewer splits than cores it is dealt out to all cores.
-
-        A large table has splits enough and is read as it is, without a shuffle.
-        """
-        table, cores = getattr(self, name), self.spark.sparkContext.defaultParallelism
-        return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
 
 def query(sql: str | None = None):
     """Register a function of `Tables` under its own name, with the equivalent SQL if there is one."""

@@ -11,6 +11,8 @@ PART = T.StructType(
         T.StructField("type", T.StringType()),
         T.StructField("image", T.StringType()),
         T.StructField("text", T.StringType()),
+        # The whole part as JSON text, where it has other keys than these.
+        T.StructField("json", T.StringType()),
     ]
 )
 
@@ -39,16 +41,16 @@ class FieldSpec:
 # The extraction target's field names, their order and their kinds.
 # `{date}` is replaced by the label of the date format a prompt asks for.
 PROFILE_FIELDS: tuple[FieldSpec, ...] = (
-    FieldSpec("name", "full name of the applicant (string)"),
-    FieldSpec("gender", '"male" or "female" (string)'),
-    FieldSpec("email", "e-mail address (string)"),
-    FieldSpec("address", "current home address (string)"),
-    FieldSpec("date_of_birth", "date of birth as {date} (string)", is_date=True),
-    FieldSpec("nationality", "nationality (string)"),
-    FieldSpec("languages", "spoken languages with level (array of strings)", is_list=True),
-    FieldSpec("education", "degrees and trainings (array of strings)", is_list=True),
-    FieldSpec("skills", "professional abilities and knowledge (array of strings)", is_list=True),
-    FieldSpec("products", "software, tools and products used (array of strings)", is_list=True),
+    FieldSpec("name", "what the person is called, first and last name (text)"),
+    FieldSpec("gender", '"male" or "female", if the text tells (text)'),
+    FieldSpec("email", "where mail reaches the person (text)"),
+    FieldSpec("address", "street and town that the person lives in now (text)"),
+    FieldSpec("date_of_birth", "day of birth, written {date} (text)", is_date=True),
+    FieldSpec("nationality", "citizenship (text)"),
+    FieldSpec("languages", "each language with how well it is spoken (list of texts)", is_list=True),
+    FieldSpec("education", "schools, degrees and courses, one entry each (list of texts)", is_list=True),
+    FieldSpec("skills", "what the person knows how to do at work (list of texts)", is_list=True),
+    FieldSpec("products", "programs, machines and other named goods worked with (list of texts)", is_list=True),
 )
 
 # The text metrics kept per scored reply, and the one used for ranking documents.

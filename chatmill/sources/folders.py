@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatmill.operators.pairing import pair_folders
@@ -13,16 +15,48 @@ LANGUAGES = ("de", "en")
 METADATA_MARK = "_metadata"
 
 
+# A file system's name at the start of a path.
+_SYSTEM = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
+def _decoded(part: Column) -> Column:
+    """A part of a file path as the file system has it: Spark gives %xx for some characters, and a plus sign as it is."""
+    return F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
+
+
 def _files(spark: SparkSession, paths: list[str], suffix: str, depth_below: bool) -> DataFrame:
-    """(`path`, `file`, `text`) of the files with a suffix; one row per file."""
+    """(`path`, `file`, `text`) of the files with a suffix; one row per file. Line ends are read as in text mode: all become \\n."""
     reader = spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", depth_below)
     return reader.text(paths, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), F.col("value").alias("text")
+        F.col("_metadata.file_path").alias("path"),
+        _decoded(F.col("_metadata.file_name")).alias("file"),
+        F.regexp_replace("value", "\r\n?", "\n").alias("text"),
     )
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path from the root of its file system, whatever form it is given in."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    whole = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(target)
+    return re.sub(_SYSTEM, "", whole.toString())
+
+
+def _refuse_hidden(spark: SparkSession, patterns: list[str]) -> None:
+    """Spark lists no files and folders whose names begin with _ or a point: better no result than one without them."""
+    for pattern in patterns:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+        found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
+        names = [s.getPath().toString() for s in found or []]
+        if names:
+            raise ValueError(f"names that begin with _ or . are not read, rename or remove: {', '.join(sorted(names)[:5])}")
+
+
 def read_documents(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(documents, Q&A texts) of a flat folder as (`stem`, `content`) and (`stem`, `qa_text`)."""
+    """(documents, Q&A texts) of a flat folder as (`stem`, `content`) and (`stem`, `qa_text`).
+
+    Files whose names begin with _ or a point are an error, since Spark would leave them out.
+    """
+    _refuse_hidden(spark, [f"{folder.rstrip('/')}/[_.]*{suffix}" for suffix in (".md", ".txt")])
 
     def side(suffix: str, name: str) -> DataFrame:
         stem = F.substring("file", F.lit(1), F.length("file") - len(suffix))
@@ -35,20 +69,22 @@ def read_sample_folders(spark: SparkSession, root: str) -> tuple[DataFrame, Data
     """(pairs, rejects) of a tree with one folder per sample, keyed by (`lang`, `sample`).
 
     If the root holds language folders only those are read and name the `lang`; else the root's own
-    sub-folders are the samples and `lang` is ''. Files at other depths are left alone.
+    sub-folders are the samples and `lang` is ''. Files at other depths are left alone. Folders, and files of a sample,
+    whose names begin with _ or a point are an error, since Spark would leave them out.
     """
     root = root.rstrip("/")
     langs = [lang for lang in LANGUAGES if path_exists(spark, f"{root}/{lang}")]
     below = F.split("path", "/")
     lang = F.element_at(below, -3) if langs else F.lit("")
     base = [f"{root}/{lang}" for lang in langs] or [root]
-    depth = len([p for p in base[0].split("/") if p]) + 2
+    depth = len([p for p in _qualified(spark, base[0]).split("/") if p]) + 2
+    _refuse_hidden(spark, [f"{b}/{p}" for b in base for p in ("[_.]*/*.md", "[_.]*/*.json", "*/[_.]*.md", "*/[_.]*.json")])
 
     def side(suffix: str, name: str) -> DataFrame:
         files = _files(spark, base, suffix, True).filter(~F.col("file").contains(METADATA_MARK) | F.lit(suffix != ".json"))
-        tail = F.size(F.filter(F.split(F.regexp_replace("path", r"^[a-z][a-z0-9+.-]*:(//[^/]*)?", ""), "/"), lambda p: p != ""))
+        tail = F.size(F.filter(F.split(F.regexp_replace("path", _SYSTEM, ""), "/"), lambda p: p != ""))
         return files.filter(tail == depth).select(
-            lang.alias("lang"), F.url_decode(F.element_at(below, -2)).alias("sample"), "file", F.col("text").alias(name)
+            lang.alias("lang"), _decoded(F.element_at(below, -2)).alias("sample"), "file", F.col("text").alias(name)
         )
 
     return pair_folders(side(".md", "cv_text"), side(".json", "json_text"), ["lang", "sample"])

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from chatmill.functions.targets import strict_json
+from chatmill.functions.targets import readable, strict_json
 from chatmill.functions.text import strip
 from chatmill.operators.ordering import first_rows, number_rows
+from chatmill.schemas import TURN
 
 UNREADABLE = "not a JSON value"
+TURNS = T.ArrayType(TURN)
 
 
 def read_lines(spark: SparkSession, path: str | list[str], number: bool = False) -> DataFrame:
@@ -36,22 +43,72 @@ def _turns(record: Column) -> Column:
     def shape(t: Column) -> Column:
         kind = F.schema_of_variant(F.try_variant_get(t, "$.content", "variant"))
         part = "array<struct<type:string,image:string,text:string>>"
+
+        def parts(content: Column) -> Column:
+            # A part with other keys than these three is kept whole, as JSON text, next to them.
+            raw = F.try_variant_get(content, "$", "array<variant>")
+            known = F.try_variant_get(content, "$", part)
+
+            def put(k: Column, r: Column) -> Column:
+                text = F.to_json(r)
+                more = F.size(F.array_except(F.json_object_keys(text), F.array(*[F.lit(x) for x in ("type", "image", "text")]))) > 0
+                return F.struct(k["type"].alias("type"), k["image"].alias("image"), k["text"].alias("text"), F.when(more, text).alias("json"))
+
+            return F.zip_with(known, raw, put)
+
         return F.struct(
             F.try_variant_get(t, "$.role", "string").alias("role"),
             F.when(kind == "STRING", F.try_variant_get(t, "$.content", "string")).alias("content"),
-            F.when(kind.startswith("ARRAY"), F.try_variant_get(t, "$.content", part)).alias("parts"),
+            F.when(kind.startswith("ARRAY"), parts(F.try_variant_get(t, "$.content", "variant"))).alias("parts"),
         )
 
     turns = F.transform(F.try_variant_get(record, "$.conversations", "array<variant>"), shape)
     return F.coalesce(turns, F.filter(F.array(shape(record)), lambda _: F.lit(False)))
 
 
+@F.arrow_udf(T.StructType([T.StructField("turns", TURNS)]))
+def _python_turns(lines: pa.Array) -> pa.Array:
+    """Turns of lines read by Python's reader; null for null and for lines that it refuses too."""
+
+    def text(value) -> str | None:
+        return value.encode("utf-8", "replace").decode() if isinstance(value, str) else None if value is None else json.dumps(value, ensure_ascii=False)
+
+    def part(p) -> dict:
+        p = p if isinstance(p, dict) else {}
+        others = text(p) if set(p) - {"type", "image", "text"} else None
+        return {"type": text(p.get("type")), "image": text(p.get("image")), "text": text(p.get("text")), "json": others}
+
+    def one(line: str | None) -> dict | None:
+        try:
+            record = None if line is None else json.loads(line)
+        except (ValueError, RecursionError):
+            return None
+        if line is None:
+            return None
+        turns = record.get("conversations") if isinstance(record, dict) else None
+        out = []
+        for t in turns if isinstance(turns, list) else []:
+            t = t if isinstance(t, dict) else {}
+            content = t.get("content")
+            out.append({"role": text(t.get("role")), "content": text(content) if isinstance(content, str) else None, "parts": [part(p) for p in content] if isinstance(content, list) else None})
+        return {"turns": out}
+
+    return pa.array([one(x) for x in lines.to_pylist()], to_arrow_type(T.StructType([T.StructField("turns", TURNS)])))
+
+
 def read_conversations(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Strict reader: (`file`, `seq`, `conversations`); a malformed line fails the job."""
-    lines = read_lines(spark, path)
+    """Strict reader: (`file`, `seq`, `conversations`); a malformed line fails the job, whichever columns it asks for.
+
+    Lines that only Python's reader takes (a repeated key, NaN, a very long text) are read by it, in an Arrow UDF.
+    """
+    lines = read_lines(spark, path).withColumn("__native", strict_json(F.col("line")).isNotNull())
     bad = F.raise_error(F.concat(F.lit("malformed line in "), F.col("file"), F.lit(": "), F.substring("line", 1, 200)))
-    record = F.when(F.col("__v").isNull(), bad.cast("variant")).otherwise(F.col("__v"))
-    return lines.withColumn("__v", strict_json(F.col("line"))).select("file", "seq", _turns(record).alias("conversations"))
+    others = _python_turns(F.when(~F.col("__native"), F.col("line")))
+    lines = lines.withColumn("__others", others)
+    # In a filter, so that no choice of columns can prune the check away.
+    checked = lines.filter(F.when(F.col("__native") | F.col("__others").isNotNull(), F.lit(True)).otherwise(bad.cast("boolean")))
+    turns = F.when(F.col("__native"), _turns(strict_json(F.col("line")))).otherwise(F.col("__others.turns"))
+    return checked.select("file", "seq", turns.alias("conversations"))
 
 
 def read_tolerant(spark: SparkSession, path: str | list[str], line_numbers: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -61,9 +118,9 @@ def read_tolerant(spark: SparkSession, path: str | list[str], line_numbers: bool
     """
     lines = read_lines(spark, path)
     numbered = read_lines(spark, path, number=True) if line_numbers else lines
-    bad = numbered.filter(strict_json(F.col("line")).isNull())
+    bad = numbered.filter(~readable(F.col("line")))
     where = ["line_no"] if line_numbers else ["seq"]
-    return lines.filter(strict_json(F.col("line")).isNotNull()), bad.select("file", *where, "line", F.lit(UNREADABLE).alias("reason"))
+    return lines.filter(readable(F.col("line"))), bad.select("file", *where, "line", F.lit(UNREADABLE).alias("reason"))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

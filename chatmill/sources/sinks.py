@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from chatmill.functions.targets import quote
@@ -15,7 +15,7 @@ def turn_json(t: Column) -> Column:
 
     def part(p: Column) -> Column:
         keys = [F.when(p[k].isNotNull(), F.concat(F.lit(f'"{k}": '), quote(p[k]))) for k in ("type", "image", "text")]
-        return F.concat(F.lit("{"), F.concat_ws(", ", *keys), F.lit("}"))
+        return F.coalesce(p["json"], F.concat(F.lit("{"), F.concat_ws(", ", *keys), F.lit("}")))
 
     parts = F.concat(F.lit("["), F.array_join(F.transform(t["parts"], part), ", "), F.lit("]"))
     content = F.coalesce(quote(t["content"]), parts, F.lit("null"))
@@ -46,12 +46,15 @@ def eval_path(path: str) -> str:
 
 
 def write_split(train: DataFrame, evaluation: DataFrame, path: str) -> str:
-    """Write both sides of a split, none of which may be empty; returns the eval path."""
-    for side, name in ((train, TRAIN), (evaluation, EVAL)):
-        if side.isEmpty():
+    """Write both sides of a split, none of which may be empty; returns the eval path.
+
+    Rows are counted as they are written, so no job runs twice; an empty side is an error once it is written.
+    """
+    for side, name, target in ((train, TRAIN, path), (evaluation, EVAL, eval_path(path))):
+        seen = Observation()
+        write_conversations(side.observe(seen, F.count(F.lit(1)).alias("n")), target)
+        if not seen.get["n"]:
             raise ValueError(f"the {name} split has no samples")
-    write_conversations(train, path)
-    write_conversations(evaluation, eval_path(path))
     return eval_path(path)
 
 

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,7 +116,7 @@ def test_documents(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "z.md").write_text("Z")
     docs, qa = read_documents(spark, str(tmp_path))
-    assert sorted(map(tuple, docs.collect())) == [("a.b", "A\r\n"), ("c", "C")]
+    assert sorted(map(tuple, docs.collect())) == [("a.b", "A\n"), ("c", "C")]
     assert sorted(map(tuple, qa.collect())) == [("a.b", "> Q\nx"), ("d", "D")]
 
 
@@ -137,6 +138,73 @@ def test_sample_folders(spark, tmp_path, langs):
     assert {r["sample"] for r in tasks} == {"p 1"} and len(tasks) == (2 if langs else 1)
 
 
+@pytest.mark.parametrize("form", ["absolute", "uri", "relative"])
+def test_roots_and_names(spark, tmp_path, monkeypatch, form):
+    for sample in ("a b", "a+b", "a%20b", "ü"):
+        (tmp_path / "root" / sample).mkdir(parents=True)
+        (tmp_path / "root" / sample / "x.md").write_text(f"{sample}\r\nend\r", newline="")
+        (tmp_path / "root" / sample / "x.json").write_text("{}")
+    root = {"absolute": str(tmp_path / "root"), "uri": f"file://{tmp_path}/root", "relative": os.path.relpath(tmp_path / "root")}[form]
+    pairs, rejects = read_sample_folders(spark, root)
+    assert sorted((r["sample"], r.cv_text) for r in pairs.collect()) == sorted((s, f"{s}\nend") for s in ("a b", "a+b", "a%20b", "ü"))
+    assert rejects.count() == 0
+    docs, _ = read_documents(spark, f"{root}/a+b")
+    assert docs.collect()[0].stem == "x"
+
+
+def test_hidden_names_are_an_error(spark, tmp_path):
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s" / "_n.md").write_text("x")
+    (tmp_path / "s" / "a b+c.md").write_text("x")
+    with pytest.raises(ValueError, match="_n.md"):
+        read_sample_folders(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="_n.md"):
+        read_documents(spark, str(tmp_path / "s"))
+    (tmp_path / "s" / "_n.md").rename(tmp_path / "s" / "n.md")
+    assert {r.stem for r in read_documents(spark, str(tmp_path / "s"))[0].collect()} == {"n", "a b+c"}
+
+
+ODD_LINES = [
+    '{"conversations": [{"role": "user", "content": "first", "content": "last"}]}',
+    '{"n": NaN, "conversations": [{"role": "user", "content": "nan"}, {"role": "user", "content": [{"type": "image_url", "image_url": {"url": "u"}}]}]}',
+    '{"conversations": [{"role": "user", "content": "plain"}, {"role": "user", "content": [{"type": "image_url", "image_url": {"url": "u"}}, {"type": "text", "text": "t"}]}]}',
+]
+
+
+def test_lines_that_only_python_reads(spark, tmp_path):
+    path = tmp_path / "odd.jsonl"
+    path.write_text("\n".join(ODD_LINES) + "\n")
+    got = [r.conversations for r in jsonl.read_conversations(spark, str(path)).orderBy("seq").collect()]
+    assert [t[0].content for t in got] == ["last", "nan", "plain"]
+    parts = got[2][1].parts
+    assert json.loads(parts[0].json) == {"type": "image_url", "image_url": {"url": "u"}} and (parts[1].text, parts[1].json) == ("t", None)
+    assert json.loads(got[1][1].parts[0].json) == json.loads(parts[0].json)
+    good, bad = jsonl.read_tolerant(spark, str(path))
+    assert good.count() == 3 and bad.count() == 0
+
+
+def test_a_very_long_text(spark, tmp_path):
+    path = tmp_path / "long.jsonl"
+    path.write_text(json.dumps({"conversations": [{"role": "user", "content": "x" * 21_000_000}]}) + "\n")
+    assert jsonl.read_conversations(spark, str(path)).select(F.length(F.col("conversations")[0]["content"])).first()[0] == 21_000_000
+    assert jsonl.read_tolerant(spark, str(path))[0].count() == 1
+
+
+def test_a_bad_line_fails_any_use(spark, tmp_path):
+    path = tmp_path / "bad.jsonl"
+    path.write_text('{"conversations": []}\n{"conversations": [}\n')
+    with pytest.raises(Exception, match="malformed line"):
+        jsonl.read_conversations(spark, str(path)).count()
+
+
+def test_logs_cut_off_by_a_crash(spark, tmp_path):
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "a.json").write_text('{"tag": "loss", "step": 1, "value": 0.5}\n\n{"tag": "loss", "step": 2, "va')
+    assert [(r.tag, r.step, r.value) for r in logs.read_scalars(spark, str(tmp_path / "log")).collect()] == [("loss", 1, 0.5)]
+    (tmp_path / "res.json").write_text('{"doc": "d", "status": "ok"}\n{"_summary": true}\n{"doc": "e", "stat')
+    assert [r.doc for r in logs.read_results(spark, str(tmp_path / "res.json"), DOC_RESULT).collect()] == ["d"]
+
+
 def test_split_sink(spark, jsonl_file, tmp_path):
     records = jsonl.read_conversations(spark, jsonl_file)
     out = str(tmp_path / "train.jsonl")

@@ -48,27 +48,43 @@ def test_faults(column):
         "null": [(None, "not an object")],
         "{bad": [(None, "unreadable")],
         faults() + " end": [(None, "unreadable")],
-        '{"name": "a", "name": "b"}': [(None, "unreadable")],
     }
     got = column(target_faults, list(cases))
     assert [[(f.field, f.fault) for f in row] for row in got] == list(cases.values())
 
 
-def by_hand(record, order, date):
-    data = dict(record)
-    if isinstance(data.get("date_of_birth"), str):
-        data["date_of_birth"] = date
-    ordered = {k: data[k] for k in order if k in data}
-    return json.dumps(ordered | {k: v for k, v in data.items() if k not in ordered}, ensure_ascii=False, indent=2)
+def test_targets_that_only_python_reads(spark):
+    whole = json.dumps(GOOD)
+    rows = [("a", '{"name": 1, ' + whole[1:]), ("b", whole[:-1] + ', "email": NaN}'), ("c", json.dumps(GOOD | {"name": "x" * 21_000_000})), ("d", whole[:-1])]
+    good, bad = valid_samples(spark.createDataFrame(rows, "sample string, json_text string"))
+    assert sorted(r["sample"] for r in good.select("sample").collect()) == ["a", "c"]
+    assert {r["sample"]: [(f.field, f.fault) for f in r.faults] for r in bad.collect()} == {"b": [("email", "not a string")], "d": [(None, "unreadable")]}
 
 
-def test_ordered_target_equals_python(spark):
-    records = [GOOD, GOOD | {"languages": [1, 1.0, None, True, {"x": [1]}]}, GOOD | {"zip": {"a": [1, "ü"]}}, {"skills": [], "name": "x"}, {}, GOOD | {"date_of_birth": None}]
-    orders = [NAMES, NAMES[::-1], ["skills", "name"]]
-    cases = [(r, o) for r in records for o in orders]
-    df = spark.createDataFrame([(i, json.dumps(r), o) for i, (r, o) in enumerate(cases)], "i int, t string, o array<string>")
+PLAIN = {"name": "Bo", "gender": None, "date_of_birth": "5.3.1990", "skills": ["ü", 'q"'], "education": []}
+# (record, order, keys as they come out, lines of the printed text)
+PRINTED = [
+    (PLAIN, ["skills", "name"], ['{', '  "skills": [', '    "ü",', '    "q\\""', "  ],", '  "name": "Bo",', '  "gender": null,', '  "date_of_birth": "March 05, 1990",', '  "education": []', "}"]),
+    (PLAIN, ["education", "date_of_birth", "gender", "name", "skills"], ["{", '  "education": [],', '  "date_of_birth": "March 05, 1990",', '  "gender": null,', '  "name": "Bo",', '  "skills": [', '    "ü",', '    "q\\""', "  ]", "}"]),
+    ({"name": "x", "zip": {"a": [1, "ü"]}, "skills": []}, ["skills", "name"], ["{", '  "skills": [],', '  "name": "x",', '  "zip": {', '    "a": [', "      1,", '      "ü"', "    ]", "  }", "}"]),
+    ({"languages": [1, 1.0, None, True, {"x": [1]}]}, NAMES, ["{", '  "languages": [', "    1,", "    1.0,", "    null,", "    true,", "    {", '      "x": [', "        1", "      ]", "    }", "  ]", "}"]),
+    ({"date_of_birth": None}, NAMES, ["{", '  "date_of_birth": null', "}"]),
+    ({}, NAMES, ["{}"]),
+]
+
+
+def test_ordered_target(spark):
+    df = spark.createDataFrame([(i, json.dumps(r), o) for i, (r, o, _) in enumerate(PRINTED)], "i int, t string, o array<string>")
     got = with_ordered_target(df, "t", F.col("o"), F.lit(5)).orderBy("i").collect()
-    assert [r.target for r in got] == [by_hand(r, o, "March 05, 1990") for r, o in cases]
+    assert [r.target.split("\n") for r in got] == [lines for _, _, lines in PRINTED]
+
+
+def test_ordered_target_keeps_what_only_python_reads(spark):
+    texts = ['{"name": "a", "skills": [], "name": "b", "date_of_birth": "5.3.1990"}', '{"name": NaN, "skills": []}']
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = with_ordered_target(df, "t", F.array(F.lit("skills"), F.lit("name")), F.lit(5)).orderBy("i").collect()
+    assert [json.loads(r.target) for r in got][0] == {"skills": [], "name": "b", "date_of_birth": "March 05, 1990"}
+    assert '"name": NaN' in got[1].target
 
 
 def test_dates(column):
@@ -134,4 +150,4 @@ def test_folder_pairs_and_dataset(spark):
     everything, none = profile_dataset(pairs, augment=1)
     assert none is None and everything.count() == 32
     turns = everything.filter("sample = 's01' and variant = 0").first().conversations
-    assert turns[1].content == "CV 1" and turns[2].content == by_hand(GOOD, NAMES, "05.03.1990")
+    assert turns[1].content == "CV 1" and list(json.loads(turns[2].content).items()) == [(n, "05.03.1990" if n == "date_of_birth" else GOOD[n]) for n in NAMES]
