@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 
@@ -17,9 +16,9 @@ from chatmill.llm.vectors import dimension, directions, stacked, usable
 from chatmill.operators.staging import stage
 
 # Projected dimensions; the chance with which a true neighbour must have been reached when a search ends.
-PROJECTED, CERTAINTY = 8, 0.995
+PROJECTED, CERTAINTY = 8, 0.99
 # Vectors of an index cell (one task's tree), of a leaf, and queries of a task.
-CELL, LEAF, QUERIES = 8192, 64, 512
+CELL, LEAF, QUERIES = 8192, 256, 512
 # Vectors that the cuts between cells are fitted on, at most. Every vector is indexed.
 SAMPLE = 65_536
 
@@ -103,44 +102,33 @@ class Cuts:
 
 
 class Tree:
-    """A kd-tree of projected points; leaves are read in the order of their distance from a query."""
+    """A kd-tree of projected points, kept as its leaves with their boxes; they are read in the order of their distance from a query."""
 
     def __init__(self, points: np.ndarray):
-        self.order = np.arange(len(points))
-        self.points = points
-        self.nodes: list[tuple[int, int, np.ndarray, np.ndarray, int, int]] = []  # rows from, to, box, children
-        self._build(0, len(points))
-
-    def _build(self, low: int, high: int) -> int:
-        own = self.points[self.order[low:high]]
-        box = own.min(axis=0), own.max(axis=0)
-        number = len(self.nodes)
-        self.nodes.append((low, high, *box, -1, -1))
-        dim = int((box[1] - box[0]).argmax())
-        if high - low > LEAF and box[1][dim] > box[0][dim]:
-            middle = (low + high) // 2
-            part = np.argpartition(own[:, dim], middle - low)
-            self.order[low:high] = self.order[low:high][part]
-            self.nodes[number] = (low, high, *box, self._build(low, middle), self._build(middle, high))
-        return number
+        self.order, self.points = np.arange(len(points)), points
+        self.spans: list[tuple[int, int]] = []
+        stack = [(0, len(points))]
+        while stack:
+            low, high = stack.pop()
+            own = points[self.order[low:high]]
+            spread = own.max(axis=0) - own.min(axis=0)
+            dim = int(spread.argmax())
+            if high - low > LEAF and spread[dim] > 0:
+                middle = (low + high) // 2
+                self.order[low:high] = self.order[low:high][np.argpartition(own[:, dim], middle - low)]
+                stack += [(low, middle), (middle, high)]
+            else:
+                self.spans.append((low, high))
+        self.low = np.array([points[self.order[a:b]].min(axis=0) for a, b in self.spans])
+        self.high = np.array([points[self.order[a:b]].max(axis=0) for a, b in self.spans])
 
     def leaves(self, query: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
         """(squared distance of the leaf's box, its points), nearest first."""
-
-        def gap(number: int) -> float:
-            _, _, low, high, _, _ = self.nodes[number]
-            d = np.maximum(0, np.maximum(low - query, query - high))
-            return float((d * d).sum())
-
-        heap = [(gap(0), 0)]
-        while heap:
-            distance, number = heapq.heappop(heap)
-            low, high, _, _, left, right = self.nodes[number]
-            if left < 0:
-                yield distance, self.order[low:high]
-            else:
-                heapq.heappush(heap, (gap(left), left))
-                heapq.heappush(heap, (gap(right), right))
+        gap = np.maximum(0, np.maximum(self.low - query, query - self.high))
+        gaps = (gap * gap).sum(axis=1)
+        for leaf in np.argsort(gaps, kind="stable"):
+            low, high = self.spans[leaf]
+            yield float(gaps[leaf]), self.order[low:high]
 
 
 def search(tree: Tree, units: np.ndarray, near: np.ndarray, query: np.ndarray, k: int, limit: float, bound: float) -> tuple[np.ndarray, np.ndarray]:
