@@ -91,6 +91,16 @@ def _rouge_pairs(pred: Column, ref: Column) -> Column:
     return let(ones, pairs)
 
 
+def levenshtein_sim(pred: Column, ref: Column) -> Column:
+    """One minus the edit distance of the normalised texts over the length of the longer one; 1 for two empty texts."""
+
+    def score(two: Column) -> Column:
+        longer = F.greatest(F.length(two["a"]), F.length(two["b"]))
+        return F.when(longer > 0, 1 - F.levenshtein(two["a"], two["b"]) / longer).otherwise(1.0)
+
+    return let(F.struct(normalize(pred).alias("a"), normalize(ref).alias("b")), score)
+
+
 def exact_match(pred: Column, ref: Column) -> Column:
     return (normalize(pred) == normalize(ref)).cast("double")
 

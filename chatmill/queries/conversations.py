@@ -56,8 +56,8 @@ def render_chat(t: Tables):
 
 def _with_parts(t: Tables):
     """User turns that span several lines become an image part and a text part."""
-    image = F.struct(F.lit("image").alias("type"), F.concat(F.lit("img/"), F.col("conv_id").cast("string"), F.lit(".png")).alias("image"), F.lit(None).cast("string").alias("text"))
-    text = F.struct(F.lit("text").alias("type"), F.lit(None).cast("string").alias("image"), F.col("text").alias("text"))
+    image = F.struct(F.lit("image").alias("type"), F.concat(F.lit("img/"), F.col("conv_id").cast("string"), F.lit(".png")).alias("image"), F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("json"))
+    text = F.struct(F.lit("text").alias("type"), F.lit(None).cast("string").alias("image"), F.col("text").alias("text"), F.lit(None).cast("string").alias("json"))
     seen = (F.col("role") == "user") & F.col("text").contains("\n")
     parts = F.when(seen, F.array(image, text).cast(f"array<{PART.simpleString()}>"))
     return nest_turns(t.conversations.withColumns({"parts": parts, "text": F.when(~seen, F.col("text"))}))

@@ -53,6 +53,16 @@ def _f_sql(overlap: str, p: str, r: str) -> str:
 OVERLAPS_SQL = (
     PAIRS_SQL + f", scored AS (SELECT *, {_overlap_sql('wp', 'wr')} AS ow, {_overlap_sql('p1', 'r1')} AS o1, {_overlap_sql('p2', 'r2')} AS o2 FROM grams)"
 )
+# The longest common subsequence, a row of the usual table at a time: `acc` holds the lengths for the words of r1 so far, and the
+# next row is a running maximum over the old row and the diagonal steps where words are equal.
+LCS_SQL = (
+    PAIRS_SQL
+    + """, common AS (SELECT *, CASE WHEN len(p1) = 0 OR len(r1) = 0 THEN 0 ELSE list_max(list_reduce(
+  list_prepend(list_transform(p1, lambda x: 0), list_transform(r1, lambda w: list_transform(p1, lambda x: CASE WHEN x = w THEN 1 ELSE 0 END))),
+  lambda acc, m: list_transform(range(1, len(p1) + 1), lambda i: greatest(acc[i], list_max(list_transform(range(1, i + 1),
+    lambda k: CASE WHEN m[k] = 1 THEN 1 + CASE WHEN k > 1 THEN acc[k - 1] ELSE 0 END ELSE 0 END)))))) END AS lcs FROM grams)
+"""
+)
 EXACT_SQL = "CASE WHEN np = nr THEN 1.0 ELSE 0.0 END::DOUBLE"
 F1_SQL, R1_SQL, R2_SQL = _f_sql("ow", "wp", "wr"), _f_sql("o1", "p1", "r1"), _f_sql("o2", "p2", "r2")
 
@@ -110,11 +120,30 @@ def score_all(t: Tables):
     return scored.select("conv_id", "turn", "response", "exact_match", F.bround("token_f1", 6).alias("token_f1"), "rouge1_f", "rouge2_f")
 
 
+@query(LCS_SQL + f"SELECT conv_id, turn, {_f_sql('lcs', 'p1', 'r1')} AS rougeL_f FROM common")
+def rouge_l(t: Tables):
+    """Longest-common-subsequence score of whole texts."""
+    scored = _responses(t).withColumn("s", metrics.alignment_scores("response", "ground_truth"))
+    return scored.select("conv_id", "turn", "s.rougeL_f")
+
+
 @query()
-def alignment_scores(t: Tables):
-    """Longest-common-subsequence score and matching-block similarity of whole texts (no SQL: checked against brute force in the tests)."""
+def edit_sim(t: Tables):
+    """Matching-block similarity of whole texts (no SQL: checked against brute force in the tests)."""
     scored = _responses(t).withColumn("s", metrics.alignment_scores("response", "ground_truth"))
-    return scored.select("conv_id", "turn", "s.rougeL_f", F.bround("s.edit_sim", 6).alias("edit_sim"))
+    return scored.select("conv_id", "turn", F.bround("s.edit_sim", 6).alias("edit_sim"))
+
+
+@query(
+    PAIRS_SQL
+    + """SELECT conv_id, turn, round_even(CASE WHEN greatest(length(np), length(nr)) > 0 THEN 1 - levenshtein(regexp_replace(np, '[^ -~]', '?', 'g'), regexp_replace(nr, '[^ -~]', '?', 'g')) / greatest(length(np), length(nr)) ELSE 1.0 END, 6)
+  AS levenshtein_sim FROM norm"""
+)
+def levenshtein_sim(t: Tables):
+    """With a question mark for every letter that is not ASCII, since the SQL engine counts bytes."""
+    pred, ref = (F.regexp_replace(metrics.normalize(F.col(c)), "[^ -~]", "?") for c in ("response", "ground_truth"))
+    score = F.bround(metrics.levenshtein_sim(pred, ref), 6)
+    return _responses(t).select("conv_id", "turn", score.alias("levenshtein_sim"))
 
 
 @query(
