@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from chatmill.functions.chat import exchange
 from chatmill.functions.prompts import DOCUMENT_PREAMBLE
-from chatmill.functions.qa import qa_samples
+from chatmill.functions.qa import parse_qa, qa_samples
 from chatmill.operators.ordering import first_rows, seeded_shuffle
-from chatmill.operators.pairing import pair_documents
+from chatmill.operators.pairing import orphans, pair_documents
 from chatmill.operators.split import EVAL, TRAIN, with_split
 
 ROW_ID = ["stem", "block_no", "option_no"]
@@ -49,6 +49,16 @@ def document_dataset(
     return seeded_shuffle(records(train), seed, ROW_ID), in_order(evaluation)
 
 
+def document_rejects(docs: DataFrame, qa: DataFrame) -> DataFrame:
+    """What the job leaves out: (`stem`, `block_no`, `head`, `fault`) of faulty Q&A blocks, and of texts without a partner."""
+
+    def alone(side: DataFrame, fault: str) -> DataFrame:
+        return side.select("stem", F.lit(None).cast("int").alias("block_no"), F.lit(None).cast("string").alias("head"), F.lit(fault).alias("fault"))
+
+    blocks = parse_qa(pair_documents(docs.select("stem"), qa))[1].select("stem", "block_no", "head", "fault")
+    return blocks.unionByName(alone(orphans(docs, qa), "no Q&A text")).unionByName(alone(orphans(qa, docs), "no document"))
+
+
 def document_tasks(docs: DataFrame, qa: DataFrame, max_samples: int | None = None, preamble: str = DOCUMENT_PREAMBLE) -> DataFrame:
     """Evaluation tasks (`doc`, `system`, `question`, `ground_truth`); the cap counts expanded questions."""
     tasks = _samples(docs, qa).select(

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chatmill.functions.prompts import schema_prompt
 from chatmill.operators.infer import InferSettings, ask_model, evaluate_documents, evaluate_profiles
@@ -10,26 +14,48 @@ from chatmill.operators.report import document_summary, profile_summary
 from chatmill.plans.profiles import conversation_tasks, folder_tasks
 from chatmill.schemas import DOC_RESULT, PROFILE_FIELDS, FieldSpec, profile_result
 from chatmill.sources.folders import read_sample_folders
-from chatmill.sources.jsonl import read_conversations
+from chatmill.sources.jsonl import path_exists, read_conversations
 from chatmill.sources.logs import read_results
-from chatmill.sources.sinks import append_results
+from chatmill.sources.sinks import append_results, append_summary, unfinished
+
+
+def _run_rest(tasks: DataFrame, key: list[str], log: str, schema: T.StructType, ask: Callable[[DataFrame], DataFrame], pieces: int) -> DataFrame:
+    """Ask for the tasks that the log has no row of, and return the log.
+
+    Tasks go in `pieces` by a hash of their key; each is appended when it is finished, so a failure loses the replies of one
+    piece, and a restart goes on with the others.
+    """
+    spark = tasks.sparkSession
+    piece = F.pmod(F.xxhash64(*key), F.lit(pieces))
+    for number in range(pieces):
+        part = tasks.filter(piece == number)
+        if path_exists(spark, log):
+            part = unfinished(part, read_results(spark, log, schema), key)
+        append_results(ask(part).select(*schema.fieldNames()), log)
+    return read_results(spark, log, schema)
 
 
-def evaluate_document_tasks(tasks: DataFrame, client_factory, log: str, settings: InferSettings = InferSettings()) -> DataFrame:
-    """Ask, score and append to the log; returns the summary of the log."""
-    results = evaluate_documents(ask_model(tasks, client_factory, settings))
-    append_results(results.select(*DOC_RESULT.fieldNames()), log)
-    return document_summary(read_results(tasks.sparkSession, log, DOC_RESULT))
+def evaluate_document_tasks(tasks: DataFrame, client_factory, log: str, settings: InferSettings = InferSettings(), pieces: int = 8) -> DataFrame:
+    """Ask, score and append to the log what it lacks, then its summary; returns the summary. Tasks are told apart by document, question and answer."""
+
+    def ask(part: DataFrame) -> DataFrame:
+        return evaluate_documents(ask_model(part, client_factory, settings))
+
+    done = _run_rest(tasks, ["doc", "question", "ground_truth"], log, DOC_RESULT, ask, pieces)
+    return append_summary(document_summary(done), log)
 
 
 def evaluate_profile_tasks(
-    tasks: DataFrame, client_factory, log: str, settings: InferSettings = InferSettings(), fields: tuple[FieldSpec, ...] = PROFILE_FIELDS
+    tasks: DataFrame, client_factory, log: str, settings: InferSettings = InferSettings(), fields: tuple[FieldSpec, ...] = PROFILE_FIELDS, pieces: int = 8
 ) -> DataFrame:
-    """Ask, score field by field and append to the log; returns the summary of the log."""
-    asked = ask_model(tasks.withColumn("system", schema_prompt([f.name for f in fields], 0, fields)), client_factory, settings)
-    schema = profile_result(fields)
-    append_results(evaluate_profiles(asked, fields).select(*schema.fieldNames()), log)
-    return profile_summary(read_results(tasks.sparkSession, log, schema), fields)
+    """Ask, score field by field and append to the log what it lacks, then its summary; returns the summary. Tasks are told apart by sample."""
+
+    def ask(part: DataFrame) -> DataFrame:
+        prompted = part.withColumn("system", schema_prompt([f.name for f in fields], 0, fields))
+        return evaluate_profiles(ask_model(prompted, client_factory, settings), fields)
+
+    done = _run_rest(tasks, ["sample"], log, profile_result(fields), ask, pieces)
+    return append_summary(profile_summary(done, fields), log)
 
 
 def profile_tasks(spark: SparkSession, folder: str | None = None, records: str | None = None, max_samples: int | None = None) -> DataFrame:

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chatmill.operators.combine import merge_sources
 from chatmill.operators.ordering import number_rows, seeded_shuffle
 from chatmill.sources.jsonl import path_exists, read_tolerant
 
 
+def merge_rejects(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(`source`, `file`, `line_no`, `line`, `reason`) of the lines that `merge_files` leaves out."""
+    return reduce(DataFrame.unionByName, [read_tolerant(spark, p)[1].withColumn("source", F.lit(p)) for p in paths]).select("source", "file", "line_no", "line", "reason")
+
+
 def merge_files(spark: SparkSession, paths: list[str], shuffle_seed: int | None = None) -> DataFrame:
     """Readable lines of all files in input order, or shuffled; (`source`, `source_no`, `row_no`, `line`).
 
-    `row_no` is the place in input order. A missing file is an error, an unreadable line is left out.
+    `row_no` is the place in input order. A missing file is an error, an unreadable line is left out (see `merge_rejects`).
     """
     missing = [p for p in paths if not path_exists(spark, p)]
     if missing:

@@ -18,7 +18,7 @@ from chatmill.operators.conversations import reply_pairs
 from chatmill.operators.ordering import first_rows, number_shuffled
 from chatmill.operators.pairing import orphans, pair_documents
 from chatmill.operators.split import with_split
-from chatmill.plans.documents import document_dataset, document_records, document_tasks
+from chatmill.plans.documents import document_rejects, document_dataset, document_records, document_tasks
 from chatmill.queries.registry import Tables, query
 
 
@@ -204,6 +204,18 @@ def docs_tasks(t: Tables):
     return tasks.select("doc", "question", "ground_truth", F.md5("system").alias("system_key"))
 
 
+@query("""
+SELECT doc_id AS stem, CASE WHEN l.doc_id IS NULL THEN NULL ELSE b END AS block_no, CASE WHEN l.doc_id IS NULL THEN 'no Q&A text' ELSE f END AS fault
+FROM documents d LEFT JOIN labels l USING (doc_id), (VALUES (1, 'no question prefix'), (3, 'no answer')) x(b, f)
+WHERE l.doc_id IS NOT NULL OR b = 1
+""")
+def docs_rejects(t: Tables):
+    """Faulty blocks, and documents without a Q&A text."""
+    qa = t.labels.select(F.col("doc_id").alias("stem"), F.lit("> Is it?\nyes\n--\nno prefix\nx\n--\n> And?\nno\n--\n> Unanswered?\n--\n").alias("qa_text"))
+    docs = t.documents.select(F.col("doc_id").alias("stem"), F.col("text").alias("content"))
+    return document_rejects(docs, qa).select("stem", "block_no", "fault")
+
+
 @query(f"WITH {RECORDS_SQL} SELECT stem, count(DISTINCT block_no) AS raw, count(*) AS expanded FROM r GROUP BY stem")
 def document_counts(t: Tables):
     return count_documents(qa_samples(_docs(t)[1]))

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chatmill.operators import trainlog
+from chatmill.operators.staging import new_path
 from chatmill.queries.registry import Tables, query
+from chatmill.schemas import SCALARS
+from chatmill.sources.logs import read_log_lines
 
 # Scalar rows made from the events; valid in Spark and in DuckDB.
 TAG_SQL = """CASE event_type WHEN 'click' THEN 'train/loss' WHEN 'view' THEN 'eval_loss' WHEN 'signup' THEN 'train/learning_rate'
@@ -35,6 +39,18 @@ def series_dedup(t: Tables):
     return _series(t)
 
 
+@query(SERIES_SQL + "SELECT tag, step, value FROM series")
+def scalar_files(t: Tables):
+    """The events written as log files, one of which a crash cut off in a line, and read back with all runs merged."""
+    folder = new_path(t.spark, "scalars")
+    rows = _scalars(t).repartitionByRange("seq").sortWithinPartitions("seq")
+    # Rows carry their file and place, so the order of part files on disk doesn't matter.
+    rows.select(F.to_json(F.struct("file", "tag", "step", "value", F.col("seq").alias("place"))).alias("value")).write.text(f"{folder}/whole")
+    t.events.limit(1).select(F.lit('{"file": "events.9", "tag": "eval_loss", "st').alias("value")).write.text(f"{folder}/cut")
+    lines = read_log_lines(t.spark.read.option("recursiveFileLookup", True).text(folder), T.StructType([*SCALARS.fields, T.StructField("place", T.LongType())]))
+    return trainlog.dedup_series(lines, order=("file", "place"))
+
+
 @query(SCALAR_SQL + "SELECT tag, step, arg_max(value, seq) AS value FROM s WHERE file = (SELECT max(file) FROM s) GROUP BY tag, step")
 def series_latest_file(t: Tables):
     return trainlog.dedup_series(trainlog.latest_file(_scalars(t)))

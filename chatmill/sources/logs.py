@@ -11,7 +11,7 @@ from chatmill.schemas import LOG_ENTRY, SCALARS
 from chatmill.sources.jsonl import path_exists
 
 
-def _whole_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+def read_log_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows of JSON lines, with `__path`. Lines that are no object of this schema, such as one cut off by a crash, give none."""
     marked = T.StructType([*schema.fields, T.StructField("__bad", T.StringType())])
     row = F.from_json("value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"})
@@ -24,7 +24,7 @@ def read_scalars(spark: SparkSession, folder: str, merge_runs: bool = False) ->
 
     Without `merge_runs` only the file that comes last by name counts; with it the last file wins per step.
     """
-    rows = _whole_lines(spark.read.option("recursiveFileLookup", True).text(folder), SCALARS)
+    rows = read_log_lines(spark.read.option("recursiveFileLookup", True).text(folder), SCALARS)
     rows = rows.withColumns({"file": F.coalesce("file", "__path"), "seq": F.monotonically_increasing_id()}).drop("__path")
     return dedup_series(rows if merge_runs else latest_file(rows))
 
@@ -44,5 +44,5 @@ def read_checkpoint_history(spark: SparkSession, folder: str) -> DataFrame:
 def read_results(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Result rows of a log; summary rows written into the same log are left out, and so is a line that a crash cut off."""
     flagged = T.StructType([*schema.fields, T.StructField("_summary", T.BooleanType())])
-    rows = _whole_lines(spark.read.text(path), flagged).drop("__path")
+    rows = read_log_lines(spark.read.text(path), flagged).drop("__path")
     return rows.filter(~F.coalesce("_summary", F.lit(False))).drop("_summary")

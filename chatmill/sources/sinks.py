@@ -68,6 +68,14 @@ def append_results(results: DataFrame, path: str) -> None:
     results.write.mode("append").option("ignoreNullFields", False).json(path)
 
 
-def unfinished(tasks: DataFrame, done: DataFrame, key: str = "sample") -> DataFrame:
+def append_summary(summary: DataFrame, path: str) -> DataFrame:
+    """Append a summary as a row of the log that readers of results pass over; returns the summary as written."""
+    row = summary.sparkSession.createDataFrame(summary.collect(), summary.schema)
+    row.coalesce(1).withColumn("_summary", F.lit(True)).write.mode("append").option("ignoreNullFields", False).json(path)
+    return row
+
+
+def unfinished(tasks: DataFrame, done: DataFrame, key: str | list[str] = "sample") -> DataFrame:
     """Tasks without a row in the result log, for a restart."""
-    return tasks.join(done.select(key).distinct(), key, "left_anti")
+    keys = [key] if isinstance(key, str) else key
+    return tasks.join(done.select(*keys).distinct(), keys, "left_anti")

@@ -1,4 +1,5 @@
 import json
+import os
 import time
 
 import pytest
@@ -48,6 +49,43 @@ def test_document_evaluation(spark, tmp_path):
     assert (summary.n_total, summary.n_ok, summary.n_error, summary.edit_sim_mean) == (2, 1, 1, 1.0)
 
 
+class Counting:
+    """Answers what is asked, notes it in a file, and fails on one question until a marker file exists."""
+
+    folder = ""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def __call__(self):
+        return self.ask
+
+    def ask(self, request):
+        with open(f"{self.folder}/asked", "a") as f:
+            f.write(request.user + "\n")
+        if request.user == "q3" and not os.path.exists(f"{self.folder}/mended"):
+            raise SystemExit("the job is killed")
+        return request.user
+
+
+def test_restart_asks_only_for_what_is_missing(spark, tmp_path):
+    tasks = spark.createDataFrame([("d", "", f"q{i}", f"q{i}") for i in range(12)], "doc string, system string, question string, ground_truth string")
+    client, log = Counting(str(tmp_path)), str(tmp_path / "log")
+    with pytest.raises(Exception):
+        evaluate_document_tasks(tasks, client, log, InferSettings(retries=1), pieces=6)
+    before = spark.read.json(log).count()
+    (tmp_path / "mended").touch()
+    with open(f"{log}/part-cut.json", "w") as f:
+        f.write('{"doc": "d", "question": "q')
+    (tmp_path / "asked").write_text("")
+    summary = evaluate_document_tasks(tasks, client, log, InferSettings(retries=1), pieces=6).first()
+    assert summary.n_total == summary.n_ok == 12
+    assert 0 < before < 12 and len((tmp_path / "asked").read_text().split()) == 12 - before
+    again = evaluate_document_tasks(tasks, client, log, InferSettings(retries=1), pieces=6).first()
+    assert again.n_total == 12 and len((tmp_path / "asked").read_text().split()) == 12 - before
+    assert spark.read.json(log).filter("_summary").count() == 2
+
+
 class Canned:
     def __call__(self, request):
         if request.user == "down":
