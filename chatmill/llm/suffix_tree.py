@@ -30,8 +30,9 @@ LEAST_SHARE, WORD_SHARE = 1 / 200_000, 1e-6
 LEAST_GAIN = 12.0
 # The least that the shorter context weighs in a distribution, in counts.
 PRIOR = 2.0
-# Distinct counts that a task holds before it passes them on, and bytes of text scored side by side.
-HELD, LANES = 1_500_000, 2048
+# Numbers that wait to be merged into the counts, distinct counts that a task holds before it passes them on, bytes of text
+# scored at a time, and lanes that they are read in.
+WAITING, HELD, SCORED, LANES = 2_000_000, 1_000_000, 1_000_000, 2048
 
 _words = WordNumbers()
 _END_NUMBER = xxhash.xxh64_intdigest(b"\n")
@@ -61,7 +62,7 @@ class _Counts:
     def add(self, values: np.ndarray) -> None:
         self.waiting.append(values)
         self.size += len(values)
-        if self.size > 4_000_000:
+        if self.size > WAITING:
             self.merge()
 
     def merge(self) -> None:
@@ -250,25 +251,30 @@ def score_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", folds
             _trees[run] = tree.value, known.value
         model, (numbers, times) = _trees[run]
 
-        def tokens(found: list[bytes]) -> dict:
+        def tokens(found: list[bytes]) -> tuple[int, int, float, np.ndarray]:
             own = np.append(_words.of(found), np.uint64(_END_NUMBER)).view(np.int64)
-            at = np.minimum(np.searchsorted(numbers, own), max(len(numbers) - 1, 0))
-            here = numbers[at] == own if len(numbers) else np.zeros(len(own), bool)
-            return {"n_tokens": len(own), "known": int(here.sum()), "base": float(np.log10(times[at[here]] + 1.0).sum()) if len(numbers) else 0.0, "rare": own[~here]}
-
-        def block(found: list[list[bytes]]) -> list[dict]:
-            return [tokens(f) | {"score": s} for f, s in zip(found, model.score([symbols(f) for f in found]), strict=True)] if found else []
+            if not len(numbers):
+                return len(own), 0, 0.0, own
+            at = np.minimum(np.searchsorted(numbers, own), len(numbers) - 1)
+            here = numbers[at] == own
+            return len(own), int(here.sum()), float(np.log10(times[at[here]] + 1.0).sum()), own[~here]
 
         for column in batches:
-            rows, waiting, size = [], [], 0
+            rows, scores, waiting, size = [], [], [], 0
             for t in column:
-                waiting.append(words_of(t.as_py()))
-                size += sum(map(len, waiting[-1]))
-                if size > 4_000_000:
-                    rows += block(waiting)
+                found = words_of(t.as_py())
+                rows.append(tokens(found))
+                waiting.append(symbols(found))
+                size += len(waiting[-1])
+                if size > SCORED:
+                    scores.append(model.score(waiting))
                     waiting, size = [], 0
-            rows += block(waiting)
-            yield pa.array([{**r, "rare": list(r["rare"])} for r in rows], made)
+            if waiting:
+                scores.append(model.score(waiting))
+            n, hits, base, rare = zip(*rows, strict=True) if rows else ((), (), (), ())
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rare)]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *rare])))
+            parts = [pa.array(n, pa.int64()), pa.array(hits, pa.int64()), pa.array(base, pa.float64()), pa.array(np.concatenate([np.zeros(0), *scores])), lists]
+            yield pa.StructArray.from_arrays(parts, fields=list(made))
 
     rows = stage(texts.select(F.monotonically_increasing_id().alias("row"), "key", "held_out", measure("text").alias("m")).select("row", "key", "held_out", "m.*"), "scores")
     # Words without a count are in no text learned from: they add log10(1) = 0, and aren't known.
