@@ -45,13 +45,17 @@ def number_rows(df: DataFrame, order: list[Column | str], name: str = "row_no")
     return _number_placed(df.repartitionByRange(*cols).sortWithinPartitions(*cols), name)
 
 
-def _placed_by_hash(df: DataFrame, seed: int, ids: list[str], partitions: int | None) -> DataFrame:
+def _slots(df: DataFrame, seed: int, ids: list[str], partitions: int | None) -> tuple[int, DataFrame]:
+    """Rows with their hash `__key` and its `__slot`: md5 values are spread evenly, so equal slices of the hash range are
+    balanced partitions, and unlike a global sort this needs no sampling pass over the input."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = df.withColumn("__key", seeded_key(seed, *ids))
-    # md5 values are spread evenly, so equal slices of the hash range are balanced partitions;
-    # unlike a global sort this needs no sampling pass over the input.
-    slot = F.shiftright(hash_number(F.col("__key")) * n, 32).cast("int")
-    return keyed.repartitionById(n, slot).sortWithinPartitions("__key", *ids).drop("__key")
+    return n, keyed.withColumn("__slot", F.shiftright(hash_number(F.col("__key")) * n, 32).cast("int"))
+
+
+def _placed_by_hash(df: DataFrame, seed: int, ids: list[str], partitions: int | None) -> DataFrame:
+    n, keyed = _slots(df, seed, ids, partitions)
+    return keyed.repartitionById(n, F.col("__slot")).sortWithinPartitions("__key", *ids).drop("__key")
 
 
 def seeded_shuffle(df: DataFrame, seed: int, ids: list[str], partitions: int | None = None) -> DataFrame:
@@ -60,12 +64,21 @@ def seeded_shuffle(df: DataFrame, seed: int, ids: list[str], partitions: int | N
     The order runs through the partitions one after another and is what a sink writes out.
     `ids` must identify a row.
     """
-    return _placed_by_hash(df, seed, ids, partitions)
+    return _placed_by_hash(df, seed, ids, partitions).drop("__slot")
 
 
 def number_shuffled(df: DataFrame, seed: int, ids: list[str], name: str = "row_no", partitions: int | None = None) -> DataFrame:
-    """`seeded_shuffle` with the place in the shuffled order as a column."""
-    return _number_placed(_placed_by_hash(df, seed, ids, partitions), name)
+    """`seeded_shuffle` with the place in the shuffled order as a column.
+
+    How many rows each slot of the hash range holds follows from the ids alone, so rows are shuffled once and not written
+    in between; one offset per slot is broadcast.
+    """
+    n, keyed = _slots(df.select(*ids), seed, ids, partitions)
+    sizes = keyed.groupBy("__slot").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__slot", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    placed = _placed_by_hash(df, seed, ids, n).withColumn("__at", F.monotonically_increasing_id().bitwiseAND((1 << _ROW_BITS) - 1))
+    return placed.join(F.broadcast(offsets), "__slot").withColumn(name, F.col("__before") + F.col("__at")).drop("__slot", "__at", "__before")
 
 
 def first_rows(df: DataFrame, order: list[Column | str], n: int | None) -> DataFrame:

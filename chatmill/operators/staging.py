@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -20,6 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local:
         _local[app] = tempfile.mkdtemp(prefix="chatmill-")
+        atexit.register(shutil.rmtree, _local[app], ignore_errors=True)
     return _local[app]
 
 
