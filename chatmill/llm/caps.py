@@ -17,6 +17,7 @@ from chatmill.deploy import ship
 from chatmill.llm.components import components
 from chatmill.llm.minhash import forest, grouped
 from chatmill.llm.vectors import dimension, directions, stacked, usable
+from chatmill.llm.worker import kept
 from chatmill.operators.staging import stage
 
 # Vectors that an average filter should hold, filters that an average vector should pass, and rotations they are spread over.
@@ -80,22 +81,17 @@ class Filters:
         return [np.sort(np.concatenate(f)) if f else np.zeros(0, np.int64) for f in found]
 
 
-_codes: dict = {}
-
-
 def filter_lists(df: DataFrame, filters: Filters, vector: str = "unit", out: str = "filters") -> DataFrame:
     """Add the numbers of the filters that hold a vector of length 1 (array<long>, sorted; empty if none does)."""
     ship(df.sparkSession)
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if filters not in _codes:
-            _codes.clear()
-            _codes[filters] = filters.codes()
+        codes = kept("caps", filters, filters.codes)
         for vectors in batches:
             lists: list[np.ndarray] = []
             for low in range(0, len(vectors), BATCH):
-                lists += filters.decode(stacked(vectors.slice(low, BATCH)), _codes[filters])
+                lists += filters.decode(stacked(vectors.slice(low, BATCH)), codes)
             yield pa.array(lists, pa.list_(pa.int64()))
 
     return df.withColumn(out, decode(F.col(vector)))

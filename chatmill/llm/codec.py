@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from chatmill.deploy import ship
 from chatmill.llm.byte_level import SPLIT, read_ranks, splitter
+from chatmill.llm.worker import kept
 
 # What a Python worker remembers: pieces (and the longest one, in characters) and transitions. They bound
 # its memory only: what isn't remembered is made again.
@@ -279,7 +280,12 @@ def decode_stream(ids: Iterable[bytes], tokens: list[bytes]) -> Iterator[str]:
     yield stream.close()
 
 
-_workers: dict = {}
+def token_list(ranks: dict[bytes, int]) -> list[bytes]:
+    """Tokens by id."""
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, i in ranks.items():
+        tokens[i] = token
+    return tokens
 
 
 def with_token_ids(df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids", pattern: str = SPLIT) -> DataFrame:
@@ -295,9 +301,7 @@ def with_token_ids(df: DataFrame, vocabulary: str, text: str = "text", out: str
 
     @F.pandas_udf(T.BinaryType())
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if key not in _workers:
-            _workers[key] = Encoder(ranks.value, pattern)
-        encoder = _workers[key]
+        encoder = kept("codec", key, lambda: Encoder(ranks.value, pattern))
         for texts in batches:
             yield pd.Series([encoder.encode(t) if t else b"" for t in texts], dtype=object)
 
@@ -315,12 +319,26 @@ def with_decoded(df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "d
 
     @F.pandas_udf(T.StringType())
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if key not in _workers:
-            tokens = [b""] * (max(ranks.value.values()) + 1)
-            for token, i in ranks.value.items():
-                tokens[i] = token
-            _workers[key] = tokens
+        tokens = kept("codec", key, lambda: token_list(ranks.value))
         for packed in batches:
-            yield pd.Series([None if p is None else "".join(decode_stream([bytes(p)], _workers[key])) for p in packed], dtype=object)
+            yield pd.Series([None if p is None else "".join(decode_stream([bytes(p)], tokens)) for p in packed], dtype=object)
 
     return df.withColumn(out, decode(F.col(ids)))
+
+
+def with_round_trip(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", pattern: str = SPLIT) -> DataFrame:
+    """`with_token_ids`, and `with_decoded` of its result, in one pass: each text is encoded, and its ids are decoded again, by one worker."""
+    spark = ship(df.sparkSession)
+    ranks = spark.sparkContext.broadcast(read_ranks(vocabulary))
+    kind = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
+
+    @F.pandas_udf(kind)
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = kept("codec", ("encode", vocabulary, pattern), lambda: Encoder(ranks.value, pattern))
+        tokens = kept("codec", ("decode", vocabulary), lambda: token_list(ranks.value))
+        for texts in batches:
+            packed = [encoder.encode(t) if t else b"" for t in texts]
+            yield pd.DataFrame({"ids": pd.Series(packed, dtype=object), "decoded": pd.Series(["".join(decode_stream([p], tokens)) for p in packed], dtype=object)})
+
+    df = df.withColumn("__both", both(F.col(text)))
+    return df.withColumns({ids: F.col("__both.ids"), decoded: F.col("__both.decoded")}).drop("__both")

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from chatmill.deploy import ship
 from chatmill.llm.components import components
 from chatmill.llm.shingles import WordNumbers, mixed, shingle_set, words_of
+from chatmill.llm.worker import kept
 from chatmill.operators.staging import stage
 
 # Bands and values in each. A band takes the smallest and the largest value of the same permutations, so the 24 * 5 values
@@ -26,7 +27,10 @@ BLOCK, BLOCK_BYTES = 768, 6 << 20
 # Shingles counted at a time in a block.
 COLUMNS = 4096
 
-_words = WordNumbers()
+
+def _numbers() -> WordNumbers:
+    return kept("shingles", "words", WordNumbers)
+
 
 
 def _permutations() -> tuple[np.ndarray, np.ndarray]:
@@ -63,7 +67,7 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
         for texts in batches:
             out = []
             for t in texts:
-                s = shingle_set(_words.of(words_of(t.as_py())))
+                s = shingle_set(_numbers().of(words_of(t.as_py())))
                 out.append({"n_shingles": len(s), "sid": _print(s), "bands": band_keys(s).view(np.int64)} if len(s) else {"n_shingles": 0, "sid": None, "bands": None})
             yield pa.array(out, made)
 
@@ -82,7 +86,7 @@ def _contents(texts: DataFrame) -> DataFrame:
     @F.arrow_udf(kind)
     def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in batches:
-            sets = [shingle_set(_words.of(words_of(t.as_py()))) for t in column]
+            sets = [shingle_set(_numbers().of(words_of(t.as_py()))) for t in column]
             yield pa.array([{"sid": _print(s), "shingles": s.tobytes()} for s in sets], made)
 
     return texts.select(pack("text").alias("s")).select("s.*").dropDuplicates(["sid"])

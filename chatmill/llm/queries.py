@@ -43,11 +43,11 @@ query(op8_token_counts)
 
 
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from chatmill.llm.codec import with_decoded, with_token_ids
+    from chatmill.llm.codec import with_round_trip
 
     ranks = vocabulary("byte_bpe_50k.tiktoken")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = with_decoded(with_token_ids(docs, ranks).drop("text"), ranks)
+    coded = with_round_trip(docs, ranks)
     return coded.select(
         "doc_id",
         F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"),

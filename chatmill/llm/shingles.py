@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 # Words remembered by a Python worker; it bounds its memory only.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

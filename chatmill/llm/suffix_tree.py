@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from chatmill.deploy import ship
 from chatmill.llm.shingles import WordNumbers, words_of
+from chatmill.llm.worker import kept
 from chatmill.operators.staging import stage
 
 # Symbols: the bytes of lower-cased words (none of which is a white-space byte or A-Z), a gap between words, the end, and
@@ -34,10 +35,13 @@ PRIOR = 2.0
 # scored at a time, and lanes that they are read in.
 WAITING, HELD, SCORED, LANES = 2_000_000, 1_000_000, 1_000_000, 2048
 
-_words = WordNumbers()
 _END_NUMBER = xxhash.xxh64_intdigest(b"\n")
 
 
+def _numbers() -> WordNumbers:
+    return kept("suffix_tree", "words", WordNumbers)
+
+
 def symbols(words: list[bytes]) -> bytes:
     """A text as symbols: DEPTH times START, the words with gaps between, END."""
     return bytes([START]) * DEPTH + b" ".join(words) + b"\n"
@@ -92,7 +96,7 @@ def count_corpus(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch["text"]:
                 found = words_of(text.as_py())
-                words.add(np.append(_words.of(found), np.uint64(_END_NUMBER)))
+                words.add(np.append(_numbers().of(found), np.uint64(_END_NUMBER)))
                 grams.add(windows(np.frombuffer(symbols(found), np.uint8)))
             words.merge()
             grams.merge()
@@ -210,9 +214,6 @@ def fit_tree(counts: DataFrame, total: int, least_share: float = LEAST_SHARE, le
     return SuffixTree.build({c: found[c] for c in kept if c in found})
 
 
-_trees: dict = {}
-
-
 def score_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 7, held: int = 2) -> DataFrame:
     """Score all texts by a model of those whose crc32 of the key, as text, does not leave `held` when divided by `folds`.
 
@@ -246,13 +247,10 @@ def score_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", folds
 
     @F.arrow_udf(kind)
     def measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if run not in _trees:
-            _trees.clear()
-            _trees[run] = tree.value, known.value
-        model, (numbers, times) = _trees[run]
+        model, (numbers, times) = kept("suffix_tree", run, lambda: (tree.value, known.value))
 
         def tokens(found: list[bytes]) -> tuple[int, int, float, np.ndarray]:
-            own = np.append(_words.of(found), np.uint64(_END_NUMBER)).view(np.int64)
+            own = np.append(_numbers().of(found), np.uint64(_END_NUMBER)).view(np.int64)
             if not len(numbers):
                 return len(own), 0, 0.0, own
             at = np.minimum(np.searchsorted(numbers, own), len(numbers) - 1)

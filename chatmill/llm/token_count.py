@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from chatmill.deploy import ship
 from chatmill.llm.byte_level import SPLIT, read_merges
+from chatmill.llm.worker import kept
 
 # Pieces remembered by a Python worker, and the longest one remembered (in characters). They bound its memory only:
 # a piece that isn't remembered is merged again.
@@ -81,9 +82,6 @@ def text_counter(ranks: dict[tuple[bytes, bytes], int], whole: list[str], patter
     return count
 
 
-_counters: dict = {}
-
-
 def with_token_count(df: DataFrame, vocabulary: str, text: str = "text", out: str = "n_tokens") -> DataFrame:
     """Add the number of tokens (long) that a byte-level .json vocabulary makes of a text.
 
@@ -98,9 +96,7 @@ def with_token_count(df: DataFrame, vocabulary: str, text: str = "text", out: st
 
     @F.pandas_udf(T.LongType())
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if key not in _counters:
-            _counters[key] = text_counter(*merges.value)
-        one = _counters[key]
+        one = kept("token_count", key, lambda: text_counter(*merges.value))
         for texts in batches:
             yield pd.Series([one(t) if t else 0 for t in texts], dtype="int64")
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatmill.deploy import ship
+from chatmill.llm.worker import kept
 from chatmill.operators.staging import stage
 
 # Letters of other scripts, digits and signs that are written for Latin letters.
@@ -117,9 +118,6 @@ def matcher(lexicon: Lexicon):
     return strength
 
 
-_matchers: dict = {}
-
-
 def with_strength(df: DataFrame, lexicon: Lexicon, text: str = "text", out: str = "strength") -> DataFrame:
     """Add struct<strength double, hits long, words long>. Null, empty and wordless texts have strength 0."""
     ship(df.sparkSession)
@@ -129,11 +127,9 @@ def with_strength(df: DataFrame, lexicon: Lexicon, text: str = "text", out: str
 
     @F.pandas_udf(kind)
     def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        if key not in _matchers:
-            _matchers.clear()
-            _matchers[key] = matcher(given.value)
+        strength = kept(f"toxicity {key}", key, lambda: matcher(given.value))
         for texts in batches:
-            yield pd.DataFrame([_matchers[key](t) for t in texts], columns=["strength", "hits", "words"]).astype({"strength": "float64", "hits": "int64", "words": "int64"})
+            yield pd.DataFrame([strength(t) for t in texts], columns=["strength", "hits", "words"]).astype({"strength": "float64", "hits": "int64", "words": "int64"})
 
     return df.withColumn(out, measure(F.col(text)))
 

@@ -11,7 +11,7 @@ tiktoken = pytest.importorskip("tiktoken")
 tokenizers = pytest.importorskip("tokenizers")
 
 from chatmill.llm.byte_level import read_merges, read_ranks
-from chatmill.llm.codec import Encoder, Utf8Stream, decode_stream, with_decoded, with_token_ids
+from chatmill.llm.codec import Encoder, Utf8Stream, decode_stream, with_decoded, with_round_trip, with_token_ids
 from chatmill.llm.token_count import merged_length, text_counter, with_token_count
 
 JSON, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_50k.tiktoken")
@@ -88,5 +88,8 @@ def test_operators_on_rows(spark, library):
         assert r.n_tokens == len(ids)
         assert list(array("I", r.ids)) == ids
         assert r.decoded == (r.text or "")
+    both = with_round_trip(df, RANKS)
+    assert both.columns == df.columns
+    assert sorted((r.doc_id, bytes(r.ids), r.decoded) for r in both.collect()) == sorted((r.doc_id, bytes(r.ids), r.decoded) for r in got.collect())
     assert with_token_count(df.limit(0), JSON).collect() == []
     assert with_decoded(df.select(F.lit(None).cast("binary").alias("ids")), RANKS).first().decoded is None
