@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmill.llm.codec import with_decoded, with_token_ids
+from chatmill.llm.codec import with_round_trip
 from chatmill.llm.minhash import drop_near_duplicates
 from chatmill.llm.mixing import Mix
 from chatmill.llm.pii import with_pseudonyms
@@ -40,7 +40,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with their number and hashes of ids and decoded text."""
     ranks = vocabulary("byte_bpe_50k.tiktoken")
-    coded = with_decoded(with_token_ids(docs.select("doc_id", "source", "text"), ranks).drop("text"), ranks)
+    coded = with_round_trip(docs.select("doc_id", "source", "text"), ranks)
     return coded.select(
         "doc_id",
         "source",
