@@ -128,10 +128,10 @@ def rouge_l(t: Tables):
 
 
 @query()
-def edit_sim(t: Tables):
-    """Matching-block similarity of whole texts (no SQL: checked against brute force in the tests)."""
+def alignment_scores(t: Tables):
+    """Both scores of whole texts. The matching-block similarity has no SQL and is checked against brute force in the tests."""
     scored = _responses(t).withColumn("s", metrics.alignment_scores("response", "ground_truth"))
-    return scored.select("conv_id", "turn", F.bround("s.edit_sim", 6).alias("edit_sim"))
+    return scored.select("conv_id", "turn", "s.rougeL_f", F.bround("s.edit_sim", 6).alias("edit_sim"))
 
 
 @query(

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from chatmill.operators.trainlog import ALPHA, GRAD_NORM_ALPHA, ema, entry_series, entry_step, merge_history, perplexity
 from chatmill.schemas import LOG_ENTRY
 from chatmill.sources.jsonl import path_exists
+from chatmill.streaming.results import ONCE
 
 REFRESH_STEPS = 50
 
@@ -20,15 +21,15 @@ def panel_table(prior: DataFrame, current: DataFrame) -> DataFrame:
     series = entry_series(merge_history(prior, current))
     # An entry without a step of its own may repeat one; the value breaks the tie.
     order = ("step", "value")
-    loss = ema(series.filter(F.col("tag") != "grad_norm"), alpha=ALPHA, order=order)
+    loss = ema(series.filter(F.col("tag") == "train_loss"), alpha=ALPHA, order=order)
     norm = ema(series.filter(F.col("tag") == "grad_norm"), alpha=GRAD_NORM_ALPHA, order=order)
+    others = series.filter(~F.col("tag").isin("train_loss", "grad_norm")).withColumn("ema", F.lit(None).cast("double"))
     train = F.col("tag") == "train_loss"
-    smooth = F.col("tag").isin("train_loss", "grad_norm")
-    return loss.unionByName(norm).select(
+    return loss.unionByName(norm).unionByName(others).select(
         "tag",
         "step",
         "value",
-        F.when(smooth, F.col("ema")).alias("ema"),
+        "ema",
         F.when(train, perplexity(F.col("value"))).alias("perplexity"),
         F.when(train, perplexity(F.col("ema"))).alias("perplexity_ema"),
     )
@@ -64,12 +65,12 @@ class TrainingMonitor:
         if step is not None and step - self._last_refresh() >= self.every:
             self.refresh(step)
 
-    def start(self, entries: DataFrame, checkpoint: str) -> StreamingQuery | None:
-        """Follow a stream of log entries; None (no monitor) if `every` is not positive."""
+    def start(self, entries: DataFrame, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery | None:
+        """Follow a stream of log entries, with a `trigger` as results.ONCE has it; None (no monitor) if `every` is not positive."""
         if self.every <= 0:
             return None
         writer = entries.writeStream.option("checkpointLocation", checkpoint)
-        return writer.foreachBatch(self.on_batch).trigger(availableNow=True).start()
+        return writer.foreachBatch(self.on_batch).trigger(**trigger).start()
 
     def finish(self) -> None:
         """The refresh at the end of training."""

@@ -10,6 +10,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
+# How often a job looks for new rows, in the words of DataStreamWriter.trigger: here once, for what is there. A job that
+# follows a live run takes {"processingTime": "10 seconds"}.
+ONCE = {"availableNow": True}
+
+
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", files_per_batch: int | None = None, glob: str | None = None) -> DataFrame:
     reader = spark.readStream.format(fmt).schema(schema)
     if files_per_batch:
@@ -19,13 +24,17 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.load(path)
 
 
-def append_scored(rows: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> StreamingQuery:
+def append_scored(
+    rows: DataFrame, score: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, trigger: dict = ONCE
+) -> StreamingQuery:
     """Score arriving rows and append them; finished rows outlive a crash and are not scored twice."""
     writer = score(rows).writeStream.format("parquet").option("checkpointLocation", checkpoint)
-    return writer.outputMode("append").trigger(availableNow=True).start(out)
+    return writer.outputMode("append").trigger(**trigger).start(out)
 
 
-def rolling_summary(rows: DataFrame, keys: list[str], metrics: tuple[str, ...], out: str, checkpoint: str) -> StreamingQuery:
+def rolling_summary(
+    rows: DataFrame, keys: list[str], metrics: tuple[str, ...], out: str, checkpoint: str, trigger: dict = ONCE
+) -> StreamingQuery:
     """Keep a summary table current: rows, ok rows and metric means per key, rewritten with every batch.
 
     The state is one row of sums per key. Means are over ok rows.
@@ -38,4 +47,4 @@ def rolling_summary(rows: DataFrame, keys: list[str], metrics: tuple[str, ...],
         batch.write.mode("overwrite").parquet(out)
 
     writer = summary.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
-    return writer.foreachBatch(replace).trigger(availableNow=True).start()
+    return writer.foreachBatch(replace).trigger(**trigger).start()

@@ -149,6 +149,19 @@ def test_asking_in_a_stream(spark, tmp_path):
     assert got == {"a": ("ok", 1.0), "none": ("ok", 0.0), "fail 9": ("error", None)}
 
 
+def test_a_stream_that_follows_a_run(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = read_stream(spark, str(tmp_path / "in"), LOG_ENTRY)
+    query = append_scored(stream, lambda rows: rows, str(tmp_path / "out"), str(tmp_path / "cp"), trigger={"processingTime": "0 seconds"})
+    try:
+        for step in (1, 2):
+            (tmp_path / "in" / f"{step}.json").write_text(json.dumps({"step": step, "loss": 1.0}) + "\n")
+            query.processAllAvailable()
+            assert query.isActive and spark.read.parquet(str(tmp_path / "out")).count() == step
+    finally:
+        query.stop()
+
+
 def test_training_monitor(spark, tmp_path):
     (tmp_path / "in").mkdir()
     prior = spark.createDataFrame([(1, None, 9.0, None, None, None), (12, None, 8.0, None, None, None)], LOG_ENTRY)
