@@ -17,7 +17,7 @@ from chatmill.llm.worker import kept
 
 # What a Python worker remembers: pieces (and the longest one, in characters) and transitions. They bound
 # its memory only: what isn't remembered is made again.
-REMEMBERED, LONGEST, TRANSITIONS = 300_000, 48, 200_000
+REMEMBERED, LONGEST, TRANSITIONS = 600_000, 48, 250_000
 # A way is given up early where at most so many tokens could still end it and none can follow.
 FEW = 8
 # Ids decoded at a time.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 _held: dict = {}
@@ -19,4 +20,5 @@ def kept(owner: str, key, make: Callable):
         _owner[:] = [owner]
     if key not in _held:
         _held[key] = make()
+        gc.freeze()  # large tables that stay: the garbage collector need not look through them again and again
     return _held[key]
