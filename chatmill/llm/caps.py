@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -20,65 +19,136 @@ from chatmill.llm.vectors import dimension, directions, stacked, usable
 from chatmill.llm.worker import kept
 from chatmill.operators.staging import stage
 
-# Vectors that an average filter should hold, filters that an average vector should pass, and rotations they are spread over.
-PER_FILTER, PER_VECTOR, ROTATIONS = 48, 32, 4
+# Vectors that an average filter should hold, and filters of a rotation that an average vector should pass.
+PER_FILTER, PER_ROTATION = 48, 1
+# Chance that a pair just near enough has no filter in common. There are as many rotations as that takes.
+MISS = 1e-6
+# Pairs and codes that the chance of one rotation is measured with; below so many components the space is not cut in two.
+TRIALS, CODES, CUT = 64, 64, 8
 # Members of a filter that are compared with as many others in one task.
 BLOCK = 1024
-# Vectors that are decoded at a time, and inner products of whole filters held at a time.
+# Vectors that are decoded at a time, and inner products with filters held at a time.
 BATCH, PRODUCTS = 512, 1 << 22
 
 
+def cap_limit(share: float, size: int) -> float:
+    """The inner product that a random direction has with a vector of length 1, of `size` components, with the chance `share`."""
+    if size == 1:
+        return 0.5
+    angle = np.linspace(0, math.pi, 1 << 17)
+    density = np.sin(angle) ** (size - 2)
+    area = np.concatenate([[0.0], np.cumsum(density[1:] + density[:-1])])
+    return math.cos(np.interp(share, area / area[-1], angle))
+
+
+def cap_share(limit: float, size: int) -> float:
+    """The inverse of `cap_limit`."""
+    if size == 1:
+        return 0.5
+    angle = np.linspace(0, math.pi, 1 << 17)
+    density = np.sin(angle) ** (size - 2)
+    area = np.concatenate([[0.0], np.cumsum(density[1:] + density[:-1])])
+    return float(np.interp(math.acos(limit), angle, area / area[-1]))
+
+
 @dataclass(frozen=True)
 class Filters:
     """Directions of a product code in several rotations, and how near a vector must come to pass.
 
     In each rotation the space is cut in two; a direction is a pair of random directions, one for each half. The inner product
-    of a vector with a direction is a sum of two, so all directions beyond the limit are listed from the sorted products
-    of the halves, without trying all pairs.
+    of a vector with a direction is a sum of two, so all directions beyond the limit are listed from the products of the
+    halves, without trying all pairs. Spaces of few components are not cut: there the right half is empty, with one direction.
     """
 
     size: int  # components of a vector
     half: int  # directions of each half
     limit: float  # inner product at which a direction holds a vector
+    rotations: int
     seed: int = 42
 
     @staticmethod
-    def fit(vectors: int, size: int) -> Filters:
-        """Filters for so many vectors: a cap holds PER_FILTER of evenly spread ones, and there are enough for PER_VECTOR each."""
+    def fit(vectors: int, size: int, least: float = 0.95) -> Filters:
+        """Filters for so many vectors, of which a pair at the cosine `least` has none in common with a chance of MISS.
+
+        A cap holds PER_FILTER of evenly spread vectors, more if it would be narrower than the pair. Rotations are drawn
+        independently of each other and of the vectors, so whatever the pair is, the chance is the power of that of one rotation; this
+        one is measured on random pairs and codes, and taken at three standard errors above the mean. Caps that too few pairs
+        share are widened.
+        """
         share = min(0.25, PER_FILTER / max(vectors, 1))
-        count = max(16.0, PER_VECTOR / ROTATIONS / share)
-        half = math.ceil(math.sqrt(count))
-        return Filters(size, half, NormalDist().inv_cdf(1 - share) / math.sqrt(size))
+        while True:
+            limit = min(cap_limit(share, size), max(least, 0.0))
+            share = max(share, cap_share(limit, size))
+            count = max(16.0, PER_ROTATION / share)
+            one = Filters(size, math.ceil(math.sqrt(count) if size >= CUT else count), limit, 1)
+            chance = one.missed(least)
+            if chance < 0.9 or share >= 0.5:
+                break
+            share = min(0.5, share * 2)
+        if chance >= 1:
+            raise ValueError(f"no filters find pairs at cosine {least}")
+        return Filters(size, one.half, limit, math.ceil(math.log(MISS) / math.log(max(chance, MISS))))
+
+    def missed(self, least: float) -> float:
+        """The chance that a pair at the cosine `least` shares no filter of one rotation, three standard errors added."""
+        none = np.zeros(CODES)
+        for k in range(CODES):
+            rng = np.random.default_rng([self.seed, k, 1])
+            left, right = self._halves(rng)
+            x, y = directions(rng.standard_normal((TRIALS, self.size))), rng.standard_normal((TRIALS, self.size))
+            if self.size > 1:
+                y = directions(y - (x * y).sum(axis=1, keepdims=True) * x)
+                y = least * x + math.sqrt(max(0.0, 1 - least * least)) * y
+            else:
+                y = x if least > -1 else -x
+            pairs = [Filters._sums(v, left, right) for v in (x, y)]
+            for t in range(TRIALS):
+                # Only directions that can reach the limit with the best of the other half, for both vectors.
+                rows = np.logical_and.reduce([a[t] >= self.limit - b[t].max() for a, b in pairs])
+                columns = np.logical_and.reduce([b[t] >= self.limit - a[t].max() for a, b in pairs])
+                both = np.logical_and.reduce([a[t][rows][:, None] + b[t][columns][None, :] >= self.limit for a, b in pairs])
+                none[k] += not both.any()
+        none /= TRIALS
+        return float(none.mean() + 3 * none.std() / math.sqrt(CODES))
+
+    @property
+    def cut(self) -> int:
+        return self.size // 2 if self.size >= CUT else self.size
+
+    def _halves(self, rng: np.random.Generator) -> list[np.ndarray]:
+        halves = [rng.standard_normal((self.half, self.cut)), rng.standard_normal((self.half if self.cut < self.size else 1, self.size - self.cut))]
+        return [h * (math.sqrt(h.shape[1] / self.size) / np.maximum(np.linalg.norm(h, axis=1, keepdims=True), 1e-300)) for h in halves]
+
+    @staticmethod
+    def _sums(units: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        cut = left.shape[1]
+        return units[:, :cut] @ left.T, units[:, cut:] @ right.T
 
     def codes(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(rotation, left, right) for each rotation."""
         out = []
-        for r in range(ROTATIONS):
+        for r in range(self.rotations):
             rng = np.random.default_rng([self.seed, r])
-            turn, _ = np.linalg.qr(rng.standard_normal((self.size, self.size)))
-            cut = max(1, self.size // 2)
-            halves = [rng.standard_normal((self.half, n)) for n in (cut, self.size - cut)]
-            scale = [math.sqrt(h.shape[1] / self.size) / np.maximum(np.linalg.norm(h, axis=1, keepdims=True), 1e-300) for h in halves]
-            out.append((turn, halves[0] * scale[0], halves[1] * scale[1]))
+            turn, upper = np.linalg.qr(rng.standard_normal((self.size, self.size)))
+            out.append((turn * np.sign(np.diag(upper)), *self._halves(rng)))
         return out
 
     def decode(self, units: np.ndarray, codes: list) -> list[np.ndarray]:
         """For each vector of length 1 the sorted numbers of all filters that hold it."""
-        cut = max(1, self.size // 2)
-        found: list[list[np.ndarray]] = [[] for _ in units]
+        owners, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for r, (turn, left, right) in enumerate(codes):
-            turned = units @ turn
-            a, b = turned[:, :cut] @ left.T, turned[:, cut:] @ right.T
-            for i in range(len(units)):
-                by_right = np.argsort(-b[i], kind="stable")
-                falling = -b[i][by_right]
-                # Of each left direction as many of the sorted right ones as keep the sum at the limit or above.
-                reach = np.searchsorted(falling, a[i] - self.limit, side="right")
-                lefts = np.flatnonzero(reach)
-                if len(lefts):
-                    base = (r * self.half + lefts) * self.half
-                    found[i].append(np.concatenate([x + by_right[:n] for x, n in zip(base, reach[lefts], strict=True)]))
-        return [np.sort(np.concatenate(f)) if f else np.zeros(0, np.int64) for f in found]
+            a, b = self._sums(units @ turn, left, right)
+            # Left directions that reach the limit with the best right one: few of all.
+            at, lefts = np.nonzero(a >= self.limit - b.max(axis=1, keepdims=True))
+            step = max(1, PRODUCTS // len(right))
+            for low in range(0, len(at), step):
+                i, j = at[low : low + step], lefts[low : low + step]
+                k, rights = np.nonzero(a[i, j][:, None] + b[i] >= self.limit)
+                owners.append(i[k])
+                numbers.append((r * self.half + j[k]) * self.half + rights)
+        owner, number = np.concatenate(owners), np.concatenate(numbers)
+        order = np.lexsort((number, owner))
+        return np.split(number[order], np.cumsum(np.bincount(owner, minlength=len(units)))[:-1]) if len(units) else []
 
 
 def filter_lists(df: DataFrame, filters: Filters, vector: str = "unit", out: str = "filters") -> DataFrame:
@@ -175,9 +245,8 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
 
     Rows of equal components are one member with a number of copies. Each member goes to every filter direction that it
     exceeds; members that meet in a filter are compared on all components, in blocks of bounded size. A filter passes on
-    one count for each member and enough links to connect them, never pairs. Two vectors at cosine 0.95 have about half of
-    their filters (PER_VECTOR on average) in common; a pair that shares none would be missed, with a chance near
-    exp(-PER_VECTOR / 2), and the tests compare with all pairs.
+    one count for each member and enough links to connect them, never pairs. A pair that shares no filter is missed: at the
+    cosine `least` with a chance of MISS, nearer ones with less, whatever the number of vectors and of their components.
     """
     ship(df.sparkSession)
     rows = df.select(F.col(key).alias("key"), F.col(vector).alias("vector"))
@@ -189,7 +258,7 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     if size is None:
         return df.select(F.col(key), F.lit(0).cast("long").alias("n_links"), F.col(key).alias("component_id"), F.lit(True).alias("kept"))
     units = _unit_column(members.select("id", "copies", "vector"), "vector", "unit").drop("vector")
-    held = stage(filter_lists(units, Filters.fit(members.count(), size)), "caps")
+    held = stage(filter_lists(units, Filters.fit(members.count(), size, least)), "caps")
 
     met = held.select("id", F.explode("filters").alias("bucket"))
     stats = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("bucket", F.ceil(F.col("m") / BLOCK).cast("long").alias("blocks"))

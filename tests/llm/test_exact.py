@@ -270,6 +270,22 @@ def test_filters_list_all_directions_beyond_the_limit():
         assert sorted(want) == found.tolist()
 
 
+@pytest.mark.parametrize(("vectors", "size"), [(20_000, 64), (1_000_000, 64), (100_000, 24), (50_000, 8), (10_000, 3), (200, 2), (100, 1)])
+def test_near_pairs_share_a_filter_in_large_tables(vectors, size):
+    filters = Filters.fit(vectors, size)
+    codes = filters.codes()
+    rng = np.random.default_rng(5)
+    x, y = rng.standard_normal((2, 1500, size))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if size > 1:
+        y -= (x * y).sum(axis=1, keepdims=True) * x
+        y = 0.9501 * x + math.sqrt(1 - 0.9501**2) * y / np.linalg.norm(y, axis=1, keepdims=True)
+    else:
+        y = x
+    missed = sum(not np.intersect1d(a, b).size for a, b in zip(filters.decode(x, codes), filters.decode(y, codes), strict=True))
+    assert missed == 0
+
+
 def test_nearest_recall(spark, clouds, monkeypatch):
     import chatmill.llm.projected as projected
 
