@@ -18,7 +18,8 @@ from chatmill.llm.worker import kept
 from chatmill.operators.staging import stage
 
 # Bands and values in each. A band takes the smallest and the largest value of the same permutations, so the 24 * 5 values
-# come from 60 permutations. Texts that share 85 % of their shingles miss all bands with a chance of (1 - 0.85 ** 5) ** 24 < 1e-6.
+# come from 60 permutations. Texts that share 85 % of their shingles miss all bands with a chance of (1 - 0.85 ** 5) ** 24 = 7.7e-7,
+# those that share 80 % with (1 - 0.8 ** 5) ** 24 = 7.3e-5.
 BANDS, ROWS = 24, 5
 # Bands whose buckets are compared whole; of the others only buckets that still hold several components are.
 FIRST_BANDS = 4
@@ -250,7 +251,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     return out.select(F.col("key").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("key"), F.lit(True)).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 85) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 80) -> DataFrame:
     """`docs` with one row of each group: the one with the smallest key. Rows with a null key stay."""
     kept = near_duplicates(docs, key, text, least).filter("kept").select(F.col(key).alias("__kept")).distinct()
     # Both are dealt by the key, so that repeated rows of a key meet without another shuffle.

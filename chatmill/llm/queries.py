@@ -110,7 +110,7 @@ query(op1_pseudonyms)
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatmill.llm.minhash import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), least=85)
 
 
 query(

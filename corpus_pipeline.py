@@ -23,8 +23,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, the one of smallest id, of each group of near copies."""
-    return drop_near_duplicates(docs)
+    """Keep one document, the one of smallest id, of each group of near copies, which share 80 % of their shingles or more."""
+    return drop_near_duplicates(docs, least=80)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

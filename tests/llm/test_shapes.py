@@ -49,6 +49,18 @@ def test_near_duplicates(docs):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 7]
 
 
+def test_pipeline_drops_copies_that_share_80_percent(spark):
+    import corpus_pipeline
+
+    first = [f"w{i}" for i in range(94)]  # 90 shingles
+    texts = [first, [*first[:84], *(f"y{i}" for i in range(10))], [*first[:60], *(f"z{i}" for i in range(34))]]
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    shared = [len(a & b) / len(a | b) for a, b in ((sets[0], sets[1]), (sets[0], sets[2]), (sets[1], sets[2]))]
+    assert 0.8 <= shared[0] < 0.85 and max(shared[1:]) < 0.7
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, rows, "").collect()) == [0, 2]
+
+
 def test_toxicity(docs, labels):
     got = {r.doc_id: r for r in score_toxicity(docs, labels).collect()}
     assert len(got) == 8 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got.values())
