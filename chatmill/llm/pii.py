@@ -187,19 +187,31 @@ def _ssn(found: Column, key: Column) -> Column:
     return _let(parts, lambda p: F.when(valid(p), change(p)).otherwise(found))
 
 
-def _phone(found: Column, key: Column) -> Column:
-    """Ten digits after an optional +1; area and exchange codes start with 2 to 9, before and after."""
+def _phone(found: Column, key: Column, every: bool) -> Column:
+    """Ten digits after an optional +1; area and exchange codes start with 2 to 9, before and after.
+
+    With `every`, other numbers change too: those with an area code below 200, and those with only the exchange code below 200,
+    are permuted each among themselves, so that no two numbers become one.
+    """
 
     def change(d: Column) -> Column:
         ten = F.right(d, F.lit(10))
         area, exchange = F.substring(ten, 1, 3).cast("long"), F.substring(ten, 4, 3).cast("long")
-        pair = permute_pair(area - 200, (exchange - 200) * 10000 + F.substring(ten, 7, 4).cast("long"), F.lit(800), F.lit(8_000_000), F.concat_ws("#", key, F.lit("phone")), strong_mixer)
+        low, short = area < 200, exchange < 200
+
+        def of(below: int, only_exchange: int, valid: int) -> Column:
+            """One of three values, by the set that the number is in."""
+            return F.when(low, F.lit(below)).when(short, F.lit(only_exchange)).otherwise(F.lit(valid))
+
+        areas, exchanges = of(0, 200, 200), of(0, 0, 200)
+        tag = F.when(low, F.lit("phone area")).when(short, F.lit("phone exchange")).otherwise(F.lit("phone"))
+        pair = permute_pair(area - areas, (exchange - exchanges) * 10000 + F.substring(ten, 7, 4).cast("long"), of(200, 800, 800), of(10_000_000, 2_000_000, 8_000_000), F.concat_ws("#", key, tag), strong_mixer)
 
         def show(p: Column) -> Column:
-            made = F.concat(_padded(p["l"] + 200, 3), _padded(F.floor(p["r"] / 10000) + 200, 3), _padded(p["r"] % 10000, 4))
+            made = F.concat(_padded(p["l"] + areas, 3), _padded(F.floor(p["r"] / 10000) + exchanges, 3), _padded(p["r"] % 10000, 4))
             return _refilled(found, F.concat(F.left(d, F.length(d) - 10), made))
 
-        return F.when((area >= 200) & (exchange >= 200), _let(pair, show)).otherwise(found)
+        return _let(pair, show) if every else F.when(~low & ~short, _let(pair, show)).otherwise(found)
 
     return _let(_digits(found), change)
 
@@ -219,7 +231,7 @@ def _email(found: Column, key: Column) -> Column:
     return F.concat(F.lit("u"), F.substring(F.sha2(F.concat_ws("#", key, F.lit("email"), F.lower(found)), 256), 1, 16), F.lit("@example.org"))
 
 
-def pseudonym(found: Column, key: Column) -> Column:
+def pseudonym(found: Column, key: Column, every_phone: bool = False) -> Column:
     """The pseudonym of a text that is one find of `ANY`; the text itself if it fails its kind's test."""
 
     def is_kind(pattern: str) -> Column:
@@ -229,20 +241,24 @@ def pseudonym(found: Column, key: Column) -> Column:
     for kind, pattern in KINDS.items():
         if kind == "email":
             continue
-        made = _date(found, key, kind) if kind.endswith("date") else {"iban": _iban, "ip": _ip, "ssn": _ssn, "card": _card, "phone": _phone, "abroad": _abroad}[kind](found, key)
+        if kind == "phone":
+            made = _phone(found, key, every_phone)
+        else:
+            made = _date(found, key, kind) if kind.endswith("date") else {"iban": _iban, "ip": _ip, "ssn": _ssn, "card": _card, "abroad": _abroad}[kind](found, key)
         out = out.when(is_kind(pattern), made)
     return out.otherwise(found)
 
 
-def with_pseudonyms(df: DataFrame, key: str, text: str = "text", length: str | None = "n_chars", count: str | None = None) -> DataFrame:
+def with_pseudonyms(df: DataFrame, key: str, text: str = "text", length: str | None = "n_chars", count: str | None = None, every_phone: bool = False) -> DataFrame:
     """Replace personal data in a text by pseudonyms of the same format.
 
     Found and replaced: card numbers (check digit right), IBANs (remainder right), US social security numbers and phone
     numbers of their ranges, international phone numbers, IPv4 addresses, dates from 1900 to 2099 that exist, and mail
     addresses. Numbers and dates are permuted within their format by Feistel rounds keyed by `key`: a valid number becomes
     another valid number, different numbers stay different, and a number becomes the same one in every document. Mail
-    addresses become the first 64 bits of a keyed hash. Numbers that fail their test stay. No digits, signs or blanks
-    around a number change.
+    addresses become the first 64 bits of a keyed hash. Numbers that fail their test stay, but with `every_phone` a phone
+    number of the format is replaced whatever its area and exchange codes are. No digits, signs or blanks around a number
+    change.
 
     Null stays null and empty stays empty; a column `length`, where there is one, is set to the new number of characters of
     changed texts. `count` names a column for the number of replacements. Only column expressions, no shuffle. Keep `key`
@@ -252,7 +268,7 @@ def with_pseudonyms(df: DataFrame, key: str, text: str = "text", length: str | N
     # Every find holds a digit or an at sign, which most texts lack.
     found = F.when(body.rlike("[0-9@]") & body.rlike(ANY), F.regexp_extract_all(body, F.lit(ANY), F.lit(0)))
     df = df.withColumn("__found", found)
-    df = df.withColumn("__made", F.transform("__found", lambda m: pseudonym(m, secret)))
+    df = df.withColumn("__made", F.transform("__found", lambda m: pseudonym(m, secret, every_phone)))
     joined = F.array_join(F.flatten(F.zip_with(F.split(body, ANY, -1), "__made", lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))), "")
     df = df.withColumn("__text", F.when(F.col("__made").isNotNull(), joined).otherwise(body))
     changed = {text: F.col("__text")}

@@ -101,7 +101,7 @@ def op1_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from chatmill.llm.pii import with_pseudonyms
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
-    return with_pseudonyms(docs, key="an example key", count="n_replaced")
+    return with_pseudonyms(docs, key="an example key", count="n_replaced", every_phone=True)
 
 
 query(op1_pseudonyms)

@@ -29,7 +29,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by pseudonyms of the same format."""
-    return with_pseudonyms(docs, PSEUDONYM_KEY)
+    return with_pseudonyms(docs, PSEUDONYM_KEY, every_phone=True)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -158,6 +158,28 @@ def test_pseudonyms(spark):
     assert len(set(made.values())) == len(made)
 
 
+def test_every_phone_is_replaced(spark, tmp_path):
+    import corpus_pipeline
+    from chatmill.llm.queries import QUERIES
+
+    rng = random.Random(12)
+    codes = [(a, b) for a in (0, 17, 100, 199, 200, 999) for b in (0, 123, 199, 200, 999)]
+    phones = ["+1 (017) 555-7713", *(f"+1 ({a:03d}) {b:03d}-{rng.randrange(10000):04d}" for a, b in codes for _ in range(4)), "017-555-7713"]
+    docs = spark.createDataFrame([(i, f"call {p}, or {p}.", 0) for i, p in enumerate(phones)], "doc_id long, text string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in QUERIES["op1_pseudonyms"](spark, str(tmp_path)).collect()}
+    assert {i: r.text for i, r in got.items()} == {r.doc_id: r.text for r in corpus_pipeline.pseudonyms(spark, docs, "").collect()}
+    made = set()
+    for i, old in enumerate(phones):
+        a, b = re.fullmatch(r"call (.*), or (.*)\.", got[i].text).groups()
+        assert a == b != old and got[i].n_replaced == 2
+        assert re.sub("[0-9]", "0", a) == re.sub("[0-9]", "0", old) and a.startswith("+1") == old.startswith("+1")
+        # Numbers of the three sets stay in their set.
+        assert [[int(x) < 200 for x in re.findall("[0-9]{3}", v)[:1]] for v in (a, old)] in ([[True], [True]], [[False], [False]])
+        made.add(a)
+    assert len(made) == len(set(phones))
+
+
 def test_pseudonyms_permute_all_days(spark):
     days = spark.range(73049).select("id", F.date_format(F.date_add(F.lit("1900-01-01").cast("date"), F.col("id").cast("int")), "yyyy-MM-dd").alias("text"))
     got = with_pseudonyms(days, "k")
