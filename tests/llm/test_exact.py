@@ -330,6 +330,12 @@ def test_chi_square_limit():
     assert chi_square_limit(0.99, 8) == pytest.approx(20.090, abs=1e-3)
 
 
+def test_nearest_searches_until_995_of_1000_are_reached():
+    import chatmill.llm.projected as projected
+
+    assert projected.CERTAINTY >= 0.995
+
+
 def test_targets(spark):
     sizes = [("a", 1000), ("b", 50), ("c", 400), ("d", 0), (None, 100), ("é", 30)]
     got = {r.source: r.target for r in mixing.source_targets(spark.createDataFrame(sizes, "source string, source_size long")).collect()}
