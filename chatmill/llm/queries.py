@@ -176,3 +176,51 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query(op6_nearest)
+
+
+def op11_value_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import hashlib
+
+    from chatmill.llm.value_codes import compress
+    from chatmill.operators.staging import stage
+
+    coded, books = compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    coded = stage(coded.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label"), "coded")
+    # Written, so that the join sees its size: a short table is broadcast, a long one is joined by sorting, its hot labels split.
+    sums = stage(coded.groupBy("label").agg(F.sum("error").alias("label_error")).withColumnRenamed("label", "of"), "label_errors")
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    return coded.join(sums, F.col("label").eqNullSafe(F.col("of"))).select("vec_id", "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+_NEAREST = """
+    SELECT k, p, x, arg_min(e, d * 64 + e) AS e, min(d) AS d FROM (
+        SELECT a.k, a.p, a.x, c.e, list_sum([(a.x[i] - c.v[i]) * (a.x[i] - c.v[i]) FOR i IN range(1, len(a.x) + 1)])::BIGINT AS d FROM parts a JOIN {books} c USING (p)
+    ) GROUP BY ALL"""
+_MOVED = """
+    SELECT c.p, c.e, coalesce(m.v, c.v) AS v FROM {books} c LEFT JOIN (
+        SELECT p, e, list(floor_mean ORDER BY i) AS v FROM (
+            SELECT p, e, i, ((sum(x[i]) - ((sum(x[i]) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS floor_mean
+            FROM {near}, (SELECT unnest(range(1, 513)) AS i) WHERE i <= len(x) GROUP BY ALL
+        ) GROUP BY ALL
+    ) m USING (p, e)"""
+
+query(
+    op11_value_codes,
+    f"""
+    WITH kept AS MATERIALIZED (
+        SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, n) AS k, vec_id, label, n, len(n) // 16 AS w FROM (
+            SELECT vec_id, label, [floor(x::DOUBLE * 256)::BIGINT FOR x IN embedding] AS n FROM embeddings
+            WHERE len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)
+    ), parts AS MATERIALIZED (SELECT k, p, n[p * w + 1:p * w + w] AS x FROM kept, (SELECT unnest(range(16)) AS p)
+    ), c0 AS MATERIALIZED (SELECT p, k - 1 AS e, x AS v FROM parts WHERE k <= 64
+    ), n0 AS MATERIALIZED ({_NEAREST.format(books="c0")}
+    ), c1 AS MATERIALIZED ({_MOVED.format(books="c0", near="n0")}
+    ), n1 AS MATERIALIZED ({_NEAREST.format(books="c1")}
+    ), c2 AS MATERIALIZED ({_MOVED.format(books="c1", near="n1")}
+    ), n2 AS MATERIALIZED ({_NEAREST.format(books="c2")}
+    ), coded AS (SELECT k, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM n2 GROUP BY k
+    ), digest AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c2)
+    SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+    FROM kept JOIN coded USING (k), digest
+    """,
+)
