@@ -224,3 +224,82 @@ query(
     FROM kept JOIN coded USING (k), digest
     """,
 )
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatmill.llm.turn_repair import digests, repair_conversations
+
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    or_space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = turns.withColumn("f", F.pmod(F.crc32(F.concat_ws(":", or_space("conv_id"), or_space("turn"))), F.lit(20))).filter("f <> 0")
+    damaged = fault.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("f") == 4, "user").otherwise(or_space("role")).alias("role"),
+        F.when(F.col("f") == 1, "").when(F.col("f") == 2, F.regexp_replace(or_space("text"), "[.!?]", "")).otherwise(or_space("text")).alias("text"),
+        F.explode(F.expr("array_repeat(0, if(f = 3, 2, 1))")),
+    )
+    done = digests(repair_conversations(damaged)).withColumnRenamed("conv_id", "c")
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    # A conversation with all its rows dropped has no edits and nothing to hash.
+    texts = F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return turns.select("conv_id").distinct().join(done, F.col("conv_id").eqNullSafe(F.col("c")), "left").select("conv_id", *counts, *texts)
+
+
+_CRC = """list_reduce([4294967295] || [unicode(c) FOR c IN string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '')],
+            lambda crc, b: list_reduce([xor(crc, b)] || range(8), lambda x, i: if(x % 2 = 1, xor(x >> 1, 3988292384), x >> 1)))"""
+
+
+def _least(state: int, letter: str, after: int, kept: str = "NULL") -> str:
+    """SQL: the cheapest continuation from a state, as struct (c cost, a audit, r repaired turns); `after` is the state behind a turn of the wanted role."""
+    name = {"u": "user", "a": "assistant"}[letter]
+    extra = "if(truncated, 5, 0)"
+    stay = f"if(gone, NULL, {{'c': {extra} + 1 + v{after}.c, 'a': 'R' || v{after}.a, 'r': ['{name}:' || text] || v{after}.r}})"
+    return f"""list_min([x FOR x IN [
+            {{'c': 2 + v{state}.c, 'a': 'D' || v{state}.a, 'r': v{state}.r}}, {stay},
+            if(NOT gone AND initial = '{letter}', {{'c': {extra} + v{after}.c, 'a': 'K' || v{after}.a, 'r': [role || ':' || text] || v{after}.r}}, NULL), {kept}] IF x IS NOT NULL])"""
+
+
+def _insert(own: str, letter: str, after: str) -> str:
+    name = {"u": "user", "a": "assistant"}[letter]
+    return f"list_min([{own}, {{'c': 5 + {after}.c, 'a': 'I' || {after}.a, 'r': ['{name}:'] || {after}.r}}])"
+
+
+query(
+    op13_turn_repair,
+    f"""
+    WITH RECURSIVE marked AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor({_CRC}, 4294967295) % 20 AS f FROM conversations
+    ), damaged AS (
+        SELECT conv_id, turn, if(f = 4, 'user', role) AS role, CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM marked, (SELECT unnest([1, 2]) AS copy) WHERE f <> 0 AND (copy = 1 OR f = 3)
+    ), numbered AS (
+        SELECT *, row_number() OVER w AS i, lag(role[1]) OVER w AS earlier, rtrim(text, E' \\t\\n\\x0b\\x0c\\r') AS t
+        FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS nth FROM damaged)
+        WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(role || ':' || text), length(role), nth)
+    ), said AS MATERIALIZED (
+        SELECT conv_id, turn, role, text, i, role[1] AS initial, t = '' AS blank, t <> '' AND nth > 1 AS duplicate, t = '' OR nth > 1 AS gone,
+            t <> '' AND nth = 1 AND t[-1] NOT IN ('.', '!', '?') AS truncated, i > 1 AND earlier || role[1] NOT IN ('su', 'ua', 'au') AS illegal
+        FROM numbered
+    ), sums AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate,
+            count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal, count(*) AS n
+        FROM said GROUP BY 1
+    ), walk AS (
+        SELECT conv_id, n AS i, {{'c': 0, 'a': '', 'r': []::VARCHAR[]}} AS v0, {{'c': 10, 'a': 'II', 'r': ['user:', 'assistant:']}} AS v1,
+            {{'c': 5, 'a': 'I', 'r': ['assistant:']}} AS v2, {{'c': 0, 'a': '', 'r': []::VARCHAR[]}} AS v3 FROM sums
+        UNION ALL
+        SELECT conv_id, i, {_insert("w0", "u", "y2")}, {_insert("w1", "u", "y2")}, y2, {_insert("w3", "u", "w2")} FROM (
+            SELECT *, {_insert("w2", "a", "w3")} AS y2 FROM (
+                SELECT w.conv_id, w.i - 1 AS i,
+                    {_least(0, "u", 2, "if(NOT gone AND initial = 's', {'c': if(truncated, 5, 0) + v1.c, 'a': 'K' || v1.a, 'r': [role || ':' || text] || v1.r}, NULL)")} AS w0,
+                    {_least(1, "u", 2)} AS w1, {_least(2, "a", 3)} AS w2, {_least(3, "u", 2)} AS w3
+                FROM walk w JOIN said s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.i = w.i
+            )
+        )
+    )
+    SELECT d.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+        coalesce(illegal, 0)::BIGINT AS illegal, coalesce(v0.c, 0)::BIGINT AS cost, coalesce(v0.a, '') AS audit, sha256(coalesce(array_to_string(v0.r, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM d.conv_id LEFT JOIN walk w ON w.conv_id IS NOT DISTINCT FROM d.conv_id AND w.i = 0
+    """,
+)
