@@ -303,3 +303,13 @@ query(
     FROM (SELECT DISTINCT conv_id FROM conversations) d LEFT JOIN sums s ON s.conv_id IS NOT DISTINCT FROM d.conv_id LEFT JOIN walk w ON w.conv_id IS NOT DISTINCT FROM d.conv_id AND w.i = 0
     """,
 )
+
+
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from chatmill.llm.page_text import with_page_text
+
+    found = with_page_text(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
+query(op12_page_text)
