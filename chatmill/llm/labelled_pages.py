@@ -56,6 +56,12 @@ LAYOUTS = [
     f"<nav>{_MENU}</nav><article><p>+{{4}} <a href='/v'>{{4}}</a> {{2}}</p>{_LINKS}<p>+{{3}}</p></article><footer>{{5}} <a href='/i'>{{2}}</a></footer>",
     f"<article><h1>+{{5}}</h1><p>+{{3}} <a href='/v'>{{5}}</a></p>{_LINKS}<p>+{{16}}</p>",
     *[f"<nav>{_MENU}</nav><article><h1>+<a href='/t'>{{{n}}}</a></h1><p>+{{30}}</p><p>+{{8}}</p></article><aside><h2><a href='/s'>{{{n}}}</a></h2></aside>" for n in (2, 5, 9)],
+    f"<nav>{_LINKS}</nav><article><p>+{{60}}</p><p>+{{35}}</p></article><aside><h2><a href='/s'>{{4}}</a></h2><p>{{50}}</p></aside>",
+    f"<div>{_LINKS}</div><p>+{{55}}</p><p>+{{41}}</p><div class='related'><h2><a href='/s'>{{7}}</a></h2><p>{{36}}</p></div>",
+    "<main><p>+{40}</p><p><a href='/r'>{4}</a></p><p>+{50}</p><p><a href='/r'>{9}</a></p><p>+{31}</p></main><h2><a href='/s'>{5}</a></h2><p>{44}</p>",
+    "<article><h1>+<a href='/t'>{6}</a></h1><p>+{3}</p></article>",
+    *[f"<header><h1><a href='/'>{{{n}}}</a></h1></header><nav>{_MENU}</nav><article><h1>+<a href='/t'>{{5}}</a></h1><p>+{{30}}</p></article><h2><a href='/s'>{{{n}}}</a></h2>" for n in (1, 2, 4)],
+    f"<div id='header'><h1><a href='/'>{{3}}</a></h1></div><div class='post'><h2>+<a href='/t'>{{7}}</a></h2><p>+{{52}}</p></div><div class='sidebar'><h3><a href='/s'>{{2}}</a></h3></div>",
     # What is not the text is marked, the text is not.
     f"<header><p>{{30}}</p></header><nav>{_MENU}</nav><p>+{{50}}</p><p>+{{8}}</p><p>+{{30}}</p><aside><p>{{60}}</p></aside><footer><p>{{40}}</p><p>{{25}}</p></footer>",
     "<div class='cookie-banner'><p>{45}</p></div><div class='topbar'>{12}</div><div><h1>+{5}</h1><p>+{44}</p><p>+{21}</p></div><div class='comments'><p>{66}</p><p>{20}</p></div>",
