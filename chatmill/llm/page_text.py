@@ -181,19 +181,19 @@ def blocks_of(page: str | None) -> list[Block]:
     return out
 
 
-FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "heading", "place", "elsewhere")
+FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "title", "place", "elsewhere")
 
 
 def features_of(blocks: list[Block]) -> list[list[float]]:
     """A row of numbers for each block, see FEATURES: its words and the share of them in links, those of the blocks before and after it, whether it is a
-    heading, its place, and whether the page marks another part as its text."""
+    heading in the part marked as the text, its place, and whether the page marks another part as its text."""
     least = INSIDE if any(b.place == INSIDE for b in blocks) else LIKELY
     inside = sum(b.words for b in blocks if b.place >= least)
     if least == LIKELY and inside < sum(b.words - b.linked for b in blocks if b.place == UNKNOWN):
         inside = 0  # a class name alone, on the smaller part
     own = [(float(b.words), b.linked / b.words) for b in blocks]
     padded = [(0.0, 0.0), *own, (0.0, 0.0)]
-    return [[*padded[i + 1], *padded[i], *padded[i + 2], float(b.heading), float(b.place), float(inside > 0 and b.place < least)] for i, b in enumerate(blocks)]
+    return [[*padded[i + 1], *padded[i], *padded[i + 2], float(b.heading and b.place >= least and inside > 0), float(b.place), float(inside > 0 and b.place < least)] for i, b in enumerate(blocks)]
 
 
 # A leaf says whether a block is main text; else (feature, threshold, way up to it, way above it).
