@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatmill.deploy import ship
-from chatmill.llm.byte_level import SPLIT, read_merges
+from chatmill.llm.byte_level import SPLIT, Pieces, read_merges
 from chatmill.llm.worker import kept
 
 # Pieces remembered by a Python worker, and the longest one remembered (in characters). They bound its memory only:
@@ -69,15 +69,15 @@ class PieceLengths(dict):
 
 def text_counter(ranks: dict[tuple[bytes, bytes], int], whole: list[str], pattern: str = SPLIT):
     """A function from text to its number of tokens; each string of `whole` counts as one token where it occurs."""
-    lengths, pieces = PieceLengths(ranks), regex.compile(pattern)
+    lengths, pieces = PieceLengths(ranks), Pieces(pattern)
     marks = regex.compile("|".join(regex.escape(w) for w in sorted(whole, key=len, reverse=True))) if whole else None
 
     def count(text: str) -> int:
         look = lengths.__getitem__
         if marks is None or not marks.search(text):
-            return sum(map(look, pieces.findall(text)))
+            return sum(map(look, pieces(text)))
         parts = marks.split(text)
-        return len(parts) - 1 + sum(sum(map(look, pieces.findall(p))) for p in parts)
+        return len(parts) - 1 + sum(sum(map(look, pieces(p))) for p in parts)
 
     return count
 

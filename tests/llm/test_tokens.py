@@ -58,7 +58,7 @@ def test_transducer_matches_merging(path):
     transducer, rng = Encoder(ranks).transducer, random.Random(2)
     for _ in range(4000):
         word = "".join(rng.choice("abcdefghinorst éüж") for _ in range(rng.randint(1, 24))).encode()
-        assert [transducer.tokens[i] for i in transducer.encode(word)] == ([word] if word in ranks else transducer.merges.merge(word))
+        assert [transducer.merges.tokens[i] for i in transducer.encode(word)] == ([word] if word in ranks else transducer.merges.merge(word))
 
 
 def test_all_tokens_are_reached():
@@ -93,3 +93,43 @@ def test_operators_on_rows(spark, library):
     assert sorted((r.doc_id, bytes(r.ids), r.decoded) for r in both.collect()) == sorted((r.doc_id, bytes(r.ids), r.decoded) for r in got.collect())
     assert with_token_count(df.limit(0), JSON).collect() == []
     assert with_decoded(df.select(F.lit(None).cast("binary").alias("ids")), RANKS).first().decoded is None
+
+
+def test_one_long_word_takes_bounded_memory(library):
+    import tracemalloc
+
+    rng = random.Random(5)
+    word = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(1_000_000))
+    encoder = Encoder(read_ranks(RANKS))
+    tracemalloc.start()
+    ids = encoder.encode(word[:250_000])  # makes more transitions than a worker remembers
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 100e6 and peak < 120e6
+    assert list(array("I", ids)) == library.encode_ordinary(word[:250_000])
+    assert list(array("I", encoder.encode(word))) == library.encode_ordinary(word)
+
+
+def test_tables_are_begun_anew_within_a_word(library, monkeypatch):
+    from chatmill.llm import codec
+
+    monkeypatch.setattr(codec, "TRANSITIONS", 40)
+    monkeypatch.setattr(codec, "MOVES", 30)
+    monkeypatch.setattr(codec, "REMEMBERED", 2_000)
+    encoder = Encoder(read_ranks(RANKS), P.PATTERN)
+    for t in texts():
+        assert list(array("I", encoder.encode(t))) == library.encode_ordinary(t)
+        assert len(encoder.transducer.table) <= 40 and len(encoder.transducer.moves) <= 30
+
+
+def test_newer_letters_are_symbols_as_in_the_libraries(library):
+    from chatmill.llm.byte_level import NEWER
+
+    other = tokenizers.Tokenizer.from_file(JSON)
+    encoder, count = Encoder(read_ranks(RANKS), P.PATTERN), text_counter(*read_merges(JSON))
+    for r in NEWER:
+        first, last = (int(c, 16) for c in (r.split("-") * 2)[:2])
+        for c in {first, last, (first + last) // 2}:
+            text = f"a{chr(c)}'s {chr(c)}1b {chr(c)}{chr(c)}"
+            assert list(array("I", encoder.encode(text))) == library.encode_ordinary(text)
+            assert count(text) == len(other.encode(text, add_special_tokens=False).ids)
