@@ -17,7 +17,7 @@ from chatmill.llm.worker import kept
 
 # What a Python worker remembers: bytes of pieces with their ids (twice that, as the last table stays beside the growing one; the longest piece,
 # in characters), transitions of states, and moves of ways. They bound its memory only: what isn't remembered is made again.
-REMEMBERED, LONGEST, TRANSITIONS, MOVES = 40_000_000, 48, 200_000, 400_000
+REMEMBERED, LONGEST, TRANSITIONS, MOVES = 60_000_000, 48, 400_000, 600_000
 # A way is given up early where at most so many tokens could still end it and none can follow.
 FEW = 8
 # Ids decoded at a time.
