@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,7 +22,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "novel")
 
 SENSITIVE = re.compile(r"secret|token|passw|passphrase|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential|signature|session[_-]?id|cookie|client[_-]?id", re.IGNORECASE | re.ASCII)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
+LEAST = 12  # characters of a candidate
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
 
 # What code is made of. Strings that it explains are no news.
 IDENTIFIERS = (
@@ -75,23 +78,44 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
+class _Taken:
+    """Whether a span meets one of the given ones, by bisection."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        self.starts = sorted(s for s, _, _ in spans)
+        self.ends = list(accumulate((e for _, e in sorted((s, e) for s, _, e in spans)), max))
+
+    def meets(self, start: int, end: int) -> bool:
+        i = bisect_left(self.starts, end)
+        return i > 0 and self.ends[i - 1] > start
+
+
 def novel_spans(text: str, taken: list[tuple[int, int, int]], meter: Meter, rule: Novelty) -> list[tuple[int, int, int, int]]:
-    """(start, kind, end, marginal bytes) of strings after a sensitive word, outside `taken`, that hold letters and digits and do not compress."""
-    out, seen = [], set()
-    for word in SENSITIVE.finditer(text):
-        for m in CANDIDATE.finditer(text, word.end()):
-            start, end = m.span()
-            if start - word.end() > rule.reach:
-                break
-            if start in seen:
-                continue
-            seen.add(start)
-            value = m[0]
-            if not any(c.isdigit() for c in value) or not any(c.isalpha() for c in value) or any(s < end and start < e for s, _, e in taken):
+    """(start, kind, end, marginal bytes) of strings in a sensitive context, outside `taken`, that hold letters and digits and do not compress.
+
+    A string is a run of CANDIDATE's characters: as a whole if a sensitive word ends at most `reach` before it, else what follows the last
+    sensitive word inside it. It is reported once, at the first of these starts that passes. Words and runs are walked side by side: each is read once.
+    """
+    words = [m.end() for m in SENSITIVE.finditer(text)]
+    if not words:
+        return []
+    out, others, low, high = [], _Taken(taken), 0, 0
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        while low < len(words) and words[low] <= start:
+            low += 1  # words[:low] end before the run
+        high = max(high, low)
+        while high < len(words) and words[high] <= end - LEAST:
+            high += 1  # words[low:high] end inside it and leave enough of it
+        starts = [start] if low and start - words[low - 1] <= rule.reach else []
+        for at in (*starts, words[high - 1]) if high > low else starts:
+            value = text[at:end]
+            if not any(c.isdigit() for c in value) or not any(c.isalpha() for c in value) or others.meets(at, end):
                 continue
-            size = meter(text, start, end, rule.around)
+            size = meter(text, at, end, rule.around)
             if size >= rule.least and size >= rule.share * len(value):
-                out.append((start, 3, end, size))
+                out.append((at, 3, end, size))
+                break
     return out
 
 
