@@ -9,7 +9,8 @@ from chatmill.llm.feistel import permute_pair, strong_mixer
 
 # What each kind looks like. Every pattern can start at few places only (a sign before it rules the rest out)
 # and takes runs whole, so that a long text without blanks is read once.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
+# Groups repeat a bounded number of times, since the matcher calls itself for each: a host name has at most 127 labels.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,126}"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 ISO_DATE = r"(?<![0-9-])(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}(?![0-9-])"
 POINT_DATE = r"(?<![0-9.])[0-9]{1,2}\.[0-9]{1,2}\.(?:19|20)[0-9]{2}(?![0-9])"
