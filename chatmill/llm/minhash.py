@@ -58,7 +58,7 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, n_shingles, sid, bands): a 64-bit print of the whole set, and the band keys; both null for a text without words."""
+    """(key, n_shingles, sid, bands, mark): a 64-bit print of the whole set, and the band keys, both null for a text without words; the md5 of the text."""
     ship(docs.sparkSession)
     kind = T.StructType([T.StructField("n_shingles", T.LongType()), T.StructField("sid", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
     made = pa.struct([("n_shingles", pa.int64()), ("sid", pa.int64()), ("bands", pa.list_(pa.int64()))])
@@ -72,7 +72,7 @@ def signatures(docs: DataFrame, key: str, text: str) -> DataFrame:
                 out.append({"n_shingles": len(s), "sid": _print(s), "bands": band_keys(s).view(np.int64)} if len(s) else {"n_shingles": 0, "sid": None, "bands": None})
             yield pa.array(out, made)
 
-    return docs.select(F.col(key).alias("key"), sign(F.col(text)).alias("s")).select("key", "s.*")
+    return docs.select(F.col(key).alias("key"), sign(F.col(text)).alias("s"), F.md5(text).alias("mark")).select("key", "s.*", "mark")
 
 
 def _print(shingles: np.ndarray) -> int:
@@ -207,20 +207,8 @@ def _stats(members: DataFrame) -> DataFrame:
     return members.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"), F.min("part").alias("p0"), F.max("part").alias("p1")).filter("m > 1 and p0 <> p1")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 85) -> DataFrame:
-    """(key, n_shingles, component_id, kept) for every row of `docs`.
-
-    Texts are linked if the sets of their distinct 5-word shingles (A-Z as a-z; fewer words: the whole sequence as one)
-    share `least` percent of their union. `component_id` is the smallest key reachable by links, itself included, and `kept`
-    says that it is the row's own. Null, empty and wordless texts have no shingles and no links. Rows of equal key are
-    texts of their own. A null key takes no part: its component is null and it is kept.
-
-    Equal sets are one member (by a 64-bit print of the whole set). Members that share a band's bucket are compared on their
-    full sets, in blocks of bounded size, inside the task that holds two blocks: it passes on at most one link for each
-    member, enough to connect them, and never a list of pairs. After the first bands most buckets lie within one component
-    and are done; of the other bands only buckets across components are compared, and there only across. Tables between
-    the steps are written to the shared folder.
-    """
+def _linked_sets(docs: DataFrame, key: str, text: str, least: int) -> tuple[DataFrame, DataFrame]:
+    """The signatures of all rows, and for each different set (sid, first, group): its smallest key and its component."""
     signed = stage(signatures(docs, key, text), "signatures")
     usable = signed.filter("key is not null and sid is not null")
     sets = stage(usable.groupBy("sid").agg(F.min("key").alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "sets")
@@ -240,9 +228,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     rows = _in_blocks(rest.select("bucket", "sid", "part"), _stats(rest)).join(contents, "sid")
     links = links.unionByName(_compare(rows, least))
     tree = components(links).withColumnRenamed("id", "sid")
+    return signed, sets.select("sid", "first").join(tree, "sid", "left").select("sid", "first", F.coalesce("component", "sid").alias("group"))
 
-    group = F.coalesce("component", "sid")
-    named = sets.select("sid", "first").join(tree, "sid", "left").select("sid", "first", group.alias("group"))
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 85) -> DataFrame:
+    """(key, n_shingles, component_id, kept) for every row of `docs`.
+
+    Texts are linked if the sets of their distinct 5-word shingles (A-Z as a-z; fewer words: the whole sequence as one)
+    share `least` percent of their union. `component_id` is the smallest key reachable by links, itself included, and `kept`
+    says that it is the row's own. Null, empty and wordless texts have no shingles and no links. Rows of equal key are
+    texts of their own. A null key takes no part: its component is null and it is kept.
+
+    Equal sets are one member (by a 64-bit print of the whole set). Members that share a band's bucket are compared on their
+    full sets, in blocks of bounded size, inside the task that holds two blocks: it passes on at most one link for each
+    member, enough to connect them, and never a list of pairs. After the first bands most buckets lie within one component
+    and are done; of the other bands only buckets across components are compared, and there only across. Tables between
+    the steps are written to the shared folder.
+    """
+    signed, named = _linked_sets(docs, key, text, least)
     least_key = named.groupBy("group").agg(F.min("first").alias("component_id"))
     found = named.join(least_key, "group").select("sid", "component_id")
     # Copies of one text are one row in `found` and may be very many in `signed`: both sides stay splittable.
@@ -252,8 +255,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", le
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 80) -> DataFrame:
-    """`docs` with one row of each group: the one with the smallest key. Rows with a null key stay."""
-    kept = near_duplicates(docs, key, text, least).filter("kept").select(F.col(key).alias("__kept")).distinct()
-    # Both are dealt by the key, so that repeated rows of a key meet without another shuffle.
-    once = docs.join(kept, docs[key] == kept["__kept"], "left_semi").dropDuplicates([key])
-    return once.unionByName(docs.filter(F.col(key).isNull()))
+    """`docs` with one row of each group: of the rows with its smallest key one text (the least by shingle print, then by md5), once.
+
+    Rows of equal key are texts of their own: of two that are no near copies both stay. Rows with a null key, and rows without words, all stay.
+    """
+    signed, named = _linked_sets(docs, key, text, least)
+    first = named.groupBy("group").agg(F.min(F.struct("first", "sid")).alias("one")).select("one.*")
+    rows = signed.select("key", "sid", "mark").join(first.withColumnRenamed("sid", "of"), (F.col("sid") == F.col("of")) & (F.col("key") == F.col("first")))
+    kept = rows.groupBy(F.col("sid")).agg(F.min(F.struct("key", "mark")).alias("one")).select(F.col("one.key").alias("__kept"), F.col("one.mark").alias("__as"))
+    marked = docs.withColumn("__mark", F.md5(text))
+    # Both are dealt by key and text, so that repeated rows meet without another shuffle.
+    once = marked.join(kept, (F.col(key) == F.col("__kept")) & (F.col("__mark") == F.col("__as")), "left_semi").dropDuplicates([key, "__mark"]).drop("__mark")
+    wordless = ~F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return once.unionByName(docs.filter(F.col(key).isNull() | wordless))
