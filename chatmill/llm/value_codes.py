@@ -92,7 +92,8 @@ def compress(df: DataFrame, vector: str = "embedding", key: str = "vec_id", part
 
     Rows whose vector is null, empty or holds null or non-finite components are left out; without any row left the result is
     empty. Vectors of unequal lengths, or of a length that is no multiple of `parts`, are an error. Components beyond ±LARGEST / scale count as
-    that bound. Rows of equal key are vectors of their own; other columns are handed on, whatever their names but `code` and `error`.
+    that bound. Rows of equal key are vectors of their own; other columns are handed on, whatever their
+    names; `code` and `error` replace columns of these names.
 
     A round reads the integers, adds up inside each task, and shuffles a row per task, part and entry; the codebooks, whose size
     the parameters fix, are all that passes through the driver.
@@ -101,7 +102,7 @@ def compress(df: DataFrame, vector: str = "embedding", key: str = "vec_id", part
     numbered = df.withColumn("__numbers", whole_numbers(F.col(vector), scale)).filter(F.col("__numbers").isNotNull())
     rows = numbered.select(F.col(key).alias("key"), F.col("__numbers").alias("numbers"))
     width = dimension(rows, "numbers")
-    kept = df.columns
+    kept = [c for c in df.columns if c not in ("code", "error")]
     if width is None:
         return Codes(numbered.select(*kept, F.lit(b"").alias("code"), F.lit(0).cast("long").alias("error")), np.zeros((parts, 0, 0), np.int64))
     if width % parts:
