@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from chatmill.sources.snapshots import publish
 
 # How often a job looks for new rows, in the words of DataStreamWriter.trigger: here once, for what is there. A job that
 # follows a live run takes {"processingTime": "10 seconds"}.
@@ -35,16 +36,16 @@ def append_scored(
 def rolling_summary(
     rows: DataFrame, keys: list[str], metrics: tuple[str, ...], out: str, checkpoint: str, trigger: dict = ONCE
 ) -> StreamingQuery:
-    """Keep a summary table current: rows, ok rows and metric means per key, rewritten with every batch.
+    """Keep a summary table current: rows, ok rows and metric means per key, published as a new version with every batch.
 
-    The state is one row of sums per key. Means are over ok rows.
+    The state is one row of sums per key. Means are over ok rows. Readers take snapshots.read_current(out), which is whole at any time.
     """
     ok = F.col("status") == "ok"
     means = [F.avg(F.when(ok, F.col(m))).alias(f"{m}_mean") for m in metrics]
     summary = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_total"), F.count_if(ok).alias("n_ok"), *means)
 
     def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        publish(batch, out)
 
     writer = summary.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
     return writer.foreachBatch(replace).trigger(**trigger).start()
