@@ -11,6 +11,9 @@ from chatmill.operators.conversations import last_turns
 from chatmill.operators.infer import InferSettings, Request, ask_model, evaluate_documents, join_replies
 from chatmill.operators.staging import new_path, stage
 from chatmill.queries.registry import Tables, query
+from chatmill.sources.files import put_new
+from chatmill.sources.journal import Journal
+from chatmill.sources.snapshots import publish, read_current
 from chatmill.streaming.results import append_scored, read_stream, rolling_summary
 
 # A result log made from the events; valid in Spark and in DuckDB.
@@ -113,7 +116,7 @@ class EchoClient:
 
 def _replies(t: Tables) -> DataFrame:
     tasks = last_turns(t.conversations).withColumn("system", F.lit(DOCUMENT_PREAMBLE))
-    return ask_model(tasks, EchoClient, InferSettings(retries=2), sleep=lambda _: None, clock=lambda: 0.0)
+    return ask_model(tasks, EchoClient, InferSettings(retries=2), pause=lambda _: 0.0, clock=lambda: 0.0)
 
 
 INFER_SQL = """
@@ -153,6 +156,59 @@ def unanswered_tasks(t: Tables):
     return done.select("conv_id", F.lit(False).alias("open")).unionByName(left.select("conv_id", F.lit(True).alias("open")))
 
 
+class DownClient:
+    """A service that answers nothing."""
+
+    def __call__(self, request: Request) -> str | None:
+        raise ConnectionError("down")
+
+
+@query(
+    INFER_SQL
+    + """SELECT conv_id,
+  CASE length(question) % 7 WHEN 0 THEN '' WHEN 1 THEN '' ELSE '<think>42</think>' || question END AS raw_response,
+  CASE WHEN length(question) % 7 = 0 THEN 'error: Request failed after 1 attempts: down' ELSE 'ok' END AS status FROM q"""
+)
+def reply_journal(t: Tables):
+    """Replies read back from a journal that a run left half-way, a crash cut off in a line, and a run against a dead service came after.
+
+    The first run asks for some tasks, and is folded into the base; the second asks for what has no answer; the third asks for all again
+    and is answered nothing, which takes no answer away.
+    """
+    journal = Journal(t.spark, new_path(t.spark, "journal"))
+    tasks = last_turns(t.conversations).select("conv_id", "question", F.lit("").alias("system"), F.col("conv_id").cast("string").alias("task"))
+
+    def ask(some: DataFrame, client: type) -> str:
+        run = journal.new_run()
+        ask_model(some, client, InferSettings(retries=1), journal=run).write.format("noop").mode("overwrite").save()
+        return run
+
+    first = ask(tasks.filter(F.pmod(F.xxhash64("task"), F.lit(3)) == 0), EchoClient)
+    put_new(t.spark, f"{first}/cut-0.jsonl", '{"task": "1", "status": "ok", "raw_resp')
+    journal.compact()
+    answered = journal.replies().filter("status = 'ok'").select("task")
+    ask(tasks.join(answered, "task", "left_anti"), EchoClient)
+    ask(tasks, DownClient)
+    return tasks.select("conv_id", "task").join(journal.replies(), "task").select("conv_id", "raw_response", "status")
+
+
+@query(
+    LOG_SQL
+    + """SELECT doc, round(avg(rougeL_f), 6) AS score, count(*) AS n FROM log WHERE status = 'ok' GROUP BY doc"""
+)
+def panel_versions(t: Tables):
+    """A table published again as more rows arrive, read as the current version; a writer that died has left a version nobody points to."""
+    folder = new_path(t.spark, "panels")
+
+    def scores(log: DataFrame) -> DataFrame:
+        return log.filter("status = 'ok'").groupBy("doc").agg(F.round(F.avg("rougeL_f"), 6).alias("score"), F.count(F.lit(1)).alias("n"))
+
+    for share in (3, 2, 1):
+        number = publish(scores(_log(t).filter(F.col("sample") % share == 0)), folder, keep=2)
+        scores(_log(t).limit(1)).write.parquet(f"{folder}/v={number + 1}")
+    return read_current(t.spark, folder)
+
+
 def _event_stream(t: Tables) -> DataFrame:
     return _shape(read_stream(t.spark, t.folder, t.events.schema, "parquet", glob="events.parquet"))
 
@@ -181,4 +237,4 @@ def stream_scores(t: Tables):
 def stream_summary(t: Tables):
     out = new_path(t.spark, "stream-summary")
     rolling_summary(_event_stream(t), ["event_type"], ("rougeL_f",), out, f"{out}-checkpoint").awaitTermination()
-    return t.spark.read.parquet(out).withColumn("rougeL_f_mean", F.round("rougeL_f_mean", 6))
+    return read_current(t.spark, out).withColumn("rougeL_f_mean", F.round("rougeL_f_mean", 6))

@@ -14,6 +14,7 @@ from chatmill.functions.targets import readable, strict_json
 from chatmill.functions.text import strip
 from chatmill.operators.ordering import first_rows
 from chatmill.schemas import TURN
+from chatmill.sources.files import path_exists
 
 UNREADABLE = "not a JSON value"
 TURNS = T.ArrayType(TURN)
@@ -127,12 +128,6 @@ def read_tolerant(spark: SparkSession, path: str | list[str], line_numbers: bool
     return lines.filter(readable(F.col("line"))), bad.select("file", *where, "line", F.lit(UNREADABLE).alias("reason"))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def load_train_eval(
     spark: SparkSession, train: str, evaluation: str | None = None, max_samples: int | None = None
 ) -> tuple[DataFrame, DataFrame | None]:

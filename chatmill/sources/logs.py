@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from chatmill.operators.trainlog import dedup_series, latest_file
 from chatmill.schemas import LOG_ENTRY, SCALARS
-from chatmill.sources.jsonl import path_exists
+from chatmill.sources.files import path_exists
 
 
 def read_log_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
@@ -41,6 +41,12 @@ def read_checkpoint_history(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(state).select(F.explode("log_history").alias("e")).select("e.*")
 
 
+def has_summary(spark: SparkSession, path: str) -> bool:
+    """Whether a result log has a summary row."""
+    flag = T.StructType([T.StructField("_summary", T.BooleanType())])
+    return not read_log_lines(spark.read.text(path), flag).filter("_summary").isEmpty()
+
+
 def read_results(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Result rows of a log; summary rows written into the same log are left out, and so is a line that a crash cut off."""
     flagged = T.StructType([*schema.fields, T.StructField("_summary", T.BooleanType())])
