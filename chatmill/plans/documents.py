@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatmill.functions.chat import exchange
+from chatmill.functions.options import expand_questions, option_blocks, option_count
 from chatmill.functions.prompts import DOCUMENT_PREAMBLE
 from chatmill.functions.qa import parse_qa, qa_samples
-from chatmill.operators.ordering import first_rows, seeded_shuffle
+from chatmill.operators.ordering import nth_key, seeded_shuffle
 from chatmill.operators.pairing import orphans, pair_documents
 from chatmill.operators.split import EVAL, TRAIN, with_split
+from chatmill.sources.sinks import write_dataset
 
 ROW_ID = ["stem", "block_no", "option_no"]
 
@@ -61,11 +63,28 @@ def document_rejects(docs: DataFrame, qa: DataFrame) -> DataFrame:
 
 def document_tasks(docs: DataFrame, qa: DataFrame, max_samples: int | None = None, preamble: str = DOCUMENT_PREAMBLE) -> DataFrame:
     """Evaluation tasks (`doc`, `system`, `question`, `ground_truth`); the cap counts expanded questions."""
-    tasks = _samples(docs, qa).select(
+    if max_samples is not None and max_samples < 1:
+        raise ValueError("a cap must be at least 1; use None for all questions")
+    blocks, _ = parse_qa(pair_documents(docs, qa))
+    last = None
+    if max_samples is not None:
+        # The block that holds the last question is found from the blocks' numbers of questions, before any is expanded or meets its document.
+        sizes, _ = parse_qa(qa.join(docs.select("stem"), "stem", "left_semi"))
+        last = nth_key(sizes.select(F.struct("stem", "block_no").alias("key"), option_count(option_blocks(F.col("question"))).alias("n")), max_samples, weight="n")
+    key = F.struct("stem", "block_no")
+    samples = expand_questions(blocks if last is None else blocks.filter(key <= last[0]))
+    if last is not None:
+        samples = samples.filter((key < last[0]) | (F.col("option_no") < last[1]))
+    tasks = samples.select(
         *ROW_ID,
         F.col("stem").alias("doc"),
         F.concat(F.lit(preamble), F.col("content")).alias("system"),
         "question",
         F.col("answer").alias("ground_truth"),
     )
-    return first_rows(tasks, ROW_ID, max_samples)
+    return tasks if max_samples is None else tasks.orderBy(*ROW_ID)
+
+
+def prepare_documents(docs: DataFrame, qa: DataFrame, path: str, share: float | None = None, seed: int = 42, preamble: str = DOCUMENT_PREAMBLE, dry: bool = False) -> DataFrame:
+    """The whole job: records of both sides written as JSON lines, or only counted in a `dry` run; (`side`, `path`, `records`)."""
+    return write_dataset(*document_dataset(docs, qa, share, seed, preamble), path, dry)

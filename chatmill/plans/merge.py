@@ -7,9 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatmill.operators.combine import merge_sources
+from chatmill.operators.combine import merge_sources, record_counts
 from chatmill.operators.ordering import number_rows, seeded_shuffle
-from chatmill.sources.jsonl import path_exists, read_tolerant
+from chatmill.sources.files import path_exists
+from chatmill.sources.jsonl import read_tolerant
+from chatmill.sources.sinks import write_lines
 
 
 def merge_rejects(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -30,3 +32,13 @@ def merge_files(spark: SparkSession, paths: list[str], shuffle_seed: int | None
     if shuffle_seed is not None:
         return seeded_shuffle(placed, shuffle_seed, ["row_no"])
     return placed.repartitionByRange("row_no").sortWithinPartitions("row_no")
+
+
+def prepare_merge(spark: SparkSession, paths: list[str], out: str, shuffle_seed: int | None = None, dry: bool = False) -> DataFrame:
+    """The whole job: merged lines written, or only counted in a `dry` run; (`source`, `records`) per input. Without any line it is an error and nothing is written."""
+    merged = merge_files(spark, paths, shuffle_seed)
+    counts = record_counts(merged, "source")
+    if dry:
+        return counts
+    write_lines(merged, out, may_be_empty=False)
+    return counts

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from chatmill.functions.chat import exchange
 from chatmill.functions.prompts import SchemaWording, schema_prompt
-from chatmill.functions.targets import outline, readable, target_faults, with_ordered_target
+from chatmill.functions.targets import outline, read_targets, readable, target_faults, with_ordered_target
 from chatmill.operators.augment import with_variants
 from chatmill.operators.ordering import first_rows, number_samples, seeded_shuffle
 from chatmill.operators.split import EVAL, TRAIN, with_split
 from chatmill.schemas import PROFILE_FIELDS, FieldSpec
+from chatmill.sources.sinks import write_dataset
 
 ROW_ID = ["lang", "sample", "variant"]
 
@@ -31,7 +32,9 @@ def variant_records(
     wording: SchemaWording = SchemaWording(),
 ) -> DataFrame:
     """One record per sample and variant: prompt and target follow the variant's field order and notation."""
-    rows = with_variants(samples, "sample", extra, seed, fields)
+    # Samples of equal name in two languages are samples of their own.
+    name = F.when(F.col("lang") != "", F.concat_ws("/", "lang", "sample")).otherwise(F.col("sample").cast("string"))
+    rows = with_variants(read_targets(samples, "json_text", fields), name, extra, seed, fields)
     rows = with_ordered_target(rows, "json_text", F.col("field_order"), F.col("date_fmt"), "target", fields)
     prompt = schema_prompt(F.col("field_order"), F.col("date_fmt"), fields, wording)
     keep = [c for c in samples.columns if c not in ("cv_text", "json_text")]
@@ -52,6 +55,19 @@ def profile_dataset(
     return seeded_shuffle(train, seed, ROW_ID), evaluation.repartitionByRange(*ROW_ID).sortWithinPartitions(*ROW_ID)
 
 
+def profile_rejects(pairs: DataFrame, rejects: DataFrame | None = None, fields: tuple[FieldSpec, ...] = PROFILE_FIELDS) -> DataFrame:
+    """What the job leaves out: (`lang`, `sample`, `field`, `fault`), a row for each fault of a target, and for each folder without one of its files."""
+    bad = valid_samples(pairs, fields)[1].select("lang", "sample", F.explode("faults").alias("f")).select("lang", "sample", "f.field", "f.fault")
+    return bad if rejects is None else bad.unionByName(rejects.select("lang", "sample", F.lit(None).cast("string").alias("field"), "fault"))
+
+
+def prepare_profiles(
+    pairs: DataFrame, path: str, share: float | None = None, augment: int = 0, seed: int = 42, fields: tuple[FieldSpec, ...] = PROFILE_FIELDS, dry: bool = False
+) -> DataFrame:
+    """The whole job: records of both sides written as JSON lines, or only counted in a `dry` run; (`side`, `path`, `records`)."""
+    return write_dataset(*profile_dataset(pairs, share, augment, seed, fields), path, dry)
+
+
 def folder_tasks(pairs: DataFrame, max_samples: int | None = None) -> DataFrame:
     """Evaluation tasks from sample folders: any readable target counts, its fields are not checked."""
     tasks = pairs.filter(readable(F.col("json_text")))

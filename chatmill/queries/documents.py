@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatmill.functions.chat import render
-from chatmill.functions.dates import reformat_date
+from chatmill.functions.dates import with_notations
 from chatmill.functions.options import expand_questions
 from chatmill.functions.prompts import DOCUMENT_PREAMBLE
 from chatmill.functions.qa import parse_qa as split_qa
@@ -19,7 +21,10 @@ from chatmill.operators.ordering import first_rows, number_shuffled
 from chatmill.operators.pairing import orphans, pair_documents
 from chatmill.operators.split import with_split
 from chatmill.plans.documents import document_rejects, document_dataset, document_records, document_tasks
+from chatmill.operators.staging import new_path
 from chatmill.queries.registry import Tables, query
+from chatmill.sources.jsonl import read_conversations
+from chatmill.sources.sinks import eval_path, write_dataset
 
 
 @query("""
@@ -195,6 +200,27 @@ def docs_train_eval(t: Tables):
     return both.select("stem", "block_no", "option_no", "split", F.md5(render(F.col("conversations"))).alias("record_key"))
 
 
+@query(f"""
+WITH {RECORDS_SQL},
+k AS (SELECT stem, row_number() OVER (ORDER BY md5('42|' || stem), CAST(stem AS STRING)) AS place, count(*) OVER () AS n FROM (SELECT DISTINCT doc_id AS stem FROM labels)),
+s AS (SELECT stem, CASE WHEN place <= greatest(1, round_even(n * CAST(0.2 AS DOUBLE), 0)) THEN 'eval' ELSE 'train' END AS split FROM k)
+SELECT split, {RENDERED_SQL} AS record_key FROM r JOIN s USING (stem)
+""")
+def split_sink(t: Tables):
+    """Both sides written as files and read back, after a later write with an empty side was refused and left them as they were."""
+    path = f"{new_path(t.spark, 'split')}/train.jsonl"
+    train, evaluation = document_dataset(*_docs(t), share=0.2, seed=42)
+    counts = {r["side"]: r["records"] for r in write_dataset(train, evaluation, path).collect()}
+    assert counts == {r["side"]: r["records"] for r in write_dataset(train, evaluation, path, dry=True).collect()}
+    try:
+        write_dataset(train.limit(1), evaluation.limit(0), path)
+    except ValueError:
+        pass
+    sides = {"train": path, "eval": eval_path(path)}
+    both = reduce(DataFrame.unionByName, [read_conversations(t.spark, p).select(F.lit(side).alias("split"), F.md5(render(F.col("conversations"))).alias("record_key")) for side, p in sides.items()])
+    return both
+
+
 @query(f"""
 WITH {RECORDS_SQL}
 SELECT stem AS doc, question, answer AS ground_truth, md5(system) AS system_key FROM r ORDER BY stem, block_no, option_no LIMIT 300
@@ -249,4 +275,4 @@ FROM m
 """)
 def date_formats(t: Tables):
     rows = t.orders.select("o_orderkey", F.expr(DATE_SQL).alias("value"))
-    return rows.select("*", *[reformat_date(F.col("value"), F.lit(i)).alias(f"fmt_{i}") for i in range(6)])
+    return with_notations(rows, "value", [f"fmt_{i}" for i in range(6)])

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from chatmill.functions.targets import quote
 from chatmill.operators.combine import record_counts
 from chatmill.operators.split import EVAL, TRAIN
+from chatmill.sources.files import move, remove
 
 
 def turn_json(t: Column) -> Column:
@@ -28,14 +31,57 @@ def conversation_line(conversations: Column) -> Column:
     return F.concat(F.lit('{"conversations": ['), F.array_join(F.transform(conversations, turn_json), ", "), F.lit("]}"))
 
 
-def write_conversations(df: DataFrame, path: str) -> None:
-    """Overwrite `path` with one JSON line per record."""
-    df.select(conversation_line(F.col("conversations")).alias("value")).write.mode("overwrite").text(path)
-
+def publish_lines(outputs: dict[str, DataFrame], may_be_empty: bool = False) -> dict[str, int]:
+    """Write several tables of one text column, each to its path, all of them or none; returns their numbers of lines.
 
-def write_lines(df: DataFrame, path: str, line: str = "line") -> None:
-    """Overwrite `path` with ready-made lines, such as those of merged datasets."""
-    df.select(F.col(line).alias("value")).write.mode("overwrite").text(path)
+    Everything is first written to hidden folders beside the paths, and counted as it is written. Only if no table is empty the folders take the
+    place of what was there, by renaming; if a renaming fails, those before it are undone. A job that dies leaves hidden folders, never half an output.
+    """
+    spark = next(iter(outputs.values())).sparkSession
+    run, hidden, counts = uuid.uuid4().hex, {}, {}
+
+    def beside(path: str, mark: str) -> str:
+        folder, slash, name = path.rstrip("/").rpartition("/")
+        return f"{folder}{slash}.{name}.{mark}-{run}"
+
+    try:
+        for path, df in outputs.items():
+            hidden[path], seen = beside(path, "new"), Observation()
+            df.observe(seen, F.count(F.lit(1)).alias("n")).write.text(hidden[path])
+            counts[path] = seen.get["n"]
+        empty = [p for p, n in counts.items() if not n]
+        if empty and not may_be_empty:
+            raise ValueError(f"no samples for {', '.join(empty)}; nothing is written")
+        moved: list[tuple[str, bool]] = []
+        try:
+            for path in outputs:
+                before = move(spark, path, beside(path, "old"))
+                moved.append((path, before))
+                if not move(spark, hidden[path], path):
+                    raise OSError(f"cannot rename to {path}")
+        except Exception:
+            for path, before in reversed(moved):
+                remove(spark, path)
+                if before:
+                    move(spark, beside(path, "old"), path)
+            raise
+        for path, before in moved:
+            if before:
+                remove(spark, beside(path, "old"))
+    finally:
+        for path in hidden.values():
+            remove(spark, path)
+    return counts
+
+
+def write_conversations(df: DataFrame, path: str, may_be_empty: bool = True) -> int:
+    """Overwrite `path` with one JSON line per record; returns their number. What was there stays until all is written."""
+    return publish_lines({path: df.select(conversation_line(F.col("conversations")).alias("value"))}, may_be_empty)[path]
+
+
+def write_lines(df: DataFrame, path: str, line: str = "line", may_be_empty: bool = True) -> int:
+    """Overwrite `path` with ready-made lines, such as those of merged datasets; returns their number."""
+    return publish_lines({path: df.select(F.col(line).alias("value"))}, may_be_empty)[path]
 
 
 def eval_path(path: str) -> str:
@@ -46,15 +92,9 @@ def eval_path(path: str) -> str:
 
 
 def write_split(train: DataFrame, evaluation: DataFrame, path: str) -> str:
-    """Write both sides of a split, none of which may be empty; returns the eval path.
-
-    Rows are counted as they are written, so no job runs twice; an empty side is an error once it is written.
-    """
-    for side, name, target in ((train, TRAIN, path), (evaluation, EVAL, eval_path(path))):
-        seen = Observation()
-        write_conversations(side.observe(seen, F.count(F.lit(1)).alias("n")), target)
-        if not seen.get["n"]:
-            raise ValueError(f"the {name} split has no samples")
+    """Write both sides of a split, none of which may be empty: then the last outputs stay as they are. Returns the eval path."""
+    sides = {path: train, eval_path(path): evaluation}
+    publish_lines({p: df.select(conversation_line(F.col("conversations")).alias("value")) for p, df in sides.items()})
     return eval_path(path)
 
 
@@ -63,6 +103,19 @@ def dry_run(df: DataFrame, by: str = "source") -> DataFrame:
     return record_counts(df, by)
 
 
+def write_dataset(train: DataFrame, evaluation: DataFrame | None, path: str, dry: bool = False) -> DataFrame:
+    """Write a prepared dataset, or only count it: one row (`side`, `path`, `records`) for each side. An empty side is an error, with nothing written.
+
+    A dry run reads and builds the same records; it counts them instead of writing.
+    """
+    sides = {TRAIN: (train, path)} | ({EVAL: (evaluation, eval_path(path))} if evaluation is not None else {})
+    lines = {p: df.select(conversation_line(F.col("conversations")).alias("value")) for df, p in sides.values()}
+    counts = {p: df.count() for p, df in lines.items()} if dry else publish_lines(lines)
+    if empty := [side for side, (_, p) in sides.items() if not counts[p]]:
+        raise ValueError(f"no samples for {', '.join(empty)}; nothing is written")
+    return train.sparkSession.createDataFrame([(side, p, counts[p]) for side, (_, p) in sides.items()], "side string, path string, records long")
+
+
 def append_results(results: DataFrame, path: str) -> None:
     """Append result rows to a log, nulls included."""
     results.write.mode("append").option("ignoreNullFields", False).json(path)
