@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from math import log, log1p
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chatmill.operators.staging import stage
 
@@ -113,32 +109,25 @@ def entry_series(entries: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     return rows.select(*keys, F.col("p.tag").alias("tag"), "step", F.col("p.value").alias("value"))
 
 
-def _smooth_slice(batches: Iterator[pa.RecordBatch], keys: list[str], alpha: float) -> Iterator[pa.RecordBatch]:
-    """Smooth one sorted slice, each series from its first value in the slice; `__i` counts its rows from 1."""
-    open_key, before, done = None, [], 0
-    for batch in batches:
-        frame = batch.select([*keys, "value"]).to_pandas()
-        smooth, place = np.empty(len(frame)), np.empty(len(frame), dtype=np.int64)
-        for key, rows in frame.groupby(keys, sort=False, dropna=False)["value"]:
-            if key != open_key:
-                open_key, before, done = key, [], 0
-            values = pd.Series([*before, *rows], dtype="float64")
-            # ewm skips NaN, the recursion does not: everything after a NaN is NaN.
-            run = values.ewm(alpha=alpha, adjust=False).mean().mask(values.isna().cummax()).to_numpy()
-            smooth[rows.index] = run[len(before) :]
-            place[rows.index] = np.arange(done + 1, done + 1 + len(rows))
-            before, done = [run[-1]], done + len(rows)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(smooth), pa.array(place)], [*batch.schema.names, "__ema", "__i"])
-
-
-def _carry(ends: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
-    """What each slice of one series takes over from the slice before, less what it assumed instead."""
-    ends = ends.sort_values("__slice")
-    shifts, state = [], None
-    for own_end, weight, first in zip(ends["end"], ends["weight"], ends["first"], strict=True):
-        shifts.append(0.0 if state is None else state - first)
-        state = own_end + weight * shifts[-1]
-    return ends.assign(__shift=shifts)[[*keys, "__slice", "__shift"]]
+# Maps of neighbouring blocks that are composed in one array.
+CHAINED = 256
+
+
+def block_length(alpha: float) -> int:
+    """Rows smoothed as one running sum: as many as leave the powers of 1 - alpha within 10^±100, 4096 at most."""
+    return 1 if alpha == 1 else max(1, min(4096, int(100 * log(10) / -log1p(-alpha))))
+
+
+def _chained(maps: Column) -> Column:
+    """Of an array of maps x -> a x + b, in order: `before`, an array of the compositions of all earlier ones, and `all`, the composition of all."""
+    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
+    start = F.struct(F.array().cast("array<struct<a: double, b: double>>").alias("before"), pair(F.lit(1.0), F.lit(0.0)).alias("all"))
+
+    def then(done: Column, m: Column) -> Column:
+        after = pair(m["a"] * done["all"]["a"], m["a"] * done["all"]["b"] + m["b"])
+        return F.struct(F.concat(done["before"], F.array(done["all"])).alias("before"), after.alias("all"))
+
+    return F.aggregate(maps, start, then)
 
 
 def ema(
@@ -148,33 +137,42 @@ def ema(
     name: str = "ema",
     order: tuple[str, ...] = ("step",),
 ) -> DataFrame:
-    """Exponential smoothing along `order`: s0 = v0, then s = alpha * v + (1 - alpha) * s.
+    """Exponential smoothing along `order`: s0 = v0, then s = alpha * v + (1 - alpha) * s. A null value counts as NaN, and all after a NaN is NaN.
 
-    A series may be longer than one task should hold. Rows are range-partitioned by series and step and
-    every slice is smoothed on its own, starting from its first value v0. Starting from a carried value c
-    instead adds (1 - alpha)^i * (c - v0) to the i-th row, so the carries follow from one summary row per
-    slice. Only series that cross a slice border need one: at most two rows per border, so the grouped and
-    the broadcast side never outgrow the number of partitions.
+    A row turns the smoothed value x before it into a x + b, and so does a run of rows. Rows are range-partitioned by series and order and
+    cut into blocks, in which b is a running sum. The blocks' maps are chained in two steps, first neighbouring ones of a partition and then these
+    chains of a series, and give each block the value it begins with. So a series may be longer than one task should hold, and all is built-in aggregates.
+    Null keys are a series as any other.
     """
     if not 0 < alpha <= 1:
         raise ValueError("alpha must lie in (0, 1]")
-    keys = list(keys)
-    rows = series.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order).withColumn("__slice", F.spark_partition_id())
-    schema = T.StructType([*rows.schema.fields, T.StructField("__ema", T.DoubleType()), T.StructField("__i", T.LongType())])
-    local = stage(rows.mapInArrow(lambda batches: _smooth_slice(batches, keys, alpha), schema), "ema")
-    weight = F.pow(F.lit(1 - alpha), F.col("__i"))
-
-    ends = local.groupBy(*keys, "__slice").agg(
-        F.max_by("__ema", "__i").alias("end"), F.max_by(weight, "__i").alias("weight"), F.min_by("value", "__i").alias("first")
-    )
-    crossing = ends.withColumn("slices", F.count(F.lit(1)).over(Window.partitionBy(*keys))).filter(F.col("slices") > 1).drop("slices")
-    out = T.StructType([*[local.schema[k] for k in keys], T.StructField("__slice", T.IntegerType()), T.StructField("__shift", T.DoubleType())])
-    carries = crossing.groupBy(*keys).applyInPandas(lambda ends: _carry(ends, keys), out)
-    # pandas hands NaN back as null.
-    carries = carries.withColumn("__shift", F.coalesce("__shift", F.lit(float("nan"))))
-
-    joined = local.join(F.broadcast(carries), [*keys, "__slice"], "left")
-    return joined.select(*series.columns, (F.col("__ema") + F.coalesce(weight * F.col("__shift"), F.lit(0.0))).alias(name))
+    rest, length = 1 - alpha, block_length(alpha)
+    value = F.coalesce(F.col("value").cast("double"), F.lit(float("nan")))
+    rows = series.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    # A struct of the keys, which is equal where its nulls are, is the one key of all joins.
+    rows = rows.withColumns({"__key": F.struct(*keys), "__at": F.monotonically_increasing_id()})
+    rows = stage(rows.withColumns({"__part": F.shiftright("__at", 33), "__block": F.floor(F.col("__at").bitwiseAND((1 << 33) - 1) / length)}), "ema")
+    along = Window.partitionBy("__key", "__part", "__block").orderBy("__at")
+    place = F.row_number().over(along)
+    power = lambda n: F.pow(F.lit(rest), n.cast("double"))
+    sums = rows.withColumn("__n", place).withColumn("__b", F.sum(value * alpha / power(F.col("__n") - 1)).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    local = sums.withColumn("__b", F.col("__b") * power(F.col("__n") - 1))
+
+    where = ["__key", "__part", "__block"]
+    blocks = local.groupBy(*where).agg(F.max_by("__b", "__at").alias("b"), F.max("__n").alias("n"), F.min_by(value, "__at").alias("first"))
+    blocks = blocks.withColumn("m", F.struct(power(F.col("n")).alias("a"), "b")).withColumn("chain", F.floor(F.col("__block") / CHAINED))
+    chains = blocks.groupBy("__key", "__part", "chain").agg(F.sort_array(F.collect_list(F.struct("__block", "m", "first"))).alias("held"))
+    chains = chains.withColumn("c", _chained(F.transform("held", lambda h: h["m"])))
+    linked = chains.groupBy("__key").agg(F.sort_array(F.collect_list(F.struct("__part", "chain", "c", "held"))).alias("chains"))
+    linked = linked.withColumn("l", _chained(F.transform("chains", lambda c: c["c"]["all"])))
+    start = F.col("chains")[0]["held"][0]["first"]
+    carry = linked.select("__key", start.alias("start"), F.posexplode("chains").alias("i", "chain"), "l").select("__key", "start", "chain", F.col("l.before")[F.col("i")].alias("ahead"))
+    carry = carry.select("__key", "start", "ahead", "chain.__part", F.posexplode("chain.held").alias("j", "held"), F.col("chain.c.before").alias("before"))
+    at_start = F.col("ahead.a") * F.col("start") + F.col("ahead.b")
+    inner = F.col("before")[F.col("j")]
+    carry = carry.select("__key", "__part", F.col("held.__block").alias("__block"), (inner["a"] * at_start + inner["b"]).alias("__carry"))
+    joined = local.join(carry, where)
+    return joined.select(*series.columns, (F.col("__b") + power(F.col("__n")) * F.col("__carry")).alias(name))
 
 
 def perplexity(loss: Column) -> Column:

@@ -11,6 +11,8 @@ from chatmill.operators.staging import new_path
 from chatmill.queries.registry import Tables, query
 from chatmill.schemas import SCALARS
 from chatmill.sources.logs import read_log_lines
+from chatmill.streaming.monitor import TrainingMonitor
+from chatmill.streaming.results import read_stream
 
 # Scalar rows made from the events; valid in Spark and in DuckDB.
 TAG_SQL = """CASE event_type WHEN 'click' THEN 'train/loss' WHEN 'view' THEN 'eval_loss' WHEN 'signup' THEN 'train/learning_rate'
@@ -123,10 +125,13 @@ ENTRY_SQL = (
 )
 
 
-def _merged(t: Tables) -> DataFrame:
+def _runs(t: Tables) -> tuple[DataFrame, DataFrame]:
     entries = t.events.select("user_id", *[F.expr(v).cast("bigint" if "step" in k else "double").alias(k) for k, v in ENTRY_COLUMNS.items()])
-    runs = (entries.filter(F.col("user_id") % 3 != 1), entries.filter(F.col("user_id") % 3 == 1))
-    return trainlog.merge_history(*[r.drop("user_id") for r in runs])
+    return entries.filter(F.col("user_id") % 3 != 1).drop("user_id"), entries.filter(F.col("user_id") % 3 == 1).drop("user_id")
+
+
+def _merged(t: Tables) -> DataFrame:
+    return trainlog.merge_history(*_runs(t))
 
 
 @query(ENTRY_SQL + "SELECT at_step, loss, eval_loss, grad_norm, learning_rate FROM m")
@@ -145,6 +150,29 @@ def entry_series(t: Tables):
     return trainlog.entry_series(_merged(t))
 
 
+@query(
+    ENTRY_SQL.replace("WITH x", "WITH RECURSIVE x").rstrip()
+    + """,
+p AS (SELECT 'train_loss' AS tag, at_step AS step, loss AS value, CAST(0.1 AS DOUBLE) AS alpha FROM m WHERE loss IS NOT NULL
+  UNION ALL SELECT 'eval_loss', at_step, eval_loss, NULL FROM m WHERE eval_loss IS NOT NULL
+  UNION ALL SELECT 'grad_norm', at_step, grad_norm, CAST(0.2 AS DOUBLE) FROM m WHERE loss IS NOT NULL AND grad_norm IS NOT NULL
+  UNION ALL SELECT 'learning_rate', at_step, learning_rate, NULL FROM m WHERE loss IS NOT NULL AND learning_rate IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY step, value) AS rn FROM p),
+e AS (SELECT tag, step, value, alpha, rn, CASE WHEN alpha IS NOT NULL THEN value END AS ema FROM n WHERE rn = 1
+  UNION ALL SELECT n.tag, n.step, n.value, n.alpha, n.rn, n.alpha * n.value + (1 - n.alpha) * e.ema FROM e JOIN n ON n.tag = e.tag AND n.rn = e.rn + 1)
+SELECT tag, step, value, round(ema, 6) AS ema FROM e"""
+)
+def training_monitor(t: Tables):
+    """The events as the entries of a run that goes on from an earlier one, followed as a stream; the panels after its end."""
+    prior, current = _runs(t)
+    folder = new_path(t.spark, "monitor")
+    current.write.parquet(f"{folder}/log")
+    monitor = TrainingMonitor(f"{folder}/run", prior)
+    monitor.start(read_stream(t.spark, f"{folder}/log", current.schema, "parquet"), f"{folder}/checkpoint").awaitTermination()
+    monitor.finish()
+    return monitor.panels().select("tag", "step", "value", F.round("ema", 6).alias("ema"))
+
+
 @query("""
 WITH c AS (SELECT event_type, event_id, CAST(floor(event_id / 900) AS BIGINT) AS checkpoint FROM events)
 SELECT event_type, event_id, checkpoint FROM c JOIN (SELECT event_type, max(checkpoint) AS checkpoint FROM c GROUP BY event_type) USING (event_type, checkpoint)

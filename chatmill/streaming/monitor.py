@@ -3,75 +3,181 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from chatmill.operators.trainlog import ALPHA, GRAD_NORM_ALPHA, ema, entry_series, entry_step, merge_history, perplexity
 from chatmill.schemas import LOG_ENTRY
-from chatmill.sources.jsonl import path_exists
+from chatmill.sources.files import names_in, path_exists
+from chatmill.sources.snapshots import note_of, point
 from chatmill.streaming.results import ONCE
 
 REFRESH_STEPS = 50
+SMOOTHED = {"train_loss": ALPHA, "grad_norm": GRAD_NORM_ALPHA}
+TAGS = ("train_loss", "eval_loss", "grad_norm", "learning_rate")
+
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+POINTS = "tag string, step long, value double, ema double, final boolean, earlier boolean, at long"
+
+
+def _panels(points: DataFrame) -> DataFrame:
+    train = F.col("tag") == "train_loss"
+    return points.select("tag", "step", "value", "ema", F.when(train, perplexity(F.col("value"))).alias("perplexity"), F.when(train, perplexity(F.col("ema"))).alias("perplexity_ema"))
+
+
+def _smoothed(series: DataFrame) -> DataFrame:
+    # An entry without a step of its own may repeat one; the value breaks the tie.
+    order = ("step", "value")
+    parts = [ema(series.filter(F.col("tag") == tag), alpha=alpha, order=order) for tag, alpha in SMOOTHED.items()]
+    others = series.filter(~F.col("tag").isin(*SMOOTHED)).withColumn("ema", F.lit(None).cast("double"))
+    return parts[0].unionByName(parts[1]).unionByName(others)
 
 
 def panel_table(prior: DataFrame, current: DataFrame) -> DataFrame:
     """All points of the merged history with their smoothed values and, for the loss, perplexities."""
     series = entry_series(merge_history(prior, current))
-    # An entry without a step of its own may repeat one; the value breaks the tie.
-    order = ("step", "value")
-    loss = ema(series.filter(F.col("tag") == "train_loss"), alpha=ALPHA, order=order)
-    norm = ema(series.filter(F.col("tag") == "grad_norm"), alpha=GRAD_NORM_ALPHA, order=order)
-    others = series.filter(~F.col("tag").isin("train_loss", "grad_norm")).withColumn("ema", F.lit(None).cast("double"))
-    train = F.col("tag") == "train_loss"
-    return loss.unionByName(norm).unionByName(others).select(
-        "tag",
-        "step",
-        "value",
-        "ema",
-        F.when(train, perplexity(F.col("value"))).alias("perplexity"),
-        F.when(train, perplexity(F.col("ema"))).alias("perplexity_ema"),
-    )
+    return _panels(_smoothed(series))
+
+
+def _marks(entries: DataFrame, *more: Column | str) -> DataFrame:
+    """(`tag`, `step`, `value`) of every entry, once for each tag, also where the entry has no value of it: its step is news to all series."""
+    with_loss = F.col("loss").isNotNull()
+    values = {"train_loss": F.col("loss"), "eval_loss": F.col("eval_loss"), "grad_norm": F.when(with_loss, F.col("grad_norm")), "learning_rate": F.when(with_loss, F.col("learning_rate"))}
+    points = F.array(*[F.struct(F.lit(t).alias("tag"), v.cast("double").alias("value")) for t, v in values.items()])
+    return entries.select(entry_step().alias("step"), F.explode(points).alias("p"), *more).select("p.tag", "step", "p.value", *more)
+
+
+class SeriesCarry(StatefulProcessor):
+    """Smooths one tag's points as they come; all it keeps of the past is the smoothed value, the last step, and what may still change.
+
+    A point is final once a later step is known, since entries of one step may come in several batches. Points of the earlier run beyond the current
+    run's step wait in the state: each becomes final when the run has passed its step without an entry there, and is dropped when it has one.
+    Out come the new final points, and those that may still change as they are now.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.carry = handle.getValueState("carry", "ema double, begun boolean, at long, late boolean")
+        self.open = handle.getListState("open", "step long, value double")
+        self.prior = handle.getListState("prior", "step long, value double")
+
+    def handleInitialState(self, key: Any, initialState: Any, timerValues: Any) -> None:
+        self.prior.appendValue((initialState.step, initialState.value))
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        tag = key[0]
+        smooth, begun, at, late = self.carry.get() if self.carry.exists() else (None, False, None, False)
+        alpha = SMOOTHED.get(tag)
+        new = [(r.step, r.value) for r in rows]
+        behind = [p for p in new if at is not None and p[0] < at]
+        new = new if not behind else [p for p in new if p[0] >= at]
+        late = late or bool(behind)
+        last = max([s for s, _ in new] + ([at] if at is not None else []))
+        held = [tuple(r) for r in self.open.get()] if self.open.exists() else []
+        prior = sorted(tuple(r) for r in self.prior.get()) if self.prior.exists() else []
+        logged = {s for s, _ in new} | ({at} if at is not None else set())
+        points = sorted(p for p in [*held, *new] if p[1] is not None)
+        passed = [p for p in prior if p[0] < last and p[0] not in logged]
+        waiting = [p for p in prior if p[0] > last]
+        final = sorted([*((*p, False) for p in points if p[0] < last), *((*p, True) for p in passed)])
+        still = [p for p in points if p[0] == last]
+
+        def smoothed(value: float) -> float | None:
+            nonlocal smooth, begun
+            if alpha is not None:
+                smooth, begun = (alpha * value + (1 - alpha) * smooth if begun else value), True
+            return smooth
+
+        for step, value, earlier in final:
+            yield Row(tag=tag, step=step, value=value, ema=smoothed(value), final=True, earlier=earlier, at=None)
+        for step, value in behind:
+            yield Row(tag=tag, step=step, value=value, ema=None, final=True, earlier=False, at=None)
+        self.carry.update((smooth, begun, last, late))
+        self.open.put(still) if still else self.open.clear()
+        self.prior.put(waiting) if waiting else self.prior.clear()
+        for (step, value), earlier in [*((p, False) for p in still), *((p, True) for p in waiting)]:
+            yield Row(tag=tag, step=step, value=value, ema=smoothed(value), final=False, earlier=earlier, at=None)
+        # How far the run is; as a negative number once an entry has come behind a step that was final already.
+        yield Row(tag=tag, step=None, value=None, ema=None, final=False, earlier=False, at=-1 - last if late else last)
+
+    def close(self) -> None:
+        pass
 
 
 class TrainingMonitor:
-    """Rewrites the panel table whenever the run is `every` steps past the last refresh, and at its end.
+    """Refreshes the panels whenever the run is `every` steps past the last refresh, and at its end.
 
-    All state is in `folder`: the entries seen so far (`entries`, one sub-folder per micro-batch, so a
-    repeated batch replaces itself), the last refreshed step (`state`) and the panels (`panels`).
+    Entries go through keyed state (SeriesCarry), so a batch costs what came with it and the earlier run's points that are not passed yet, however long the run
+    is. All of it is in `folder`: the points of each micro-batch (`points/batch=<n>`, so that a repeated batch replaces itself), and the refreshes, notes
+    that say up to which batch the panels count; readers of `panels()` find a whole table at any time.
+
+    Entries come in order of their steps, as a run logs them; in a batch any order will do. One behind a step that is past is no error: from then
+    on readers smooth all points anew.
     """
 
     def __init__(self, folder: str, prior: DataFrame, every: int = REFRESH_STEPS):
         self.folder, self.prior, self.every = folder.rstrip("/"), prior, every
         self.spark = prior.sparkSession
 
-    def _last_refresh(self) -> int:
-        if not path_exists(self.spark, f"{self.folder}/state"):
-            return -1
-        return json.loads(self.spark.read.text(f"{self.folder}/state").first()[0])["step"]
-
-    def entries(self) -> DataFrame:
-        return self.spark.read.schema(LOG_ENTRY).parquet(f"{self.folder}/entries/*")
-
-    def refresh(self, step: int) -> None:
-        panel_table(self.prior, self.entries()).write.mode("overwrite").parquet(f"{self.folder}/panels")
-        self.spark.range(1).select(F.lit(json.dumps({"step": step})).alias("value")).write.mode("overwrite").text(f"{self.folder}/state")
-
-    def on_batch(self, batch: DataFrame, batch_id: int) -> None:
-        path = f"{self.folder}/entries/batch={batch_id}"
-        batch.select(*LOG_ENTRY.fieldNames()).write.mode("overwrite").parquet(path)
-        step = self.spark.read.schema(LOG_ENTRY).parquet(path).agg(F.max(entry_step())).first()[0]
-        if step is not None and step - self._last_refresh() >= self.every:
-            self.refresh(step)
+    def _note(self) -> dict:
+        note = note_of(self.spark, f"{self.folder}/refreshes")
+        return json.loads(note) if note else {"step": -1, "batch": -1, "late": False}
+
+    def _points(self) -> DataFrame:
+        return self.spark.read.schema(f"{POINTS}, batch int").parquet(f"{self.folder}/points")
+
+    def panels(self) -> DataFrame:
+        """The panels as of the last refresh: what was final by then, and what was not as it stood then."""
+        note = self._note()
+        if note["batch"] < 0:
+            return panel_table(self.prior, self.spark.createDataFrame([], LOG_ENTRY))
+        counts = (F.col("final") & (F.col("batch") <= note["batch"])) | (~F.col("final") & (F.col("batch") == note["batch"]))
+        points = self._points().filter(counts & F.col("step").isNotNull())
+        if note["late"]:
+            logged = points.filter(~F.col("earlier"))
+            kept = points.filter("earlier").join(logged.select("tag", "step").distinct(), ["tag", "step"], "left_anti")
+            points = _smoothed(kept.unionByName(logged.filter(F.col("value").isNotNull()), allowMissingColumns=True).select("tag", "step", "value"))
+        return _panels(points)
+
+    def refresh(self, step: int, batch: int, late: bool) -> None:
+        point(self.spark, f"{self.folder}/refreshes", json.dumps({"step": step, "batch": batch, "late": late}))
+
+    def _reached(self, batch: int) -> tuple[int | None, bool]:
+        """The last step of a batch, and whether an entry has come late."""
+        at = self._points().filter((F.col("batch") == batch) & F.col("at").isNotNull()).agg(F.max("at").alias("high"), F.min("at").alias("low")).first()
+        late = at["low"] is not None and at["low"] < 0
+        return (-1 - at["low"] if late else at["high"]), late
+
+    def on_points(self, points: DataFrame, batch_id: int) -> None:
+        points.write.mode("overwrite").parquet(f"{self.folder}/points/batch={batch_id}")
+        step, late = self._reached(batch_id)
+        if step is None:
+            return
+        note = self._note()
+        if step - note["step"] >= self.every:
+            self.refresh(step, batch_id, late or note["late"])
 
     def start(self, entries: DataFrame, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery | None:
-        """Follow a stream of log entries, with a `trigger` as results.ONCE has it; None (no monitor) if `every` is not positive."""
+        """Follow a stream of log entries, with a `trigger` as results.ONCE has it; None (no monitor) if `every` is not positive.
+
+        Keeps its state in RocksDB, which the session is set to.
+        """
         if self.every <= 0:
             return None
-        writer = entries.writeStream.option("checkpointLocation", checkpoint)
-        return writer.foreachBatch(self.on_batch).trigger(**trigger).start()
+        self.spark.conf.set(_STORE, _ROCKS)
+        prior = entry_series(self.prior).select("tag", "step", F.col("value").cast("double"))
+        smoothed = _marks(entries).groupBy("tag").transformWithState(SeriesCarry(), POINTS, "Append", "None", initialState=prior.groupBy("tag"))
+        writer = smoothed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+        return writer.foreachBatch(self.on_points).trigger(**trigger).start()
 
     def finish(self) -> None:
         """The refresh at the end of training."""
-        self.refresh(self.entries().agg(F.coalesce(F.max(entry_step()), F.lit(0))).first()[0])
+        batches = [int(n.removeprefix("batch=")) for n in names_in(self.spark, f"{self.folder}/points") if n.startswith("batch=")] if path_exists(self.spark, f"{self.folder}/points") else []
+        if batches:
+            step, late = self._reached(max(batches))
+            note = self._note()
+            self.refresh(max(step or 0, note["step"]), max(batches), late or note["late"])
