@@ -14,6 +14,8 @@ NOTHING = "_"
 
 # Questions numbered at a time.
 CHUNK = 10_000
+# Tasks for ranges of large products, for each shuffle partition.
+SPREAD = 2
 
 
 def _div(a: Column, b: Column) -> Column:
@@ -62,12 +64,17 @@ def fill_options(template: Column, blocks: Column, number: Column) -> Column:
 def expand_questions(df: DataFrame, template: str = "question", out: str = "question", number: str = "option_no") -> DataFrame:
     """One row per question a template stands for, numbered from 0 in product order.
 
-    Numbers are made in chunks of CHUNK, so a product of 10^8 is an array of 10^4 chunk numbers and one chunk at a time.
+    A template of up to CHUNK questions is expanded where it lies. A larger one is cut into equal ranges of numbers, which are dealt to all
+    tasks, so that one product of 10^8 questions is the work of many: what is moved is the template, once a range.
     """
     work = df.withColumn("__template", F.col(template)).withColumn("__blocks", option_blocks(F.col("__template")))
     work = work.withColumn("__n", option_count(F.col("__blocks")))
+    few = work.filter(F.col("__n") <= CHUNK).withColumn("__chunk", F.lit(0).cast("bigint"))
     last = F.call_function("div", F.col("__n") - 1, F.lit(CHUNK).cast("bigint"))
-    work = work.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("__chunk"))
+    many = work.filter(F.col("__n") > CHUNK).withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    # A number of its own: else ranges, which are short rows, would be taken together again for their size.
+    tasks = SPREAD * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    work = few.unionByName(many.repartition(tasks, "__chunk", F.xxhash64("__template")))
     start = F.col("__chunk") * CHUNK
     work = work.select("*", F.explode(F.sequence(start, F.least(start + CHUNK, F.col("__n")) - 1)).alias(number))
     return work.withColumn(out, fill_options(F.col("__template"), F.col("__blocks"), F.col(number))).drop("__template", "__blocks", "__n", "__chunk")

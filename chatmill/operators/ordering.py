@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chatmill.functions.keys import hash_number, seeded_key
 from chatmill.operators.staging import stage
@@ -11,6 +12,9 @@ from chatmill.operators.staging import stage
 # monotonically_increasing_id holds the partition above these bits and the row's place in it below.
 _ROW_BITS = 33
 
+# A selection by rank: rows gathered for an exact order, bins counted in a round, keys sampled to cut them.
+GATHERED, BINS, SAMPLED = 20_000, 256, 4096
+
 
 def _columns(order: list[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
@@ -81,6 +85,63 @@ def number_shuffled(df: DataFrame, seed: int, ids: list[str], name: str = "row_n
     return placed.join(F.broadcast(offsets), "__slot").withColumn(name, F.col("__before") + F.col("__at")).drop("__slot", "__at", "__before")
 
 
+def _literal(value, kind: T.DataType) -> Column:
+    """A value as collected, as a column of its type."""
+    if isinstance(kind, T.StructType) and value is not None:
+        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(value, kind.fields, strict=True)])
+    return F.lit(value).cast(kind)
+
+
+def _bin(key: Column, pivots: list[Column], low: int = 0) -> Column:
+    """Place among sorted pivots, by bisection: 2 i between pivot i - 1 and pivot i, 2 i + 1 at pivot i."""
+    if not pivots:
+        return F.lit(2 * low)
+    middle = len(pivots) // 2
+    upper = F.when(key == pivots[middle], 2 * (low + middle) + 1).otherwise(_bin(key, pivots[middle + 1 :], low + middle + 1))
+    return F.when(key < pivots[middle], _bin(key, pivots[:middle], low)).otherwise(upper)
+
+
+def nth_key(keys: DataFrame, rank: int, weight: str | None = None) -> tuple[Column, int] | None:
+    """The key (column `key`) at a rank from 1 in ascending order, as a literal, and how much of the rank falls on the row it was found at; None if the
+    keys, or their weights, don't reach the rank.
+
+    With `weight`, a column of whole numbers, a row counts so many times. Nothing is sorted as a whole or written: a rank within the first GATHERED rows
+    is a top-k. Beyond, each round samples keys of the range that holds the rank, counts the rows at and between BINS of them, and goes on in
+    one bin, until that is GATHERED rows or one key. A round reads the key columns twice.
+    """
+    kind = keys.schema["key"].dataType
+    rows = keys.withColumn("__w", F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")).filter("__w > 0")
+
+    def gathered(some: DataFrame, left: int) -> tuple[Column, int] | None:
+        for r in some.orderBy("key").limit(min(left, GATHERED)).select("key", "__w").collect():
+            if left <= r["__w"]:
+                return _literal(r["key"], kind), left
+            left -= r["__w"]
+        return None
+
+    if rank <= GATHERED:
+        return gathered(rows, rank)
+    total = rows.agg(F.sum("__w").alias("w"), F.count(F.lit(1)).alias("n")).first()
+    if (total["w"] or 0) < rank:
+        return None
+    some, left, n = rows, rank, total["n"]
+    while n > GATHERED:
+        sample = some.select("key").sample(min(1.0, 2 * SAMPLED / n), 1).limit(SAMPLED).distinct().sort("key").collect()
+        pivots = [_literal(sample[i]["key"], kind) for i in sorted({len(sample) * b // BINS for b in range(BINS)})]
+        bins = some.groupBy(_bin(F.col("key"), pivots).alias("bin")).agg(F.sum("__w").alias("w"), F.count(F.lit(1)).alias("n"))
+        for r in sorted(bins.collect(), key=lambda r: r["bin"]):
+            if left <= r["w"]:
+                break
+            left -= r["w"]
+        i, n = r["bin"] // 2, r["n"]
+        if r["bin"] % 2:
+            return pivots[i], left
+        # The pivots themselves are out, so the range is smaller each time.
+        some = some.filter(F.col("key") > pivots[i - 1]) if i else some
+        some = some.filter(F.col("key") < pivots[i]) if i < len(pivots) else some
+    return gathered(some, left)
+
+
 def first_rows(df: DataFrame, order: list[Column | str], n: int | None) -> DataFrame:
     """The first `n` rows, in the given order; None keeps all rows, n < 1 is refused.
 
@@ -92,9 +153,9 @@ def first_rows(df: DataFrame, order: list[Column | str], n: int | None) -> DataF
     if n < 1:
         raise ValueError("a row cap must be at least 1; use None for all rows")
     key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(_columns(order))])
-    keys = df.select(key.alias("key"))
-    last = number_rows(keys, ["key"], "row").filter(F.col("row") < n).agg(F.max("key").alias("key"))
-    return df.withColumn("__key", key).filter(F.col("__key") <= last.scalar()).drop("__key").orderBy(*_columns(order))
+    last = nth_key(df.select(key.alias("key")), n)
+    kept = df if last is None else df.filter(key <= last[0])
+    return kept.orderBy(*_columns(order))
 
 
 def number_samples(df: DataFrame, order: list[Column | str], name: str = "sample") -> DataFrame:
@@ -103,21 +164,12 @@ def number_samples(df: DataFrame, order: list[Column | str], name: str = "sample
 
 
 def exact_median(df: DataFrame, value: str) -> DataFrame:
-    """One row with the median (mean of the two middle values) of the non-null values.
-
-    Equal values are counted together first; the counts are summed up along the value order by range
-    partition, so no task holds all distinct values.
-    """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    placed = stage(counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "median")
-    sizes = placed.groupBy("part").agg(F.sum("n").alias("size"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
-    total = sizes.agg(F.sum("size").alias("total"))
-    within = Window.partitionBy("part").orderBy("v")
-    ends = placed.join(F.broadcast(offsets), "part").select("v", "n", (F.col("before") + F.sum("n").over(within)).alias("end"))
-    # Rows cover the ranks (end - n, end]; the middle ranks are (total + 1) / 2 rounded both ways.
-    middle = total.select(F.floor((F.col("total") + 1) / 2).alias("lo")).scalar(), total.select(F.ceil((F.col("total") + 1) / 2).alias("hi")).scalar()
-    covers = [(F.col("end") >= m) & (F.col("end") - F.col("n") < m) for m in middle]
-    pick = ends.filter(covers[0] | covers[1]).agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    return pick.select(((F.col("lo") + F.col("hi")) / 2).alias("median"))
+    """One row with the median (mean of the two middle values) of the non-null values; null without any. Found by counting, see `nth_key`."""
+    values = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("key"))
+    n = values.count()
+    if not n:
+        return df.sparkSession.createDataFrame([(None,)], "median double")
+    low = nth_key(values, (n + 1) // 2)[0]
+    both = values.agg(F.count_if(F.col("key") <= low).alias("upto"), F.min(F.when(F.col("key") > low, F.col("key"))).alias("next"))
+    high = F.when(F.lit(n % 2 == 1) | (F.col("upto") > n // 2), low).otherwise(F.col("next"))
+    return both.select(((low + high) / 2).alias("median"))
