@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatmill.functions.text import let, strip
@@ -63,3 +63,10 @@ def format_date(date: Column, fmt: Column) -> Column:
 def reformat_date(value: Column, fmt: Column) -> Column:
     """A date string in notation `fmt`; null stays null, a text that is no date stays as it is."""
     return let(parse_date(value), lambda d: F.coalesce(format_date(d, fmt), value))
+
+
+def with_notations(df: DataFrame, value: str, names: list[str], formats: list[int] | None = None) -> DataFrame:
+    """Add a date string in several notations (numbered from 0, all of them by default), as `reformat_date` has it; the date is read once, as a column."""
+    read = df.withColumn("__date", parse_date(F.col(value)))
+    texts = [F.coalesce(format_date(F.col("__date"), F.lit(f)), F.col(value)).alias(n) for n, f in zip(names, formats or range(len(DATE_LABELS)), strict=True)]
+    return read.select("*", *texts).drop("__date")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatmill.functions.dates import reformat_date
+from chatmill.functions.dates import format_date, parse_date
 from chatmill.functions.repair import read_object
 from chatmill.functions.text import let
 from chatmill.schemas import PROFILE_FIELDS, FieldSpec
@@ -142,19 +142,14 @@ def _pretty(text: pd.Series, order: pd.Series, date_field: pd.Series, date: pd.S
     return pd.Series([one(*row) for row in zip(text, order, date_field, date, strict=True)], dtype=object)
 
 
-def with_ordered_target(
-    df: DataFrame,
-    text: str,
-    order: Column,
-    fmt: Column,
-    out: str = "target",
-    fields: tuple[FieldSpec, ...] = PROFILE_FIELDS,
-) -> DataFrame:
-    """Add JSON text with its keys in `order` (unlisted keys follow in source order) and dates in notation `fmt`.
+TARGET = "__target"
 
-    Two-space pretty print, non-ASCII kept. Records of strings, nulls and lists of strings, which is what
-    the schema asks for, are written by built-in expressions; only a record with other values in its lists
-    or with unknown keys is sent to an Arrow UDF, which sees null for all others.
+
+def read_targets(df: DataFrame, text: str, fields: tuple[FieldSpec, ...] = PROFILE_FIELDS) -> DataFrame:
+    """Add `__target`, what `with_ordered_target` needs of a JSON text: read it once, before a sample is multiplied to its variants.
+
+    A struct of `plain` (whether built-in expressions can write it), `keys`, `lines` (of each known field, the date field's aside, its line as it is
+    printed), `date`, and `text` (the text if it is not plain).
     """
     texts, lists = [f for f in fields if not f.is_list], [f for f in fields if f.is_list]
     date_field = next((f.name for f in fields if f.is_date), "")
@@ -172,11 +167,6 @@ def with_ordered_target(
         lines = F.transform(items, lambda x: F.concat(F.lit("    "), literal(x)))
         return F.when(F.size(items) == 0, "[]").otherwise(F.concat(F.lit("[\n"), F.array_join(lines, ",\n"), F.lit("\n  ]")))
 
-    def write(values: Column) -> Column:
-        full = F.concat(F.array_intersect(order, keys), F.array_except(keys, order))
-        lines = F.transform(full, lambda k: F.concat(F.lit("  "), quote(k), F.lit(": "), F.get(values, F.array_position(known, k).cast("int") - 1)))
-        return F.when(F.size(full) == 0, "{}").otherwise(F.concat(F.lit("{\n"), F.array_join(lines, ",\n"), F.lit("\n}")))
-
     schema = T.StructType([T.StructField(f.name, T.ArrayType(T.StringType()) if f.is_list else T.StringType()) for f in fields])
     no_others = value.isNotNull() & F.coalesce(F.size(F.array_except(keys, known)) == 0, F.lit(False))
     # Step by step, so that what is used several times is computed once per row; the values are written by one
@@ -185,9 +175,41 @@ def with_ordered_target(
     df = df.withColumn("__plain", reduce(lambda a, b: a & b, map(fits, fields), no_others))
     df = df.withColumns({"__typed": F.when(is_plain, F.from_json(text, schema)), "__odd": _outline(F.when(value.isNull(), F.col(text)))})
     date = F.when(is_plain, typed[date_field]).otherwise(F.get_json_object(F.coalesce("__odd", text), f"$.{date_field}")) if date_field else F.lit(None).cast("string")
-    df = df.withColumn("__day", reformat_date(date, fmt))
-    plain_texts = F.transform(F.array(*[F.col("__day") if f.is_date else typed[f.name] for f in texts]), literal)
+    plain_texts = F.transform(F.array(*[typed[f.name] for f in texts]), literal)
     plain_lists = F.transform(F.array(*[typed[f.name] for f in lists]), block) if lists else F.array().cast("array<string>")
-    native = F.when(is_plain, let(F.concat(plain_texts, plain_lists), write))
-    others = _pretty(F.when(~is_plain, F.col(text)), F.when(~is_plain, order), F.lit(date_field), F.when(~is_plain, F.col("__day")))
-    return df.withColumn(out, F.coalesce(native, others)).drop("__value", "__keys", "__plain", "__typed", "__odd", "__day")
+    lines = F.zip_with(known, F.concat(plain_texts, plain_lists), lambda k, v: F.concat(F.lit("  "), quote(k), F.lit(": "), v))
+    found = F.struct(is_plain.alias("plain"), keys.alias("keys"), F.when(is_plain, lines).alias("lines"), date.alias("date"), F.when(~is_plain, F.col(text)).alias("text"))
+    return df.withColumn(TARGET, found).drop("__value", "__keys", "__plain", "__typed", "__odd")
+
+
+def with_ordered_target(
+    df: DataFrame,
+    text: str,
+    order: Column,
+    fmt: Column,
+    out: str = "target",
+    fields: tuple[FieldSpec, ...] = PROFILE_FIELDS,
+) -> DataFrame:
+    """Add JSON text with its keys in `order` (unlisted keys follow in source order) and dates in notation `fmt`.
+
+    Two-space pretty print, non-ASCII kept. Records of strings, nulls and lists of strings, which is what
+    the schema asks for, are written by built-in expressions; only a record with other values in its lists
+    or with unknown keys is sent to an Arrow UDF, which sees null for all others. Targets that `read_targets` has read are not read again.
+    """
+    names = [f.name for f in fields if not f.is_list] + [f.name for f in fields if f.is_list]
+    known = F.array(*map(F.lit, names))
+    date_field = next((f.name for f in fields if f.is_date), "")
+    df = df if TARGET in df.columns else read_targets(df, text, fields)
+    target = F.col(TARGET)
+    df = df.withColumn("__parsed", parse_date(target["date"]))
+    df = df.withColumn("__day", F.coalesce(format_date(F.col("__parsed"), fmt), target["date"]))
+    keys = target["keys"]
+    df = df.withColumn("__full", F.when(target["plain"], F.concat(F.array_intersect(order, keys), F.array_except(keys, order))))
+    day = F.concat(F.lit("  "), quote(F.lit(date_field)), F.lit(": "), F.coalesce(quote(F.col("__day")), F.lit("null")))
+    # The lines with the date's own put in its place.
+    df = df.withColumn("__lines", F.concat(F.slice(target["lines"], 1, names.index(date_field)), F.array(day), F.slice(target["lines"], names.index(date_field) + 2, len(names))) if date_field else target["lines"])
+    lines = F.transform("__full", lambda k: F.get(F.col("__lines"), F.array_position(known, k).cast("int") - 1))
+    native = F.when(F.size("__full") == 0, "{}").otherwise(F.concat(F.lit("{\n"), F.array_join(lines, ",\n"), F.lit("\n}")))
+    odd = ~target["plain"]
+    others = _pretty(target["text"], F.when(odd, order), F.lit(date_field), F.when(odd, F.col("__day")))
+    return df.withColumn(out, F.coalesce(F.when(target["plain"], native), others)).drop(TARGET, "__parsed", "__day", "__full", "__lines")

@@ -23,7 +23,7 @@ def other_format(seed: int, *ids: Column | str) -> Column:
 
 def with_variants(
     df: DataFrame,
-    sample: str,
+    sample: Column | str,
     extra: Column | int,
     seed: int = 42,
     fields: tuple[FieldSpec, ...] = PROFILE_FIELDS,

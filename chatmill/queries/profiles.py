@@ -11,7 +11,7 @@ from chatmill.functions.fields import score_fields
 from chatmill.functions.prompts import SchemaWording
 from chatmill.functions.prompts import schema_prompt as prompt_column
 from chatmill.functions.repair import parse_reply
-from chatmill.functions.targets import target_faults, with_ordered_target
+from chatmill.functions.targets import read_targets, target_faults, with_ordered_target
 from chatmill.operators.augment import with_variants
 from chatmill.operators.pairing import pair_folders
 from chatmill.operators.report import field_table, profile_summary
@@ -183,7 +183,7 @@ DAYS_SQL = f"d AS (SELECT *, {BIRTH_SQL} AS birth, strptime({BIRTH_SQL}, '%d.%m.
 
 @query(f"WITH {ORDER_SQL}, {DAYS_SQL} SELECT c_custkey, variant, {PRETTY_SQL} AS target FROM d")
 def ordered_json(t: Tables):
-    rows = with_variants(_customers(t, json_text="target"), "c_custkey", 3, 42)
+    rows = with_variants(read_targets(_customers(t, json_text="target"), "json_text"), "c_custkey", 3, 42)
     rows = with_ordered_target(rows, "json_text", F.col("field_order"), F.col("date_fmt"))
     return rows.select("c_custkey", "variant", "target")
 

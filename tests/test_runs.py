@@ -1,6 +1,5 @@
 import json
 import os
-import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +8,9 @@ from chatmill.operators.infer import InferSettings, ask_model, evaluate_document
 from chatmill.operators.report import accuracy_bar, first_error, latency_histogram, score_histogram
 from chatmill.plans.evaluation import evaluate_document_tasks, evaluate_profile_tasks
 from chatmill.schemas import LOG_ENTRY
-from chatmill.streaming.monitor import TrainingMonitor
+from chatmill.sources.journal import Journal
+from chatmill.sources.snapshots import read_current
+from chatmill.streaming.monitor import TrainingMonitor, panel_table
 from chatmill.streaming.results import append_scored, read_stream, rolling_summary
 
 
@@ -35,7 +36,7 @@ class Flaky:
 def test_asking(spark):
     tasks = spark.createDataFrame([(i, "s", q) for i, q in enumerate(["a", "fail 1", "fail 2", "fail 3", "none"])], "i int, system string, question string")
     waits = InferSettings(retries=3, threads=2)
-    got = ask_model(tasks.coalesce(1), Flaky, waits, sleep=lambda s: time.sleep(s / 1000)).orderBy("i").collect()
+    got = ask_model(tasks.coalesce(1), Flaky, waits, pause=lambda made: (1 << made) / 1000).orderBy("i").collect()
     assert [r.status for r in got] == ["ok", "ok", "ok", "error: Request failed after 3 attempts: attempt 3", "ok"]
     assert [r.raw_response for r in got] == ["s:a", "s:fail 1", "s:fail 2", "", ""]
     assert got[3].latency_s is None and all(r.latency_s is not None for r in got if r.status == "ok")
@@ -72,18 +73,19 @@ def test_restart_asks_only_for_what_is_missing(spark, tmp_path):
     tasks = spark.createDataFrame([("d", "", f"q{i}", f"q{i}") for i in range(12)], "doc string, system string, question string, ground_truth string")
     client, log = Counting(str(tmp_path)), str(tmp_path / "log")
     with pytest.raises(Exception):
-        evaluate_document_tasks(tasks, client, log, InferSettings(retries=1), pieces=6)
-    before = spark.read.json(log).count()
+        evaluate_document_tasks(tasks, client, log, InferSettings(retries=1), flush_s=0.1)
+    before = Journal(spark, f"{log}_journal").replies().count()
     (tmp_path / "mended").touch()
+    os.makedirs(log, exist_ok=True)
     with open(f"{log}/part-cut.json", "w") as f:
         f.write('{"doc": "d", "question": "q')
     (tmp_path / "asked").write_text("")
-    summary = evaluate_document_tasks(tasks, client, log, InferSettings(retries=1), pieces=6).first()
+    summary = evaluate_document_tasks(tasks, client, log, InferSettings(retries=1), flush_s=0.1).first()
     assert summary.n_total == summary.n_ok == 12
     assert 0 < before < 12 and len((tmp_path / "asked").read_text().split()) == 12 - before
-    again = evaluate_document_tasks(tasks, client, log, InferSettings(retries=1), pieces=6).first()
+    again = evaluate_document_tasks(tasks, client, log, InferSettings(retries=1), flush_s=0.1).first()
     assert again.n_total == 12 and len((tmp_path / "asked").read_text().split()) == 12 - before
-    assert spark.read.json(log).filter("_summary").count() == 2
+    assert spark.read.json(log).filter("_summary").count() == 1  # nothing new, no other summary
 
 
 class Canned:
@@ -134,7 +136,7 @@ def test_streamed_results(spark, tmp_path):
     feed("1.json", [("a", "ok", 1.0), ("b", "ok", 0.5), ("a", "error: x", 9.0)])
     feed("2.json", [("a", "ok", 0.0)])
     assert sorted(r.double for r in spark.read.parquet(out).collect()) == [0.0, 1.0, 2.0, 18.0]
-    assert {r.doc: (r.n_total, r.n_ok, r.score_mean) for r in spark.read.parquet(summary).collect()} == {"a": (3, 2, 0.5), "b": (1, 1, 0.5)}
+    assert {r.doc: (r.n_total, r.n_ok, r.score_mean) for r in read_current(spark, summary).collect()} == {"a": (3, 2, 0.5), "b": (1, 1, 0.5)}
 
 
 def test_asking_in_a_stream(spark, tmp_path):
@@ -168,9 +170,9 @@ def test_training_monitor(spark, tmp_path):
     refreshed = []
 
     class Watched(TrainingMonitor):
-        def refresh(self, step):
+        def refresh(self, step, *more):
             refreshed.append(step)
-            super().refresh(step)
+            super().refresh(step, *more)
 
     def feed(step):
         (tmp_path / "in" / f"{step}.json").write_text(json.dumps({"step": step, "loss": float(step), "grad_norm": 1.0}) + "\n")
@@ -185,8 +187,43 @@ def test_training_monitor(spark, tmp_path):
     assert refreshed == [9, 19]
     monitor.finish()
     assert refreshed == [9, 19, 19]
-    panels = spark.read.parquet(str(tmp_path / "run" / "panels"))
+    panels = monitor.panels()
     assert [(r.step, r.value) for r in panels.filter("tag = 'train_loss'").orderBy("step").collect()] == [(1, 9.0), (5, 5.0), (9, 9.0), (12, 12.0), (18, 18.0), (19, 19.0)]
     assert panels.filter("tag = 'train_loss' and step = 5").first().ema == pytest.approx(8.6)
     assert panels.filter("perplexity is not null").count() == 6
     assert TrainingMonitor(str(tmp_path / "x"), prior, every=0).start(None, "") is None
+
+
+def same_points(got, want):
+    rows = [sorted((tuple(r) for r in df.collect()), key=str) for df in (got, want)]
+    assert [r[:3] for r in rows[0]] == [r[:3] for r in rows[1]]
+    for a, b in zip(*rows, strict=True):
+        assert [x is None for x in a] == [x is None for x in b]
+        assert [x or 0.0 for x in a[3:]] == pytest.approx([x or 0.0 for x in b[3:]], rel=1e-9, abs=1e-12)
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_monitor_equals_smoothing_the_merged_history(spark, tmp_path, late):
+    """Batch by batch: repeated steps, steps of the earlier run that are logged again or not, entries without a loss, one that comes late."""
+    (tmp_path / "in").mkdir()
+    prior = [(s, None, 5.0 + s % 3, 1.0 if s % 4 == 0 else None, 0.5, 0.1) for s in range(0, 60, 2)]
+    batches = [
+        [(20, None, 4.0, None, 0.25, 0.2), (21, None, 3.0, None, None, 0.2)],
+        [(21, None, 2.5, None, 0.5, None), (None, 23, None, 0.75, 9.0, 9.0), (0, 24, 2.0, None, 0.5, 0.3)],
+        [(30, None, 1.0, 0.5, None, None)],
+        [(25, None, 7.0, None, None, None), (22, None, None, 0.25, None, None)] if late else [(31, None, 0.5, None, None, None)],
+        [(58, None, 0.25, None, 2.0, None), (70, None, 0.125, None, 1.0, 0.4)],
+    ]
+    before = spark.createDataFrame(prior, LOG_ENTRY)
+    monitor = TrainingMonitor(str(tmp_path / "run"), before, every=1)
+    seen = []
+    for n, rows in enumerate(batches):
+        (tmp_path / "in" / f"{n}.json").write_text("".join(json.dumps(dict(zip(LOG_ENTRY.fieldNames(), r, strict=True))) + "\n" for r in rows))
+        monitor.start(read_stream(spark, str(tmp_path / "in"), LOG_ENTRY), str(tmp_path / "cp")).awaitTermination()
+        seen += rows
+        if n in (0, 2, 4):
+            same_points(monitor.panels(), panel_table(before, spark.createDataFrame(seen, LOG_ENTRY)))
+    monitor.finish()
+    same_points(monitor.panels(), panel_table(before, spark.createDataFrame(seen, LOG_ENTRY)))
+    # What a batch writes depends on the batch and on what it has passed, not on how long the run is.
+    assert spark.read.parquet(str(tmp_path / "run" / "points" / "batch=4")).count() < 4 * 4 + 4 * len(prior)

@@ -210,7 +210,7 @@ def test_split_sink(spark, jsonl_file, tmp_path):
     out = str(tmp_path / "train.jsonl")
     assert sinks.write_split(records, records.limit(2), out) == str(tmp_path / "train_eval.jsonl")
     assert spark.read.text(str(tmp_path / "train_eval.jsonl")).count() == 2
-    with pytest.raises(ValueError, match="eval split"):
+    with pytest.raises(ValueError, match="nothing is written"):
         sinks.write_split(records, records.limit(0), out)
     assert sinks.eval_path("data") == "data_eval"
     assert sinks.dry_run(records.withColumn("source", F.lit("a"))).count() == 2
