@@ -79,7 +79,7 @@ def modality_route(t: Tables):
     return multimodal_route(_with_parts(t))
 
 
-def _jsonl(t: Tables) -> str:
+def jsonl_file(t: Tables) -> str:
     """Conversation records as JSON lines in the shared folder, in conversation order."""
     path = new_path(t.spark, "jsonl")
     lines = nest_turns(t.conversations).select("conv_id", conversation_line(F.col("conversations")).alias("line"))
@@ -89,7 +89,7 @@ def _jsonl(t: Tables) -> str:
 
 @query(f"SELECT count(*) AS turns, {CHAT_SQL} AS text FROM conversations GROUP BY conv_id")
 def jsonl_round_trip(t: Tables):
-    records = read_conversations(t.spark, _jsonl(t))
+    records = read_conversations(t.spark, jsonl_file(t))
     return records.select(F.size("conversations").cast("bigint").alias("turns"), render(F.col("conversations")).alias("text"))
 
 
@@ -100,7 +100,7 @@ SELECT 'sample_' || (row_number() OVER (ORDER BY conv_id) - 1) AS sample, questi
 """)
 def jsonl_tasks(t: Tables):
     """Tasks from prepared records; the replies here are prose, so no truth is readable JSON."""
-    return conversation_tasks(read_conversations(t.spark, _jsonl(t)))
+    return conversation_tasks(read_conversations(t.spark, jsonl_file(t)))
 
 
 @query(f"""

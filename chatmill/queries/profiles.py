@@ -74,7 +74,7 @@ def _customers(t: Tables, **texts: str) -> DataFrame:
     return rows.select("c_custkey", "c_nationkey", "c_mktsegment", *[F.expr(sql).alias(name) for name, sql in texts.items()])
 
 
-def _folders(t: Tables) -> tuple[DataFrame, DataFrame]:
+def folders(t: Tables) -> tuple[DataFrame, DataFrame]:
     """(pairs, rejects): documents as texts and customers as objects; one market segment has no object files."""
     texts = t.documents.select(F.lit("").alias("lang"), F.col("doc_id").alias("sample"), F.lit("cv.md").alias("file"), F.col("text").alias("cv_text"))
     second = texts.filter(F.col("sample") % 4 == 0).withColumns({"file": F.lit("old.md"), "cv_text": F.lit("not used")})
@@ -95,7 +95,7 @@ SELECT doc_id AS sample, md5(trim(text, ' ' || chr(9) || chr(10) || chr(13))) AS
 FROM documents JOIN o ON doc_id = c_custkey
 """)
 def folder_pairs(t: Tables):
-    return _folders(t)[0].select("sample", F.md5("cv_text").alias("text_key"), "json_text", "text_files")
+    return folders(t)[0].select("sample", F.md5("cv_text").alias("text_key"), "json_text", "text_files")
 
 
 @query(f"""
@@ -104,7 +104,7 @@ SELECT coalesce(doc_id, c_custkey) AS sample, CASE WHEN doc_id IS NULL THEN 'no
 FROM documents FULL JOIN o ON doc_id = c_custkey WHERE doc_id IS NULL OR c_custkey IS NULL
 """)
 def folder_rejects(t: Tables):
-    return _folders(t)[1].select("sample", "fault")
+    return folders(t)[1].select("sample", "fault")
 
 
 @query(f"""
@@ -196,7 +196,7 @@ FROM documents JOIN p ON doc_id = c_custkey WHERE c_custkey % 9 = 0 AND c_mktseg
 """)
 def cv_records(t: Tables):
     """Folder pairs, validation, variants, prompt and target as whole records."""
-    records = variant_records(valid_samples(_folders(t)[0])[0], 3, 42)
+    records = variant_records(valid_samples(folders(t)[0])[0], 3, 42)
     return records.select("sample", "variant", F.md5(render(F.col("conversations"))).alias("record_key"))
 
 
@@ -206,7 +206,7 @@ SELECT doc_id AS sample, md5(trim(text, ' ' || chr(9) || chr(10) || chr(13))) AS
 FROM documents JOIN o ON doc_id = c_custkey WHERE c_custkey % 9 NOT IN (7, 8)
 """)
 def cv_tasks(t: Tables):
-    return folder_tasks(_folders(t)[0]).select("sample", F.md5("question").alias("text_key"), "ground_truth")
+    return folder_tasks(folders(t)[0]).select("sample", F.md5("question").alias("text_key"), "ground_truth")
 
 
 REPLY_SQL = f"""

@@ -63,3 +63,10 @@ def text_of(spark: SparkSession, path: str) -> str:
         return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
     finally:
         stream.close()
+
+
+def file_system(path: str):
+    """The file system of a path or address, and the path in it, as pyarrow's objects: for tasks, and wherever there is no JVM."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri("file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path)

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatmill.operators.pairing import pair_folders
-from chatmill.sources.files import path_exists
+from chatmill.sources.files import hadoop, path_exists
+from chatmill.sources.hidden import hidden_files
 
 # Language folders, and the mark of files that only describe a sample.
 LANGUAGES = ("de", "en")
@@ -41,26 +42,27 @@ def _qualified(spark: SparkSession, path: str) -> str:
     return re.sub(_SYSTEM, "", whole.toString())
 
 
-def _refuse_hidden(spark: SparkSession, patterns: list[str]) -> None:
-    """Spark lists no files and folders whose names begin with _ or a point: better no result than one without them."""
+def _any(spark: SparkSession, patterns: list[str]) -> bool:
+    """Whether there is a path of one of the patterns."""
     for pattern in patterns:
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-        found = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(target)
-        names = [s.getPath().toString() for s in found or []]
-        if names:
-            raise ValueError(f"names that begin with _ or . are not read, rename or remove: {', '.join(sorted(names)[:5])}")
+        fs, target = hadoop(spark, pattern)
+        if fs.globStatus(target):
+            return True
+    return False
 
 
 def read_documents(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """(documents, Q&A texts) of a flat folder as (`stem`, `content`) and (`stem`, `qa_text`).
 
-    Files whose names begin with _ or a point are an error, since Spark would leave them out.
+    Files whose names begin with _ or a point, which Spark's readers pass over, are read by a source of their own where there are any.
     """
-    _refuse_hidden(spark, [f"{folder.rstrip('/')}/[_.]*{suffix}" for suffix in (".md", ".txt")])
 
     def side(suffix: str, name: str) -> DataFrame:
         stem = F.substring("file", F.lit(1), F.length("file") - len(suffix))
-        return _files(spark, [folder], suffix, False).select(stem.alias("stem"), F.col("text").alias(name))
+        files = _files(spark, [folder], suffix, False)
+        if _any(spark, [f"{folder.rstrip('/')}/[_.]*{suffix}"]):
+            files = files.unionByName(hidden_files(spark, [folder], suffix))
+        return files.select(stem.alias("stem"), F.col("text").alias(name))
 
     return side(".md", "content"), side(".txt", "qa_text")
 
@@ -69,8 +71,7 @@ def read_sample_folders(spark: SparkSession, root: str) -> tuple[DataFrame, Data
     """(pairs, rejects) of a tree with one folder per sample, keyed by (`lang`, `sample`).
 
     If the root holds language folders only those are read and name the `lang`; else the root's own
-    sub-folders are the samples and `lang` is ''. Files at other depths are left alone. Folders, and files of a sample,
-    whose names begin with _ or a point are an error, since Spark would leave them out.
+    sub-folders are the samples and `lang` is ''. Files at other depths are left alone. Names that begin with _ or a point count as others do.
     """
     root = root.rstrip("/")
     langs = [lang for lang in LANGUAGES if path_exists(spark, f"{root}/{lang}")]
@@ -78,13 +79,15 @@ def read_sample_folders(spark: SparkSession, root: str) -> tuple[DataFrame, Data
     lang = F.element_at(below, -3) if langs else F.lit("")
     base = [f"{root}/{lang}" for lang in langs] or [root]
     depth = len([p for p in _qualified(spark, base[0]).split("/") if p]) + 2
-    _refuse_hidden(spark, [f"{b}/{p}" for b in base for p in ("[_.]*/*.md", "[_.]*/*.json", "*/[_.]*.md", "*/[_.]*.json")])
 
     def side(suffix: str, name: str) -> DataFrame:
-        files = _files(spark, base, suffix, True).filter(~F.col("file").contains(METADATA_MARK) | F.lit(suffix != ".json"))
         tail = F.size(F.filter(F.split(F.regexp_replace("path", _SYSTEM, ""), "/"), lambda p: p != ""))
-        return files.filter(tail == depth).select(
-            lang.alias("lang"), _decoded(F.element_at(below, -2)).alias("sample"), "file", F.col("text").alias(name)
-        )
+        named = [lang.alias("lang"), _decoded(F.element_at(below, -2)).alias("sample"), "file", F.col("text").alias(name)]
+        files = _files(spark, base, suffix, True).filter(tail == depth).select(*named)
+        if _any(spark, [f"{b}/{p}{suffix}" for b in base for p in ("[_.]*/*", "*/[_.]*")]):
+            # The names of this source are those of the file system, not parts of an address.
+            plain = [lang.alias("lang"), F.element_at(below, -2).alias("sample"), "file", F.col("text").alias(name)]
+            files = files.unionByName(hidden_files(spark, base, suffix, depth=1).select(*plain))
+        return files.filter(~F.col("file").contains(METADATA_MARK) | F.lit(suffix != ".json"))
 
     return pair_folders(side(".md", "cv_text"), side(".json", "json_text"), ["lang", "sample"])

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatmill.sources.files import names_in, put_new, remove, text_of
+from chatmill.sources.files import file_system, names_in, put_new, remove, text_of
 
 ENTRY = T.StructType(
     [
@@ -32,10 +32,7 @@ class SegmentWriter:
     """
 
     def __init__(self, folder: str, name: str, flush_s: float = 5.0, flush_rows: int = 500):
-        from pyarrow import fs
-
-        uri = "file://" + folder.removeprefix("file:") if folder.startswith("file:/") and not folder.startswith("file://") else folder
-        self.fs, self.folder = fs.FileSystem.from_uri(uri)
+        self.fs, self.folder = file_system(folder)
         self.name, self.flush_rows = name, flush_rows
         self.rows: list[str] = []
         self.written, self.lock, self.closed = 0, threading.Lock(), threading.Event()

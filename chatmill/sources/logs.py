@@ -22,13 +22,28 @@ def read_log_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
 def read_scalars(spark: SparkSession, folder: str, merge_runs: bool = False) -> DataFrame:
     """One value per tag and step of the scalar rows (JSON lines) below a folder.
 
-    Without `merge_runs` only the file that comes last by name counts; with it the last file wins per step.
+    Without `merge_runs` only the file that comes last by its path is read, and of its rows those of the last name, if they carry one of their own
+    (`file`); with it the last file wins per step.
     """
-    rows = read_log_lines(spark.read.option("recursiveFileLookup", True).text(folder), SCALARS)
+    below = spark.read.option("recursiveFileLookup", True)
+    if merge_runs:
+        lines = below.text(folder)
+    else:
+        last = latest_path(spark, folder)
+        if last is None:
+            return dedup_series(spark.createDataFrame([], SCALARS).withColumn("seq", F.lit(0)))
+        lines = spark.read.text(last)
+    rows = read_log_lines(lines, SCALARS)
     rows = rows.withColumns({"file": F.coalesce("file", "__path"), "seq": F.monotonically_increasing_id()}).drop("__path")
     return dedup_series(rows if merge_runs else latest_file(rows))
 
 
+def latest_path(spark: SparkSession, folder: str) -> str | None:
+    """The path that comes last by name of all files below a folder, found from their listing; none is opened. None without any file."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path")
+    return listed.agg(F.max("path").alias("p")).first()["p"]
+
+
 def read_checkpoint_history(spark: SparkSession, folder: str) -> DataFrame:
     """`log_history` of the checkpoint with the highest number; empty if that one has no readable state file."""
     fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/checkpoint-*")

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from chatmill.functions.targets import quote
 from chatmill.operators.combine import record_counts
 from chatmill.operators.split import EVAL, TRAIN
-from chatmill.sources.files import move, remove
+from chatmill.sources.files import file_system, move, remove
 
 
 def turn_json(t: Column) -> Column:
@@ -132,3 +134,28 @@ def unfinished(tasks: DataFrame, done: DataFrame, key: str | list[str] = "sample
     """Tasks without a row in the result log, for a restart."""
     keys = [key] if isinstance(key, str) else key
     return tasks.join(done.select(*keys).distinct(), keys, "left_anti")
+
+
+def write_files(df: DataFrame, folder: str, path: str = "path", text: str = "text") -> None:
+    """Write each row as a text file of its own, at `path` below the folder; a file of that name is replaced.
+
+    Files are written by the tasks that hold the rows, to any file system that pyarrow knows; a task that is tried again writes the same
+    files again. Null texts are empty files, a null path is an error.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: set[str] = set()
+        system, base = file_system(folder)
+        for batch in batches:
+            for name, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                target = f"{base.rstrip('/')}/{name}"
+                parent = target.rpartition("/")[0]
+                if parent not in made:
+                    system.create_dir(parent, recursive=True)
+                    made.add(parent)
+                with system.open_output_stream(target) as out:
+                    out.write((content or "").encode("utf-8", "replace"))
+        yield pa.RecordBatch.from_arrays([pa.array([], pa.int32())], ["n"])
+
+    named = F.when(F.col(path).isNotNull(), F.col(path)).otherwise(F.raise_error(F.lit("a file without a path")).cast("string"))
+    df.select(named, F.col(text)).mapInArrow(write, "n int").write.format("noop").mode("overwrite").save()

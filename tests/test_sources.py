@@ -152,16 +152,41 @@ def test_roots_and_names(spark, tmp_path, monkeypatch, form):
     assert docs.collect()[0].stem == "x"
 
 
-def test_hidden_names_are_an_error(spark, tmp_path):
-    (tmp_path / "s").mkdir()
-    (tmp_path / "s" / "_n.md").write_text("x")
-    (tmp_path / "s" / "a b+c.md").write_text("x")
-    with pytest.raises(ValueError, match="_n.md"):
-        read_sample_folders(spark, str(tmp_path))
-    with pytest.raises(ValueError, match="_n.md"):
-        read_documents(spark, str(tmp_path / "s"))
+def test_hidden_names_are_rows(spark, tmp_path):
+    for name in ("s/_n.md", "s/.p%20q.md", "s/a b+c.md", "s/_n.txt", ".t/x.md", ".t/_y.json", "u/x.md", "u/_x_metadata.json", "u/deep/_z.json", "_v/.w.json"):
+        (tmp_path / name).parent.mkdir(exist_ok=True, parents=True)
+        (tmp_path / name).write_bytes(b"one\r\ntwo\rthree")
+    docs, texts = read_documents(spark, str(tmp_path / "s"))
+    assert {(r.stem, r.content) for r in docs.collect()} == {(n, "one\ntwo\nthree") for n in ("_n", ".p%20q", "a b+c")}
+    assert [r.stem for r in texts.collect()] == ["_n"]
+    pairs, rejects = read_sample_folders(spark, str(tmp_path))
+    assert [(r["sample"], r.cv_text, r.json_text) for r in pairs.collect()] == [(".t", "one\ntwo\nthree", "one\ntwo\nthree")]
+    assert {(r["sample"], r.fault) for r in rejects.collect()} == {("s", "no json file"), ("u", "no json file"), ("_v", "no text file")}
     (tmp_path / "s" / "_n.md").rename(tmp_path / "s" / "n.md")
-    assert {r.stem for r in read_documents(spark, str(tmp_path / "s"))[0].collect()} == {"n", "a b+c"}
+    (tmp_path / "s" / ".p%20q.md").rename(tmp_path / "s" / "p%20q.md")
+    assert {r.stem for r in read_documents(spark, f"file:{tmp_path}/s")[0].collect()} == {"n", "p%20q", "a b+c"}
+
+
+def test_hidden_files_are_dealt_to_tasks(spark, tmp_path, monkeypatch):
+    from chatmill.sources import hidden
+
+    for i in range(25):
+        (tmp_path / f"_{i}.md").write_text("x" * 100)
+    monkeypatch.setattr(hidden, "TASK_BYTES", 1000)
+    reader = hidden.HiddenFilesReader({"roots": json.dumps([str(tmp_path), str(tmp_path / "missing")]), "suffix": ".md"})
+    groups = reader.partitions()
+    assert [len(g.paths) for g in groups] == [10, 10, 5]
+    assert sum(len(list(reader.read(g))) for g in groups) == 25
+
+
+def test_only_the_last_log_file_is_read(spark, tmp_path):
+    for name in ("a/2.json", "b/1.json"):
+        (tmp_path / name).parent.mkdir()
+        (tmp_path / name).write_text(json.dumps({"tag": name, "step": 1, "value": 1.0}) + "\n")
+    got = logs.read_scalars(spark, str(tmp_path))
+    assert [r.tag for r in got.collect()] == ["b/1.json"]
+    assert len(got.inputFiles()) == 1
+    assert logs.read_scalars(spark, str(tmp_path / "a" / "none")).count() == 0 if (tmp_path / "a" / "none").mkdir() is None else False
 
 
 ODD_LINES = [
