@@ -56,9 +56,18 @@ def _count_repeats(tokens: Column) -> Column:
     return let(F.sort_array(tokens), number_runs)
 
 
+def _further_copies(tokens: Column) -> Column:
+    """Each token one time less than it occurs."""
+    return let(F.sort_array(tokens), lambda s: F.filter(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1))))
+
+
 def bag_overlap(a: Column, b: Column) -> Column:
-    """Size of the multiset intersection of two token arrays (neither token may end in a space and a number)."""
-    return let(F.transform(F.array(a, b), _count_repeats), lambda x: F.size(F.array_intersect(F.get(x, F.lit(0)), F.get(x, F.lit(1)))))
+    """Size of the multiset intersection of two token arrays (neither token may end in a space and a number).
+
+    Tokens that both have count once, as sets; only further copies, mostly few, are told apart by number.
+    """
+    both = lambda x: F.size(F.array_intersect(F.get(x, F.lit(0)), F.get(x, F.lit(1))))
+    return let(F.array(a, b), lambda x: both(x) + both(F.transform(x, lambda y: _count_repeats(_further_copies(y)))))
 
 
 def f_measure(overlap: Column, n_pred: Column, n_ref: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,15 +66,18 @@ def _outlined(value, depth: int = 0):
     return value if value is None or isinstance(value, bool) or abs(value) < 1e18 else 0
 
 
-@F.pandas_udf(T.StringType())
-def _outline(text: pd.Series) -> pd.Series:
+@F.arrow_udf(T.StringType())
+def _outline(text: pa.Array) -> pa.Array:
+    if text.null_count == len(text):  # as most are: asked for what the native reader refused
+        return pa.nulls(len(text), pa.string())
+
     def one(t):
         try:
             return None if t is None else json.dumps(_outlined(json.loads(t)), ensure_ascii=False)
         except (ValueError, RecursionError):
             return None
 
-    return pd.Series([one(t) for t in text], dtype=object)
+    return pa.array([one(t) for t in text.to_pylist()], pa.string())
 
 
 def outline(text: Column) -> Column:
@@ -127,19 +130,23 @@ def target_faults(text: Column, fields: tuple[FieldSpec, ...] = PROFILE_FIELDS)
     return F.concat(let(strict_json(text), check), F.coalesce(extra, F.array()))
 
 
-@F.pandas_udf(T.StringType())
-def _pretty(text: pd.Series, order: pd.Series, date_field: pd.Series, date: pd.Series) -> pd.Series:
-    def one(t, names, field, day):
-        value = None if t is None else read_object(t)
+@F.arrow_udf(T.StringType())
+def _pretty(targets: pa.Array) -> pa.Array:
+    """JSON text of structs of (text, order, field, day), as `with_ordered_target` writes it; null for null and for texts that are no object."""
+    if targets.null_count == len(targets):
+        return pa.nulls(len(targets), pa.string())
+
+    def one(t: dict | None) -> str | None:
+        value = None if t is None or t["text"] is None else read_object(t["text"])
         if value is None:
             return None
-        if isinstance(value.get(field), str):
-            value[field] = day
-        rank = {name: i for i, name in enumerate(names)}
+        if isinstance(value.get(t["field"]), str):
+            value[t["field"]] = t["day"]
+        rank = {name: i for i, name in enumerate(t["order"])}
         placed = sorted(value, key=lambda k: rank.get(k, len(rank)))
-        return json.dumps({k: value[k] for k in placed}, ensure_ascii=False, indent=2)
+        return json.dumps({k: value[k] for k in placed}, ensure_ascii=False, indent=2).encode("utf-8", "replace").decode()
 
-    return pd.Series([one(*row) for row in zip(text, order, date_field, date, strict=True)], dtype=object)
+    return pa.array([one(t) for t in targets.to_pylist()], pa.string())
 
 
 TARGET = "__target"
@@ -207,9 +214,10 @@ def with_ordered_target(
     df = df.withColumn("__full", F.when(target["plain"], F.concat(F.array_intersect(order, keys), F.array_except(keys, order))))
     day = F.concat(F.lit("  "), quote(F.lit(date_field)), F.lit(": "), F.coalesce(quote(F.col("__day")), F.lit("null")))
     # The lines with the date's own put in its place.
-    df = df.withColumn("__lines", F.concat(F.slice(target["lines"], 1, names.index(date_field)), F.array(day), F.slice(target["lines"], names.index(date_field) + 2, len(names))) if date_field else target["lines"])
-    lines = F.transform("__full", lambda k: F.get(F.col("__lines"), F.array_position(known, k).cast("int") - 1))
+    lines = F.concat(F.slice(target["lines"], 1, names.index(date_field)), F.array(day), F.slice(target["lines"], names.index(date_field) + 2, len(names))) if date_field else target["lines"]
+    # Bound first: inside the lambda they would be put together again for every key.
+    lines = let(lines, lambda held: F.transform("__full", lambda k: F.get(held, F.array_position(known, k).cast("int") - 1)))
     native = F.when(F.size("__full") == 0, "{}").otherwise(F.concat(F.lit("{\n"), F.array_join(lines, ",\n"), F.lit("\n}")))
-    odd = ~target["plain"]
-    others = _pretty(target["text"], F.when(odd, order), F.lit(date_field), F.when(odd, F.col("__day")))
-    return df.withColumn(out, F.coalesce(F.when(target["plain"], native), others)).drop(TARGET, "__parsed", "__day", "__full", "__lines")
+    odd = F.struct(target["text"].alias("text"), order.alias("order"), F.lit(date_field).alias("field"), F.col("__day").alias("day"))
+    others = _pretty(F.when(~target["plain"], odd))
+    return df.withColumn(out, F.coalesce(F.when(target["plain"], native), others)).drop(TARGET, "__parsed", "__day", "__full")
