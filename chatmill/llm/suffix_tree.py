@@ -5,28 +5,30 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chatmill.deploy import ship
 from chatmill.llm.shingles import WordNumbers, words_of
 from chatmill.llm.worker import kept
-from chatmill.operators.staging import stage
+from chatmill.operators.staging import new_path, stage
+from chatmill.sources.files import file_system
 
 # Symbols: the bytes of lower-cased words (none of which is a white-space byte or A-Z), a gap between words, the end, and
 # what stands before a text.
 GAP, END, START = 0x20, 0x0A, 0x0D
 # Bytes of the longest context. A context and the byte after it fit into one 64-bit number.
 DEPTH = 6
-# A context is kept if it makes up this share of all places: so there are at most 1 / LEAST_SHARE of each length, whatever
-# the size of the corpus. Words of this share at least have their counts broadcast, for the same bound.
-LEAST_SHARE, WORD_SHARE = 1 / 200_000, 1e-6
+# A context is kept if it occurs so often, whatever the size of the corpus: more text gives more contexts, and what a small corpus teaches a large one does too.
+LEAST_COUNT = 400
+# Words of this share at least have their counts broadcast: there are at most 10^6 of them.
+WORD_SHARE = 1e-6
 # ... and if its next bytes differ from those after its own suffix by so much: the divergence in nats, times its count.
 LEAST_GAIN = 12.0
 # The least that the shorter context weighs in a distribution, in counts.
@@ -34,6 +36,8 @@ PRIOR = 2.0
 # Numbers that wait to be merged into the counts, distinct counts that a task holds before it passes them on, bytes of text
 # scored at a time, and lanes that they are read in.
 WAITING, HELD, SCORED, LANES = 2_000_000, 1_000_000, 1_000_000, 2048
+# Contexts whose rows are made together.
+BUILT = 20_000
 
 _END_NUMBER = xxhash.xxh64_intdigest(b"\n")
 
@@ -112,46 +116,90 @@ def count_corpus(texts: DataFrame) -> DataFrame:
 
 
 @dataclass
-class SuffixTree:
-    """States are kept contexts; for each the next state and the log10 probability of every symbol.
+class Kept:
+    """Kept contexts by (length, number), with the counts of the symbols after each one side by side: those of context i lie at offsets[i] to offsets[i + 1].
+    With a context all that it holds, its beginnings and its suffixes, are kept, and the empty one, which comes first."""
 
-    `codes` numbers the symbols that occur (all others share the last number). `contexts` are the kept byte strings, the
-    empty one first; with a context all that it holds, its beginnings and its suffixes, are kept.
-    """
+    k: np.ndarray
+    context: np.ndarray
+    offsets: np.ndarray
+    symbols: np.ndarray
+    n: np.ndarray
+
+    @staticmethod
+    def of(counts: dict[bytes, dict[int, int]]) -> Kept:
+        counts = {b"": counts.get(b"", {})} | counts
+        contexts = sorted(counts, key=lambda c: (len(c), c))
+        after = [sorted(counts[c].items()) for c in contexts]
+        flat = np.array([x for xs in after for x in xs], np.int64).reshape(-1, 2)
+        numbers = [int.from_bytes(c, "big") for c in contexts]
+        return Kept(np.array([len(c) for c in contexts]), np.array(numbers, np.int64), np.cumsum([0, *map(len, after)]), flat[:, 0], flat[:, 1])
+
+    def alphabet(self) -> np.ndarray:
+        """A number for each of the 256 bytes: symbols that occur in order, all others share the last number."""
+        found = np.unique(np.concatenate([self.symbols, [GAP, END, START]]))
+        codes = np.full(256, len(found), np.int32)
+        codes[found] = np.arange(len(found))
+        return codes
+
+    def rows(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For some contexts at a time, in order, the next state and the log10 probability of every symbol.
+
+        A level, the contexts of one length, needs the level before it only: where a context itself goes no further its suffix may, and what a
+        context has not seen is weighed by its suffix.
+        """
+        codes = self.alphabet()
+        width = int(codes.max()) + 1
+        starts = np.searchsorted(self.k, np.arange(DEPTH + 3))
+        moves, chances = np.zeros((0, width), np.int32), np.zeros((0, width), np.float32)
+        for length in range(int(self.k[-1]) + 1):
+            low, high, end = starts[length], starts[length + 1], starts[length + 2]
+            numbers, longer = self.context[low:high], self.context[high:end]
+            if length:
+                above = np.searchsorted(self.context[starts[length - 1] : low], numbers & ((1 << (8 * (length - 1))) - 1))
+                moves, chances = moves[above], chances[above]
+            else:
+                moves, chances = np.zeros((1, width), np.int32), np.full((1, width), 1 / 256, np.float32)  # below the empty context, all bytes are alike
+            moves[np.searchsorted(numbers, longer >> 8), codes[longer & 255]] = np.arange(high, end)
+            for at in range(low, high, BUILT):
+                to = min(at + BUILT, high)
+                first, last = self.offsets[at], self.offsets[to]
+                n = np.zeros((to - at, width))
+                n[np.repeat(np.arange(to - at), np.diff(self.offsets[at : to + 1])), codes[self.symbols[first:last]]] = self.n[first:last]
+                # The shorter context weighs as much as there are different symbols, at least PRIOR.
+                prior = np.maximum(PRIOR, (n > 0).sum(axis=1, keepdims=True))
+                chances[at - low : to - low] = (n + prior * chances[at - low : to - low]) / (n.sum(axis=1, keepdims=True) + prior)
+                yield moves[at - low : to - low], np.log10(chances[at - low : to - low])
+
+
+@dataclass
+class SuffixTree:
+    """States are kept contexts, the empty one first; for each the next state and the log10 probability of every symbol, by the symbol's code."""
 
-    contexts: list[bytes]
     codes: np.ndarray
     moves: np.ndarray
     scores: np.ndarray
 
     @staticmethod
-    def build(counts: dict[bytes, dict[int, int]]) -> SuffixTree:
-        """From the counts of next symbols of each context to be kept."""
-        counts = {b"": counts.get(b"", {})} | counts
-        contexts = sorted(counts, key=lambda c: (len(c), c))
-        alphabet = sorted({s for n in counts.values() for s in n} | {GAP, END, START})
-        codes = np.full(256, len(alphabet), np.int32)
-        codes[alphabet] = np.arange(len(alphabet))
-        number = {c: i for i, c in enumerate(contexts)}
-        width = len(alphabet) + 1
-        moves, chances = np.zeros((len(contexts), width), np.int32), np.full((len(contexts), width), 1 / 256)
-        by_length = {k: list(group) for k, group in groupby(enumerate(contexts), key=lambda x: len(x[1]))}
-        for length in sorted(by_length):
-            for i, context in by_length[length] if length else ():
-                moves[number[context[:-1]], codes[context[-1]]] = i
-            for i, context in by_length[length] if length else ():
-                # Where the context itself goes no further, its suffix may; its own longer contexts come with the next length.
-                moves[i] = moves[number[context[1:]]]
-        for i, context in enumerate(contexts):
-            n = np.zeros(width)
-            for s, k in counts[context].items():
-                n[codes[s]] = k
-            if context:
-                chances[i] = chances[number[context[1:]]]  # below the empty context, all 256 bytes are alike
-            # The shorter context weighs as much as there are different symbols, at least PRIOR.
-            prior = max(PRIOR, float((n > 0).sum()))
-            chances[i] = (n + prior * chances[i]) / (n.sum() + prior)
-        return SuffixTree(contexts, codes, moves, np.log10(chances).astype(np.float32))
+    def build(kept: Kept) -> SuffixTree:
+        moves, scores = zip(*((m.copy(), s) for m, s in kept.rows()), strict=True)
+        return SuffixTree(kept.alphabet(), np.concatenate(moves), np.concatenate(scores))
+
+    @staticmethod
+    def write(kept: Kept, path: str) -> tuple[int, int]:
+        """Write moves and scores to `<path>.moves` and `<path>.scores`, level by level; returns their shape."""
+        system, inside = file_system(path)
+        system.create_dir(inside.rpartition("/")[0], recursive=True)
+        with system.open_output_stream(f"{inside}.moves") as one, system.open_output_stream(f"{inside}.scores") as two:
+            for moves, scores in kept.rows():
+                one.write(np.ascontiguousarray(moves).tobytes())
+                two.write(np.ascontiguousarray(scores).tobytes())
+        return len(kept.k), moves.shape[1]
+
+    @staticmethod
+    def mapped(codes: np.ndarray, path: str, shape: tuple[int, int]) -> SuffixTree:
+        """The tree of two local files, which stay on disk: what is used of them is in the machine's file cache, once for all workers."""
+        return SuffixTree(codes, np.memmap(f"{path}.moves", np.int32, "r", shape=shape), np.memmap(f"{path}.scores", np.float32, "r", shape=shape))
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         """log10 probability of each text of symbols (see `symbols`), START not counted.
@@ -166,8 +214,8 @@ class SuffixTree:
         step = -(-total // lanes)
         padded = np.concatenate([np.full(DEPTH, self.codes[START], np.int32), data, np.zeros(step * lanes - total, np.int32)])
         at = np.arange(lanes) * step
-        moves, scores, width = self.moves.ravel(), self.scores.ravel(), self.moves.shape[1]
-        state = np.zeros(lanes, np.int32)
+        moves, scores, width = self.moves.reshape(-1), self.scores.reshape(-1), self.moves.shape[1]
+        state = np.zeros(lanes, np.int64)  # a place in the table may be beyond 32 bits
         for k in range(DEPTH):
             state = moves[state * width + padded[at + k]]
         out = np.empty((step, lanes), np.float32)
@@ -182,36 +230,56 @@ class SuffixTree:
         return sums[ends] - sums[starts]
 
 
-def fit_tree(counts: DataFrame, total: int, least_share: float = LEAST_SHARE, least_gain: float = LEAST_GAIN) -> SuffixTree:
-    """The tree of windows counted as (number, n), `total` of them.
+def _level(k: int, number: Column) -> Column:
+    """The last k bytes of a number, as a number."""
+    return number.bitwiseAND(F.lit((1 << (8 * k)) - 1).cast("long"))
 
-    Contexts of each length are summed up from the windows in Spark. One is kept if its count is `least_share` of the total or
-    more and its distribution diverges from that of its suffix; with it are kept the contexts that it holds. The driver gets
-    contexts that pass the first test only, with their distributions: at most DEPTH / least_share.
-    """
-    least = max(2.0, total * least_share)
-    number = F.col("number")
-    levels = []
-    for k in range(DEPTH + 1):
-        mask = (1 << (8 * (k + 1))) - 1
-        levels.append(F.struct(F.lit(k).alias("k"), number.bitwiseAND(F.lit(mask).cast("long")).alias("gram")))
-    grams = counts.select(F.explode(F.array(*levels)).alias("g"), "n").groupBy("g").agg(F.sum("n").alias("n"))
-    # Symbols as one string per context: a context has at most 256 of them.
+
+def distributions(counts: DataFrame, least_count: int = LEAST_COUNT) -> DataFrame:
+    """(k, context, c, next): for each context of k bytes that occurs `least_count` times or more its count and the counts of the symbols after it,
+    from windows counted as (number, n). The empty context is there whatever its count."""
+    levels = F.array(*[F.struct(F.lit(k).alias("k"), _level(k + 1, F.col("number")).alias("gram")) for k in range(DEPTH + 1)])
+    grams = counts.select(F.explode(levels).alias("g"), "n").groupBy("g").agg(F.sum("n").alias("n"))
+    # Symbols as one list per context: a context has at most 256 of them.
     per = grams.groupBy(F.col("g.k").alias("k"), F.shiftrightunsigned("g.gram", 8).alias("context"))
-    rows = per.agg(F.sum("n").alias("c"), F.collect_list(F.struct(F.col("g.gram").bitwiseAND(255).cast("int").alias("s"), "n")).alias("next")).filter(F.col("c") >= least)
-    found: dict[bytes, dict[int, int]] = {}
-    for r in rows.toLocalIterator(prefetchPartitions=True):
-        found[int(r["context"]).to_bytes(DEPTH, "big")[DEPTH - r["k"] :]] = {x["s"]: x["n"] for x in r["next"]}
-    kept = {b""}
-    for context, after in found.items():
-        shorter = found.get(context[1:])
-        if not context or shorter is None or bytes([END]) in context:
-            continue
-        n, m = sum(after.values()), sum(shorter.values())
-        # Each of the context's places is one of its suffix's, so every symbol after it is known there.
-        if sum(k * math.log(k / n * m / shorter[s]) for s, k in after.items()) >= least_gain:
-            kept.update(context[i:j] for i in range(len(context)) for j in range(i + 1, len(context) + 1))
-    return SuffixTree.build({c: found[c] for c in kept if c in found})
+    rows = per.agg(F.sum("n").alias("c"), F.collect_list(F.struct(F.col("g.gram").bitwiseAND(255).cast("int").alias("s"), "n")).alias("next"))
+    return rows.filter((F.col("c") >= least_count) | (F.col("k") == 0))
+
+
+def retained(contexts: DataFrame, least_gain: float = LEAST_GAIN) -> DataFrame:
+    """Of the rows of `distributions` those that the tree keeps: contexts whose next symbols diverge from those after their suffix, all contexts that these
+    hold (what begins or ends them), and the empty one.
+
+    The divergence is the sum over symbols of n log((n / c) / (m / d)), of n of c places after the context and m of d after its suffix, in nats. A
+    context that reaches over the end of a text is none.
+    """
+    suffix = F.when(F.col("k") > 0, F.expr("context & (shiftleft(1L, 8 * (k - 1)) - 1)"))
+    longer = contexts.filter("k > 0").select("k", "context", "c", (F.col("k") - 1).alias("sk"), suffix.alias("sc"), F.explode("next").alias("x"))
+    shorter = contexts.select(F.col("k").alias("sk"), F.col("context").alias("sc"), F.col("c").alias("d"), F.explode("next").alias("y"))
+    # Each of the context's places is one of its suffix's, so every symbol after it is known there.
+    met = longer.join(shorter, (longer["sk"] == shorter["sk"]) & (longer["sc"] == shorter["sc"]) & (longer["x.s"] == shorter["y.s"]))
+    gain = F.sum(F.col("x.n") * F.log(F.col("x.n") * F.col("d") / (F.col("c") * F.col("y.n"))))
+    ends = F.exists(F.sequence(F.lit(0), F.col("k") - 1), lambda i: F.call_function("shiftrightunsigned", F.col("context"), i * 8).bitwiseAND(255) == END)
+    told = met.groupBy("k", "context").agg(gain.alias("gain")).filter((F.col("gain") >= least_gain) & ~ends)
+    # A part of a context: the bytes from `low` bytes before its end on, `length` of them.
+    parts = F.flatten(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda low: F.transform(F.sequence(F.lit(1), F.col("k") - low), lambda length: F.struct(length.alias("k"), low.alias("low")))))
+    held = told.select("context", F.explode(parts).alias("p"))
+    held = held.select(F.col("p.k").alias("k"), F.expr("shiftrightunsigned(context, 8 * p.low) & (shiftleft(1L, 8 * p.k) - 1)").alias("context")).distinct()
+    root = contexts.sparkSession.range(1).select(F.lit(0).alias("k"), F.lit(0).cast("long").alias("context"))
+    return contexts.join(held.unionByName(root), ["k", "context"], "left_semi")
+
+
+def fit_tree(counts: DataFrame, least_count: int = LEAST_COUNT, least_gain: float = LEAST_GAIN) -> Kept:
+    """The contexts of windows counted as (number, n). They are counted, tested and chosen in Spark; the driver gets those that are kept, as arrays."""
+    rows = retained(stage(distributions(counts, least_count), "contexts"), least_gain)
+    table = rows.select("k", "context", F.array_sort(F.transform("next", lambda x: F.struct(x["s"], x["n"]))).alias("next")).orderBy("k", "context").toArrow()
+    after = table["next"].combine_chunks()
+    k, context = table["k"].to_numpy(), table["context"].to_numpy()
+    if not len(k):
+        return Kept.of({})
+    flat = after.flatten()
+    offsets = np.concatenate([[0], np.cumsum(after.value_lengths().to_numpy(zero_copy_only=False))])
+    return Kept(k, context, offsets, flat.field(0).to_numpy(zero_copy_only=False), flat.field(1).to_numpy(zero_copy_only=False))
 
 
 def score_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 7, held: int = 2) -> DataFrame:
@@ -224,8 +292,8 @@ def score_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", folds
     empty and wordless texts are one end. A null key counts as an empty text and has a row. Rows of equal key are texts of
     their own.
 
-    All texts are counted, in their tasks before anything is shuffled. The tree is bounded by a share of the corpus, not by a
-    number of texts. A word's count is broadcast if it has a share of WORD_SHARE of all tokens (so at most
+    All texts are counted, in their tasks before anything is shuffled. The tree grows with the corpus: it has every context that occurs LEAST_COUNT
+    times and tells more than its suffix, 8 bytes on each executor's disk for each of its symbols. A word's count is broadcast if it has a share of WORD_SHARE of all tokens (so at most
     1 / WORD_SHARE words are); the others' are joined, and no word among those is in many texts.
     """
     spark = ship(docs.sparkSession)
@@ -235,19 +303,21 @@ def score_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", folds
     words = counts.filter("kind = 0").select("number", "n")
     facts = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, distinct = facts["n"], facts["v"]
-    grams = counts.filter("kind = 1").select("number", "n")
-    places = grams.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    tree = spark.sparkContext.broadcast(fit_tree(grams, places))
+    chosen = fit_tree(counts.filter("kind = 1").select("number", "n"))
+    # Written to the shared folder and handed out by Spark as files: the tree grows with the corpus, and a worker maps what it uses of it.
+    path = new_path(spark, "tree")
+    shape, codes, name = SuffixTree.write(chosen, path), chosen.alphabet(), path.rpartition("/")[2]
+    for kind in ("moves", "scores"):
+        spark.sparkContext.addFile(f"{path}.{kind}")
     common = F.col("n") >= max(1.0, total * WORD_SHARE)
     head = words.filter(common).toPandas().sort_values("number")
     known = spark.sparkContext.broadcast((head["number"].to_numpy(np.int64), head["n"].to_numpy(np.int64)))
-    run = str(spark.sparkContext.applicationId) + ":" + str(tree._jbroadcast.id() if tree._jbroadcast is not None else id(tree))
     kind = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("known", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("score", T.DoubleType()), T.StructField("rare", T.ArrayType(T.LongType()))])
     made = pa.struct([("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.int64()))])
 
     @F.arrow_udf(kind)
     def measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model, (numbers, times) = kept("suffix_tree", run, lambda: (tree.value, known.value))
+        model, (numbers, times) = kept("suffix_tree", name, lambda: (SuffixTree.mapped(codes, SparkFiles.get(f"{name}.moves").removesuffix(".moves"), shape), known.value))
 
         def tokens(found: list[bytes]) -> tuple[int, int, float, np.ndarray]:
             own = np.append(_numbers().of(found), np.uint64(_END_NUMBER)).view(np.int64)

@@ -222,8 +222,60 @@ def test_suffix_tree_scores(spark):
         r = got[i]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(t), sum(counts[w] > 0 for w in t), n)
         assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in t))
-    # The tree knows words by their bytes and beats single-word counts on texts that it has not seen.
-    assert sum(r.score for r in got.values() if r.held_out) < 0
+    assert all(r.score < 0 for r in got.values())
+
+
+def test_tree_beats_single_word_counts(spark):
+    """Texts of words that follow one another: more is known of a word from the one before it than from how often it occurs."""
+    rng = random.Random(11)
+    words_ = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 5))) for _ in range(150)]
+    after = {w: rng.sample(words_, 3) for w in words_}
+
+    def text():
+        out = [rng.choice(words_)]
+        while len(out) < 60:
+            out.append(rng.choice(after[out[-1]]))
+        return " ".join(out)
+
+    rows = [(i, text()) for i in range(3000)]
+    got = suffix_tree.score_corpus(spark.createDataFrame(rows, "doc_id long, text string")).filter("held_out").agg(F.sum("score").alias("tree"), F.sum("base_score").alias("base")).first()
+    assert got.tree > 0.8 * got.base
+
+
+def test_fitted_tree_matches_counting_everything(spark):
+    rng = random.Random(12)
+    texts = [suffix_tree.symbols(["".join(rng.choice("abc") for _ in range(rng.randrange(1, 5))).encode() for _ in range(rng.randrange(12))]) for _ in range(400)]
+    depth, seen = suffix_tree.DEPTH, {}
+    for data in texts:
+        for i in range(depth, len(data)):
+            for k in range(depth + 1):
+                seen.setdefault(data[i - k : i], Counter())[data[i]] += 1
+    windows = Counter(int(w) for data in texts for w in suffix_tree.windows(np.frombuffer(data, np.uint8)).view(np.int64))
+    frame = spark.createDataFrame(list(windows.items()), "number long, n long")
+    sizes = []
+    for least, gain in ((1, 0.5), (20, 3.0), (60, 12.0), (10**9, 1.0)):
+        common = {c: n for c, n in seen.items() if sum(n.values()) >= least or not c}
+        kept = {b""}
+        for c, n in common.items():
+            if c and b"\n" not in c and c[1:] in common:
+                m = common[c[1:]]
+                if sum(x * math.log(x / sum(n.values()) * sum(m.values()) / m[s]) for s, x in n.items()) >= gain:
+                    kept |= {c[i:j] for i in range(len(c)) for j in range(i + 1, len(c) + 1)}
+        want = suffix_tree.Kept.of({c: dict(common[c]) for c in kept})
+        got = suffix_tree.fit_tree(frame, least, gain)
+        for field in ("k", "context", "offsets", "symbols", "n"):
+            assert getattr(got, field).tolist() == getattr(want, field).tolist()
+        sizes.append(len(got.k))
+    assert sizes[0] > sizes[1] > sizes[2] > sizes[3] == 1
+
+
+def test_contexts_grow_with_the_corpus(spark):
+    rng = random.Random(13)
+    data = [(int(x), rng.randrange(1, 60)) for x in suffix_tree.windows(np.frombuffer(suffix_tree.symbols(["".join(rng.choice("abcde") for _ in range(4)).encode() for _ in range(4000)]), np.uint8)).view(np.int64)]
+    small = spark.createDataFrame(data, "number long, n long")
+    large = small.withColumn("n", F.col("n") * 5)
+    few, many = (set(zip(*(getattr(suffix_tree.fit_tree(d, 400, 12.0), f).tolist() for f in ("k", "context")), strict=True)) for d in (small, large))
+    assert few < many  # what the small corpus teaches the large one does too
 
 
 def test_suffix_tree_states_are_the_longest_suffixes():
@@ -234,8 +286,9 @@ def test_suffix_tree_states_are_the_longest_suffixes():
         for c in counts:
             if data[i - len(c) : i] == c:
                 counts[c][data[i]] += 1
-    tree = suffix_tree.SuffixTree.build({c: dict(n) for c, n in counts.items()})
-    number = {c: i for i, c in enumerate(tree.contexts)}
+    kept = suffix_tree.Kept.of({c: dict(n) for c, n in counts.items()})
+    tree = suffix_tree.SuffixTree.build(kept)
+    number = {int(c).to_bytes(8, "big")[8 - k :]: i for i, (k, c) in enumerate(zip(kept.k, kept.context, strict=True))}
     texts = [suffix_tree.symbols(["".join(rng.choice("ab") for _ in range(rng.randrange(1, 30))).encode() for _ in range(k)]) for k in (0, 1, 7, 300)]
     for text, score in zip(texts, tree.score(texts), strict=True):
         want = 0.0
