@@ -142,21 +142,41 @@ def op3_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
-query(
-    op3_near_vectors,
-    """
-    WITH RECURSIVE units AS (
-        SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+_LINKS = """
+    WITH RECURSIVE {first}units AS (
+        SELECT vec_id, embedding::DOUBLE[] AS e FROM {table}
         WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
     ), links AS (
         SELECT x.vec_id AS a, y.vec_id AS b FROM units x JOIN units y ON x.vec_id <> y.vec_id WHERE list_cosine_similarity(x.e, y.e) >= 0.95
     ), reach(id, c) AS (
-        SELECT vec_id, vec_id FROM embeddings UNION SELECT links.b, reach.c FROM reach JOIN links ON links.a = reach.id
+        SELECT vec_id, vec_id FROM {table} UNION SELECT links.b, reach.c FROM reach JOIN links ON links.a = reach.id
     ), least AS (SELECT id, min(c) AS c FROM reach GROUP BY 1
     ), counts AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
     SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, c AS component_id, vec_id = c AS kept
-    FROM embeddings JOIN least ON id = vec_id LEFT JOIN counts ON a = vec_id
-    """,
+    FROM {table} JOIN least ON id = vec_id LEFT JOIN counts ON a = vec_id
+    """
+
+query(op3_near_vectors, _LINKS.format(table="embeddings", first=""))
+
+
+def near_vector_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`near_vectors` where there are links: over each vector and two copies of it that are a little off."""
+    from chatmill.llm.caps import near_vectors
+
+    copy = F.explode(F.sequence(F.lit(0), F.lit(2)))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", copy.alias("j"))
+    off = F.transform("embedding", lambda x, i: x.cast("double") * (1 + ((i + 1 + F.col("j")) % 7 - 3) * 0.05 * F.col("j")))
+    return near_vectors(rows.select((F.col("vec_id") * 3 + F.col("j")).alias("vec_id"), off.alias("embedding")))
+
+
+query(
+    near_vector_copies,
+    _LINKS.format(
+        table="copies",
+        first="""copies AS MATERIALIZED (
+        SELECT vec_id * 3 + j AS vec_id, [embedding[i]::DOUBLE * (1 + ((i + j) % 7 - 3) * 0.05 * j) FOR i IN range(1, len(embedding) + 1)] AS embedding
+        FROM embeddings, (SELECT unnest(range(3)) AS j)), """,
+    ),
 )
 
 
@@ -313,3 +333,45 @@ def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 query(op12_page_text)
+
+
+def secret_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base counts of `op4_secrets`, which SQL can tell."""
+    return op4_secrets(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+query(
+    secret_counts,
+    r"""
+    SELECT doc_id,
+        len([x FOR x IN regexp_extract_all(t, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1) IF len(x) >= 6])::BIGINT AS n_assign,
+        len([x FOR x IN regexp_extract_all(t, 'AKIA[A-Z0-9]+') IF len(x) >= 20])::BIGINT AS n_access,
+        len([x FOR x IN regexp_extract_all(t, '[0-9a-f]+') IF len(x) >= 24])::BIGINT AS n_hex
+    FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+    """,
+)
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What `op10_mix` is to reach: sizes and targets, and whether each source's words taken come within a tenth of its target and no document beyond 3 times its size."""
+    rows = op10_mix(spark, sf_dir)
+    taken = rows.join(table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    sums = taken.groupBy("source").agg(F.sum("taken").alias("t"), F.max("target").alias("of"), F.max(F.col("taken") - 3 * F.col("size")).alias("over"))
+    sums = sums.select(F.col("source").alias("s"), (F.abs(F.col("t") - F.col("of")) <= 0.1 * F.col("of") + 64).alias("near"), (F.col("over") <= 0).alias("within"))
+    return taken.join(sums, F.col("source").eqNullSafe(F.col("s"))).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "near", "within")
+
+
+query(
+    mix_targets,
+    r"""
+    WITH sized AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+    ), sources AS (SELECT source, sum(size) AS n, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM sized GROUP BY source
+    ), filled AS (
+        -- Sources in the order in which they fill up; `level` is the words a unit of weight gets if those before are full.
+        SELECT *, (sum(n) OVER () - coalesce(sum(3 * n) OVER (ORDER BY n / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w) OVER (ORDER BY n / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM sources
+    ), cut AS (SELECT arg_min(level, n / w) FILTER (3 * n / w >= level) AS level FROM filled)
+    SELECT doc_id, size::BIGINT AS size, n::BIGINT AS source_size, round(least(3 * n, w * cut.level)::DOUBLE, 3) AS target, TRUE AS near, TRUE AS within
+    FROM sized JOIN sources ON sized.source IS NOT DISTINCT FROM sources.source, cut
+    """,
+)
