@@ -213,16 +213,17 @@ class SuffixTree:
         lanes = max(1, min(LANES, total // 64))
         step = -(-total // lanes)
         padded = np.concatenate([np.full(DEPTH, self.codes[START], np.int32), data, np.zeros(step * lanes - total, np.int32)])
-        at = np.arange(lanes) * step
+        # Row k holds the k-th symbol of every lane; a lane's last DEPTH symbols are the next one's first.
+        side_by_side = np.ascontiguousarray(np.lib.stride_tricks.as_strided(padded, (step + DEPTH, lanes), (padded.itemsize, step * padded.itemsize)))
         moves, scores, width = self.moves.reshape(-1), self.scores.reshape(-1), self.moves.shape[1]
         state = np.zeros(lanes, np.int64)  # a place in the table may be beyond 32 bits
         for k in range(DEPTH):
-            state = moves[state * width + padded[at + k]]
+            state = moves[state * width + side_by_side[k]].astype(np.int64)
         out = np.empty((step, lanes), np.float32)
         for k in range(step):
-            where = state * width + padded[at + (DEPTH + k)]
-            out[k] = scores[where]
-            state = moves[where]
+            where = state * width + side_by_side[DEPTH + k]
+            scores.take(where, out=out[k], mode="clip")  # all are in range: this spares a test and a copy
+            state = moves.take(where, mode="clip").astype(np.int64)
         flat = out.T.ravel()[:total].astype(np.float64)
         ends = np.cumsum(lengths)
         sums = np.concatenate([[0.0], np.cumsum(flat)])
@@ -237,9 +238,10 @@ def _level(k: int, number: Column) -> Column:
 
 def distributions(counts: DataFrame, least_count: int = LEAST_COUNT) -> DataFrame:
     """(k, context, c, next): for each context of k bytes that occurs `least_count` times or more its count and the counts of the symbols after it,
-    from windows counted as (number, n). The empty context is there whatever its count."""
-    levels = F.array(*[F.struct(F.lit(k).alias("k"), _level(k + 1, F.col("number")).alias("gram")) for k in range(DEPTH + 1)])
-    grams = counts.select(F.explode(levels).alias("g"), "n").groupBy("g").agg(F.sum("n").alias("n"))
+    from windows counted as (number, n), a row each. The empty context is there whatever its count."""
+    levels = [F.struct(F.lit(k).alias("k"), _level(k + 1, F.col("number")).alias("gram")) for k in range(DEPTH + 1)]
+    shorter = counts.select(F.explode(F.array(*levels[:-1])).alias("g"), "n").groupBy("g").agg(F.sum("n").alias("n"))
+    grams = shorter.unionByName(counts.select(levels[-1].alias("g"), "n"))  # whole windows are counted already
     # Symbols as one list per context: a context has at most 256 of them.
     per = grams.groupBy(F.col("g.k").alias("k"), F.shiftrightunsigned("g.gram", 8).alias("context"))
     rows = per.agg(F.sum("n").alias("c"), F.collect_list(F.struct(F.col("g.gram").bitwiseAND(255).cast("int").alias("s"), "n")).alias("next"))
@@ -272,7 +274,9 @@ def retained(contexts: DataFrame, least_gain: float = LEAST_GAIN) -> DataFrame:
 def fit_tree(counts: DataFrame, least_count: int = LEAST_COUNT, least_gain: float = LEAST_GAIN) -> Kept:
     """The contexts of windows counted as (number, n). They are counted, tested and chosen in Spark; the driver gets those that are kept, as arrays."""
     rows = retained(stage(distributions(counts, least_count), "contexts"), least_gain)
-    table = rows.select("k", "context", F.array_sort(F.transform("next", lambda x: F.struct(x["s"], x["n"]))).alias("next")).orderBy("k", "context").toArrow()
+    table = rows.select("k", "context", F.array_sort(F.transform("next", lambda x: F.struct(x["s"], x["n"]))).alias("next")).toArrow()
+    # Put in order here: a sort in Spark would choose the contexts once more, to sample them.
+    table = table.take(np.lexsort((table["context"].to_numpy(), table["k"].to_numpy())))
     after = table["next"].combine_chunks()
     k, context = table["k"].to_numpy(), table["context"].to_numpy()
     if not len(k):

@@ -271,7 +271,7 @@ def test_fitted_tree_matches_counting_everything(spark):
 
 def test_contexts_grow_with_the_corpus(spark):
     rng = random.Random(13)
-    data = [(int(x), rng.randrange(1, 60)) for x in suffix_tree.windows(np.frombuffer(suffix_tree.symbols(["".join(rng.choice("abcde") for _ in range(4)).encode() for _ in range(4000)]), np.uint8)).view(np.int64)]
+    data = [(int(x), rng.randrange(1, 60)) for x in np.unique(suffix_tree.windows(np.frombuffer(suffix_tree.symbols(["".join(rng.choice("abcde") for _ in range(4)).encode() for _ in range(4000)]), np.uint8)).view(np.int64))]
     small = spark.createDataFrame(data, "number long, n long")
     large = small.withColumn("n", F.col("n") * 5)
     few, many = (set(zip(*(getattr(suffix_tree.fit_tree(d, 400, 12.0), f).tolist() for f in ("k", "context")), strict=True)) for d in (small, large))
