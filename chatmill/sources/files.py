@@ -70,3 +70,11 @@ def file_system(path: str):
     from pyarrow import fs
 
     return fs.FileSystem.from_uri("file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path)
+
+
+def mounted_path(path: str) -> str | None:
+    """The path in the local file tree of a folder that is mounted there; None for other file systems."""
+    from pyarrow import fs
+
+    system, inside = file_system(path)
+    return inside if isinstance(system, fs.LocalFileSystem) else None
