@@ -18,7 +18,7 @@ from chatmill.deploy import ship
 from chatmill.llm.shingles import WordNumbers, words_of
 from chatmill.llm.worker import kept
 from chatmill.operators.staging import new_path, stage
-from chatmill.sources.files import file_system
+from chatmill.sources.files import file_system, mounted_path
 
 # Symbols: the bytes of lower-cased words (none of which is a white-space byte or A-Z), a gap between words, the end, and
 # what stands before a text.
@@ -308,10 +308,12 @@ def score_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", folds
     facts = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, distinct = facts["n"], facts["v"]
     chosen = fit_tree(counts.filter("kind = 1").select("number", "n"))
-    # Written to the shared folder and handed out by Spark as files: the tree grows with the corpus, and a worker maps what it uses of it.
+    # The tree grows with the corpus, so it is written to the shared folder, and a worker maps what it uses of it: there, if the folder is mounted, else from
+    # the copy that Spark gives each executor.
     path = new_path(spark, "tree")
     shape, codes, name = SuffixTree.write(chosen, path), chosen.alphabet(), path.rpartition("/")[2]
-    for kind in ("moves", "scores"):
+    mounted = mounted_path(path)
+    for kind in () if mounted else ("moves", "scores"):
         spark.sparkContext.addFile(f"{path}.{kind}")
     common = F.col("n") >= max(1.0, total * WORD_SHARE)
     head = words.filter(common).toPandas().sort_values("number")
@@ -321,7 +323,7 @@ def score_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", folds
 
     @F.arrow_udf(kind)
     def measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model, (numbers, times) = kept("suffix_tree", name, lambda: (SuffixTree.mapped(codes, SparkFiles.get(f"{name}.moves").removesuffix(".moves"), shape), known.value))
+        model, (numbers, times) = kept("suffix_tree", name, lambda: (SuffixTree.mapped(codes, mounted or SparkFiles.get(f"{name}.moves").removesuffix(".moves"), shape), known.value))
 
         def tokens(found: list[bytes]) -> tuple[int, int, float, np.ndarray]:
             own = np.append(_numbers().of(found), np.uint64(_END_NUMBER)).view(np.int64)
