@@ -298,3 +298,9 @@ def test_conversation_query_matches_plain_loops(spark):
     for r in repair_conversations(queries.table(spark, SMALL, "conversations")).orderBy("block").collect():
         roles[r.conv_id] = roles.get(r.conv_id, "") + "".join(t.role[:1] for t in r.turns)
     assert all(re.fullmatch("(s?(ua)+)?", x) for x in roles.values())
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="the given tables are not here")
+def test_copies_of_vectors_are_linked(spark):
+    got = queries.QUERIES["near_vector_copies"](spark, SMALL).collect()
+    assert all(r.n_links >= 2 and r.component_id <= r.vec_id - r.vec_id % 3 for r in got)
