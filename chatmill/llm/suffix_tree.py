@@ -35,9 +35,9 @@ LEAST_GAIN = 12.0
 PRIOR = 2.0
 # Numbers that wait to be merged into the counts, distinct counts that a task holds before it passes them on, bytes of text
 # scored at a time, and lanes that they are read in.
-WAITING, HELD, SCORED, LANES = 2_000_000, 1_000_000, 1_000_000, 2048
-# Contexts whose rows are made together.
-BUILT = 20_000
+WAITING, HELD, SCORED, LANES = 1_000_000, 1_000_000, 1_000_000, 2048
+# Contexts whose rows are made together, texts scored together.
+BUILT, TEXTS = 20_000, 1000
 
 _END_NUMBER = xxhash.xxh64_intdigest(b"\n")
 
@@ -333,7 +333,8 @@ def score_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", folds
             here = numbers[at] == own
             return len(own), int(here.sum()), float(np.log10(times[at[here]] + 1.0).sum()), own[~here]
 
-        for column in batches:
+        # In short parts, so that a worker holds the lists of few texts at a time.
+        for column in (c.slice(at, TEXTS) for c in batches for at in range(0, len(c), TEXTS)):
             rows, scores, waiting, size = [], [], [], 0
             for t in column:
                 found = words_of(t.as_py())
