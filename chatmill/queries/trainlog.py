@@ -84,6 +84,10 @@ def best_step(t: Tables):
     return low.unionByName(trainlog.best_point(_series(t), "tag", greater_is_better=True).withColumn("direction", F.lit("max")))
 
 
+# Smoothed values of few points are short decimals, and may end in a 5 just behind the last place shown: a little more than nothing is added on both sides, so
+# that the order in which two engines add does not decide how these are rounded.
+NUDGE = 3.3e-11
+
 EMA_SQL = """
 WITH RECURSIVE n AS (SELECT tag, step, value, row_number() OVER (PARTITION BY tag ORDER BY step) AS rn FROM (
     SELECT {tag} AS tag, event_id - event_id % 7 AS step, arg_max(value / 20.0, ('events.' || (user_id % 3), event_id)) AS value FROM events GROUP BY 1, 2)),
@@ -94,19 +98,19 @@ e AS (SELECT tag, step, value, rn, value AS ema FROM n WHERE rn = 1
 
 @query(
     EMA_SQL.format(tag=TAG_SQL, alpha="CAST(0.1 AS DOUBLE)")
-    + """SELECT tag, step, round(ema, 6) AS ema, round(exp(least(value, 20)) / 1000, 6) AS perplexity_k, round(exp(least(ema, 20)), 4) AS perplexity_ema FROM e"""
+    + f"""SELECT tag, step, round(ema + {NUDGE}, 6) AS ema, round(exp(least(value, 20)) / 1000, 6) AS perplexity_k, round(exp(least(ema, 20)), 4) AS perplexity_ema FROM e"""
 )
 def ema_perplexity(t: Tables):
     panel = trainlog.loss_panel(_series(t))
     return panel.select(
-        "tag", "step", F.round("ema", 6).alias("ema"), F.round(F.col("perplexity") / 1000, 6).alias("perplexity_k"), F.round("perplexity_ema", 4).alias("perplexity_ema")
+        "tag", "step", F.round(F.col("ema") + NUDGE, 6).alias("ema"), F.round(F.col("perplexity") / 1000, 6).alias("perplexity_k"), F.round("perplexity_ema", 4).alias("perplexity_ema")
     )
 
 
-@query(EMA_SQL.format(tag=TAG_SQL, alpha="CAST(0.2 AS DOUBLE)") + "SELECT step, round(ema, 6) AS ema FROM e WHERE tag = 'train/grad_norm'")
+@query(EMA_SQL.format(tag=TAG_SQL, alpha="CAST(0.2 AS DOUBLE)") + f"SELECT step, round(ema + {NUDGE}, 6) AS ema FROM e WHERE tag = 'train/grad_norm'")
 def ema_grad_norm(t: Tables):
     norm = trainlog.pick_series(_series(t), trainlog.PANEL_TAGS["grad_norm"])
-    return trainlog.ema(norm, alpha=trainlog.GRAD_NORM_ALPHA).select("step", F.round("ema", 6).alias("ema"))
+    return trainlog.ema(norm, alpha=trainlog.GRAD_NORM_ALPHA).select("step", F.round(F.col("ema") + NUDGE, 6).alias("ema"))
 
 
 # Sparse log entries of two overlapping runs; valid in Spark and in DuckDB.
@@ -160,7 +164,7 @@ p AS (SELECT 'train_loss' AS tag, at_step AS step, loss AS value, CAST(0.1 AS DO
 n AS (SELECT *, row_number() OVER (PARTITION BY tag ORDER BY step, value) AS rn FROM p),
 e AS (SELECT tag, step, value, alpha, rn, CASE WHEN alpha IS NOT NULL THEN value END AS ema FROM n WHERE rn = 1
   UNION ALL SELECT n.tag, n.step, n.value, n.alpha, n.rn, n.alpha * n.value + (1 - n.alpha) * e.ema FROM e JOIN n ON n.tag = e.tag AND n.rn = e.rn + 1)
-SELECT tag, step, value, round(ema, 6) AS ema FROM e"""
+SELECT tag, step, value, round(ema + 3.3e-11, 6) AS ema FROM e"""
 )
 def training_monitor(t: Tables):
     """The events as the entries of a run that goes on from an earlier one, followed as a stream; the panels after its end."""
@@ -170,7 +174,7 @@ def training_monitor(t: Tables):
     monitor = TrainingMonitor(f"{folder}/run", prior)
     monitor.start(read_stream(t.spark, f"{folder}/log", current.schema, "parquet"), f"{folder}/checkpoint").awaitTermination()
     monitor.finish()
-    return monitor.panels().select("tag", "step", "value", F.round("ema", 6).alias("ema"))
+    return monitor.panels().select("tag", "step", "value", F.round(F.col("ema") + NUDGE, 6).alias("ema"))
 
 
 @query("""

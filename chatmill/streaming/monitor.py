@@ -63,10 +63,10 @@ class SeriesCarry(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.carry = handle.getValueState("carry", "ema double, begun boolean, at long, late boolean")
         self.open = handle.getListState("open", "step long, value double")
-        self.prior = handle.getListState("prior", "step long, value double")
+        self.prior = handle.getValueState("prior", "steps array<long>, points array<double>")  # one value: read and written once a batch
 
     def handleInitialState(self, key: Any, initialState: Any, timerValues: Any) -> None:
-        self.prior.appendValue((initialState.step, initialState.value))
+        self.prior.update((list(initialState.steps), list(initialState.points)))
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         tag = key[0]
@@ -78,7 +78,7 @@ class SeriesCarry(StatefulProcessor):
         late = late or bool(behind)
         last = max([s for s, _ in new] + ([at] if at is not None else []))
         held = [tuple(r) for r in self.open.get()] if self.open.exists() else []
-        prior = sorted(tuple(r) for r in self.prior.get()) if self.prior.exists() else []
+        prior = list(zip(*self.prior.get(), strict=True)) if self.prior.exists() else []
         logged = {s for s, _ in new} | ({at} if at is not None else set())
         points = sorted(p for p in [*held, *new] if p[1] is not None)
         passed = [p for p in prior if p[0] < last and p[0] not in logged]
@@ -98,7 +98,7 @@ class SeriesCarry(StatefulProcessor):
             yield Row(tag=tag, step=step, value=value, ema=None, final=True, earlier=False, at=None)
         self.carry.update((smooth, begun, last, late))
         self.open.put(still) if still else self.open.clear()
-        self.prior.put(waiting) if waiting else self.prior.clear()
+        self.prior.update(tuple(map(list, zip(*waiting, strict=True)))) if waiting else self.prior.clear()
         for (step, value), earlier in [*((p, False) for p in still), *((p, True) for p in waiting)]:
             yield Row(tag=tag, step=step, value=value, ema=smoothed(value), final=False, earlier=earlier, at=None)
         # How far the run is; as a negative number once an entry has come behind a step that was final already.
@@ -169,7 +169,8 @@ class TrainingMonitor:
         if self.every <= 0:
             return None
         self.spark.conf.set(_STORE, _ROCKS)
-        prior = entry_series(self.prior).select("tag", "step", F.col("value").cast("double"))
+        points = F.sort_array(F.collect_list(F.struct("step", F.col("value").cast("double").alias("value"))))
+        prior = entry_series(self.prior).groupBy("tag").agg(points.alias("p")).select("tag", F.col("p.step").alias("steps"), F.col("p.value").alias("points"))
         smoothed = _marks(entries).groupBy("tag").transformWithState(SeriesCarry(), POINTS, "Append", "None", initialState=prior.groupBy("tag"))
         writer = smoothed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
         return writer.foreachBatch(self.on_points).trigger(**trigger).start()
