@@ -323,7 +323,11 @@ def score_corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", folds
 
     @F.arrow_udf(kind)
     def measure(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model, (numbers, times) = kept("suffix_tree", name, lambda: (SuffixTree.mapped(codes, mounted or SparkFiles.get(f"{name}.moves").removesuffix(".moves"), shape), known.value))
+        held_here = kept("suffix_tree", "model", dict)
+        if name not in held_here:
+            held_here.clear()  # the model of an earlier run
+            held_here[name] = SuffixTree.mapped(codes, mounted or SparkFiles.get(f"{name}.moves").removesuffix(".moves"), shape), known.value
+        model, (numbers, times) = held_here[name]
 
         def tokens(found: list[bytes]) -> tuple[int, int, float, np.ndarray]:
             own = np.append(_numbers().of(found), np.uint64(_END_NUMBER)).view(np.int64)
