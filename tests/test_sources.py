@@ -273,3 +273,23 @@ def test_checkpoint_history(spark, tmp_path):
     assert [(r.step, r.loss, r.eval_loss) for r in logs.read_checkpoint_history(spark, str(tmp_path)).collect()] == [(10, 1.5, None), (10, None, 2.0)]
     (tmp_path / "checkpoint-11").mkdir()
     assert logs.read_checkpoint_history(spark, str(tmp_path)).count() == 0
+
+
+def test_the_driver_lists_no_small_files(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / "en" / f"{i}").mkdir(parents=True)
+        (tmp_path / "en" / f"{i}" / "a.md").write_text(f"text {i}")
+        (tmp_path / "en" / f"{i}" / "a.json").write_text(f"[{i}]")
+        (tmp_path / "en" / f"{i}.md").write_text(f"text {i}")
+    (tmp_path / "en" / "empty.md").touch()
+    docs, texts = read_documents(spark, str(tmp_path / "en"))
+    pairs, rejects = read_sample_folders(spark, str(tmp_path))
+    for df in (docs, texts, pairs, rejects):
+        assert df.inputFiles() == []
+    assert docs.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert {(r.stem, r.content) for r in docs.collect()} == {(str(i), f"text {i}") for i in range(300)} and texts.count() == 0
+    assert {(r.lang, r["sample"], r.cv_text, r.json_text) for r in pairs.collect()} == {("en", str(i), f"text {i}", f"[{i}]") for i in range(300)}
+    assert rejects.count() == 0
+    assert {r.stem for r in read_documents(spark, f"{tmp_path}/e*")[0].collect()} == {str(i) for i in range(300)}
+    with pytest.raises(FileNotFoundError):
+        read_documents(spark, str(tmp_path / "none"))
