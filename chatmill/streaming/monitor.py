@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
-from typing import Any
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
+from chatmill.operators.staging import new_path
 from chatmill.operators.trainlog import ALPHA, GRAD_NORM_ALPHA, ema, entry_series, entry_step, merge_history, perplexity
 from chatmill.schemas import LOG_ENTRY
-from chatmill.sources.files import names_in, path_exists
+from chatmill.sources.files import names_in, remove
 from chatmill.sources.snapshots import note_of, point
 from chatmill.streaming.results import ONCE
 
@@ -20,8 +20,6 @@ REFRESH_STEPS = 50
 SMOOTHED = {"train_loss": ALPHA, "grad_norm": GRAD_NORM_ALPHA}
 TAGS = ("train_loss", "eval_loss", "grad_norm", "learning_rate")
 
-_STORE = "spark.sql.streaming.stateStore.providerClass"
-_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 POINTS = "tag string, step long, value double, ema double, final boolean, earlier boolean, at long"
 
 
@@ -52,68 +50,13 @@ def _marks(entries: DataFrame, *more: Column | str) -> DataFrame:
     return entries.select(entry_step().alias("step"), F.explode(points).alias("p"), *more).select("p.tag", "step", "p.value", *more)
 
 
-class SeriesCarry(StatefulProcessor):
-    """Smooths one tag's points as they come; all it keeps of the past is the smoothed value, the last step, and what may still change.
-
-    A point is final once a later step is known, since entries of one step may come in several batches. Points of the earlier run beyond the current
-    run's step wait in the state: each becomes final when the run has passed its step without an entry there, and is dropped when it has one.
-    Out come the new final points, and those that may still change as they are now.
-    """
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.carry = handle.getValueState("carry", "ema double, begun boolean, at long, late boolean")
-        self.open = handle.getListState("open", "step long, value double")
-        self.prior = handle.getValueState("prior", "steps array<long>, points array<double>")  # one value: read and written once a batch
-
-    def handleInitialState(self, key: Any, initialState: Any, timerValues: Any) -> None:
-        self.prior.update((list(initialState.steps), list(initialState.points)))
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        tag = key[0]
-        smooth, begun, at, late = self.carry.get() if self.carry.exists() else (None, False, None, False)
-        alpha = SMOOTHED.get(tag)
-        new = [(r.step, r.value) for r in rows]
-        behind = [p for p in new if at is not None and p[0] < at]
-        new = new if not behind else [p for p in new if p[0] >= at]
-        late = late or bool(behind)
-        last = max([s for s, _ in new] + ([at] if at is not None else []))
-        held = [tuple(r) for r in self.open.get()] if self.open.exists() else []
-        prior = list(zip(*self.prior.get(), strict=True)) if self.prior.exists() else []
-        logged = {s for s, _ in new} | ({at} if at is not None else set())
-        points = sorted(p for p in [*held, *new] if p[1] is not None)
-        passed = [p for p in prior if p[0] < last and p[0] not in logged]
-        waiting = [p for p in prior if p[0] > last]
-        final = sorted([*((*p, False) for p in points if p[0] < last), *((*p, True) for p in passed)])
-        still = [p for p in points if p[0] == last]
-
-        def smoothed(value: float) -> float | None:
-            nonlocal smooth, begun
-            if alpha is not None:
-                smooth, begun = (alpha * value + (1 - alpha) * smooth if begun else value), True
-            return smooth
-
-        for step, value, earlier in final:
-            yield Row(tag=tag, step=step, value=value, ema=smoothed(value), final=True, earlier=earlier, at=None)
-        for step, value in behind:
-            yield Row(tag=tag, step=step, value=value, ema=None, final=True, earlier=False, at=None)
-        self.carry.update((smooth, begun, last, late))
-        self.open.put(still) if still else self.open.clear()
-        self.prior.update(tuple(map(list, zip(*waiting, strict=True)))) if waiting else self.prior.clear()
-        for (step, value), earlier in [*((p, False) for p in still), *((p, True) for p in waiting)]:
-            yield Row(tag=tag, step=step, value=value, ema=smoothed(value), final=False, earlier=earlier, at=None)
-        # How far the run is; as a negative number once an entry has come behind a step that was final already.
-        yield Row(tag=tag, step=None, value=None, ema=None, final=False, earlier=False, at=-1 - last if late else last)
-
-    def close(self) -> None:
-        pass
-
-
 class TrainingMonitor:
     """Refreshes the panels whenever the run is `every` steps past the last refresh, and at its end.
 
-    Entries go through keyed state (SeriesCarry), so a batch costs what came with it and the earlier run's points that are not passed yet, however long the run
-    is. All of it is in `folder`: the points of each micro-batch (`points/batch=<n>`, so that a repeated batch replaces itself), and the refreshes, notes
-    that say up to which batch the panels count; readers of `panels()` find a whole table at any time.
+    A batch goes on from what the batch before it left, so it costs what came with it and the earlier run's points that are not passed yet, however long the
+    run is; a series is smoothed by many tasks, however much comes in one batch. All of it is in `folder`: the points of each micro-batch (`points/batch=<n>`,
+    so that a repeated batch replaces itself), the smoothed values after it among them, and the refreshes, notes that say up to which batch the panels count;
+    readers of `panels()` find a whole table at any time.
 
     Entries come in order of their steps, as a run logs them; in a batch any order will do. One behind a step that is past is no error: from then
     on readers smooth all points anew.
@@ -152,32 +95,75 @@ class TrainingMonitor:
         late = at["low"] is not None and at["low"] < 0
         return (-1 - at["low"] if late else at["high"]), late
 
-    def on_points(self, points: DataFrame, batch_id: int) -> None:
-        points.write.mode("overwrite").parquet(f"{self.folder}/points/batch={batch_id}")
-        step, late = self._reached(batch_id)
-        if step is None:
+    def _batches(self) -> list[int]:
+        names = names_in(self.spark, f"{self.folder}/points")
+        return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+
+    def _batch(self, batch: int) -> DataFrame:
+        return self.spark.read.schema(POINTS).parquet(f"{self.folder}/points/batch={batch}")
+
+    def _state(self, batch: int) -> tuple[DataFrame, int | None, bool, dict[str, float]]:
+        """What the batches before this one left: points that may still change, the last step, whether an entry came late, and the smoothed values."""
+        before = [b for b in self._batches() if b < batch]
+        if not before:
+            waiting = entry_series(self.prior).select("tag", "step", F.col("value").cast("double").alias("value"), F.lit(True).alias("earlier"))
+            return waiting, None, False, {}
+        left = self._batch(max(before))
+        ends = left.filter(F.col("step").isNull()).collect()
+        at = ends[0]["at"]
+        held = left.filter(F.col("step").isNotNull() & ~F.col("final")).select("tag", "step", "value", "earlier")
+        return held, -1 - at if at < 0 else at, at < 0, {r["tag"]: r["ema"] for r in ends if r["ema"] is not None}
+
+    def on_entries(self, entries: DataFrame, batch_id: int) -> None:
+        """Smooth a batch's points, going on from the smoothed values of the batch before.
+
+        A point is final once a later step is known, since entries of one step may come in several batches. Points of the earlier run beyond the current
+        run's step wait: each becomes final when the run has passed its step without an entry there, and is dropped when it has one. All are one chain in
+        the order of their steps, begun by the smoothed value before it; those that are not final come last.
+        """
+        path = new_path(self.spark, "entries")
+        entries.write.parquet(path)
+        marks = _marks(self.spark.read.schema(entries.schema).parquet(path))
+        reach = marks.agg(F.max("step").alias("high"), F.min("step").alias("low")).first()
+        if reach["high"] is None:
+            remove(self.spark, path)
             return
+        held, at, late, smooth = self._state(batch_id)
+        came_late = at is not None and reach["low"] < at
+        late = late or came_late
+        last = reach["high"] if at is None else max(reach["high"], at)
+        fresh = marks.filter(F.col("step") >= at) if came_late else marks
+        waiting = held.filter("earlier")
+        passed = waiting.filter(F.col("step") < last).join(fresh.select("step").distinct(), "step", "left_anti")
+        logged = fresh.filter(F.col("value").isNotNull()).withColumn("earlier", F.lit(False))
+        begun = self.spark.createDataFrame([(tag, None, value, False) for tag, value in smooth.items()], "tag string, step long, value double, earlier boolean")
+        series = reduce(DataFrame.unionByName, [begun, logged, held.filter(~F.col("earlier")), passed, waiting.filter(F.col("step") > last)])
+        points = _smoothed(series).filter(F.col("step").isNotNull()).withColumn("final", F.col("step") < last)
+        if came_late:
+            points = points.unionByName(marks.filter(F.col("step") < at).withColumns({"ema": F.lit(None).cast("double"), "final": F.lit(True), "earlier": F.lit(False)}))
+        columns = ["tag", "step", "value", "ema", "final", "earlier"]
+        points.select(*columns, F.lit(None).cast("long").alias("at")).write.mode("overwrite").parquet(f"{self.folder}/points/batch={batch_id}")
+        remove(self.spark, path)
+
+        # Of equal points the later one's smoothed value is nearer to the value.
+        along = F.struct("step", "value", -F.abs(F.col("ema") - F.col("value")))
+        smooth |= {r["tag"]: r["ema"] for r in self._batch(batch_id).filter(F.col("final") & F.col("ema").isNotNull()).groupBy("tag").agg(F.max_by("ema", along).alias("ema")).collect()}
+        # How far the run is; as a negative number once an entry has come behind a step that was final already.
+        ends = [(tag, None, None, smooth.get(tag), False, False, -1 - last if late else last) for tag in TAGS]
+        self.spark.createDataFrame(ends, POINTS).coalesce(1).write.mode("append").parquet(f"{self.folder}/points/batch={batch_id}")
         note = self._note()
-        if step - note["step"] >= self.every:
-            self.refresh(step, batch_id, late or note["late"])
+        if last - note["step"] >= self.every:
+            self.refresh(last, batch_id, late or note["late"])
 
     def start(self, entries: DataFrame, checkpoint: str, trigger: dict = ONCE) -> StreamingQuery | None:
-        """Follow a stream of log entries, with a `trigger` as results.ONCE has it; None (no monitor) if `every` is not positive.
-
-        Keeps its state in RocksDB, which the session is set to.
-        """
+        """Follow a stream of log entries, with a `trigger` as results.ONCE has it; None (no monitor) if `every` is not positive."""
         if self.every <= 0:
             return None
-        self.spark.conf.set(_STORE, _ROCKS)
-        points = F.sort_array(F.collect_list(F.struct("step", F.col("value").cast("double").alias("value"))))
-        prior = entry_series(self.prior).groupBy("tag").agg(points.alias("p")).select("tag", F.col("p.step").alias("steps"), F.col("p.value").alias("points"))
-        smoothed = _marks(entries).groupBy("tag").transformWithState(SeriesCarry(), POINTS, "Append", "None", initialState=prior.groupBy("tag"))
-        writer = smoothed.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-        return writer.foreachBatch(self.on_points).trigger(**trigger).start()
+        return entries.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.on_entries).trigger(**trigger).start()
 
     def finish(self) -> None:
         """The refresh at the end of training."""
-        batches = [int(n.removeprefix("batch=")) for n in names_in(self.spark, f"{self.folder}/points") if n.startswith("batch=")] if path_exists(self.spark, f"{self.folder}/points") else []
+        batches = self._batches()
         if batches:
             step, late = self._reached(max(batches))
             note = self._note()

@@ -227,3 +227,17 @@ def test_monitor_equals_smoothing_the_merged_history(spark, tmp_path, late):
     same_points(monitor.panels(), panel_table(before, spark.createDataFrame(seen, LOG_ENTRY)))
     # What a batch writes depends on the batch and on what it has passed, not on how long the run is.
     assert spark.read.parquet(str(tmp_path / "run" / "points" / "batch=4")).count() < 4 * 4 + 4 * len(prior)
+
+
+def test_a_batch_is_smoothed_without_a_task_per_series(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    prior = spark.createDataFrame([(s, None, 5.0 + s % 7, None, 1.0, None) for s in range(0, 900, 3)], LOG_ENTRY)
+    rows = [(s, None, s % 11 / 8, s % 5 / 4, 0.5, None) for s in range(1, 600, 2)] * 2
+    (tmp_path / "in" / "0.json").write_text("".join(json.dumps(dict(zip(LOG_ENTRY.fieldNames(), r, strict=True))) + "\n" for r in rows))
+    monitor = TrainingMonitor(str(tmp_path / "run"), prior)
+    query = monitor.start(read_stream(spark, str(tmp_path / "in"), LOG_ENTRY), str(tmp_path / "cp"))
+    query.awaitTermination()
+    # No keyed state, in which a series would be one key of one task.
+    assert query.lastProgress["stateOperators"] == []
+    monitor.finish()
+    same_points(monitor.panels(), panel_table(prior, spark.createDataFrame(rows, LOG_ENTRY)))
