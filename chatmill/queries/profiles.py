@@ -16,6 +16,7 @@ from chatmill.operators.augment import with_variants
 from chatmill.operators.pairing import pair_folders
 from chatmill.operators.report import field_table, profile_summary
 from chatmill.operators.split import with_split
+from chatmill.operators.staging import spread
 from chatmill.plans.profiles import folder_tasks, valid_samples, variant_records
 from chatmill.queries.registry import Tables, query
 from chatmill.schemas import PROFILE_FIELDS
@@ -69,7 +70,7 @@ BASE_SQL = f"FROM (SELECT *, {TARGET_SQL} AS target FROM customer JOIN nation ON
 
 
 def _customers(t: Tables, **texts: str) -> DataFrame:
-    rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = spread(t.customer).join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     rows = rows.withColumn("target", F.expr(TARGET_SQL))
     return rows.select("c_custkey", "c_nationkey", "c_mktsegment", *[F.expr(sql).alias(name) for name, sql in texts.items()])
 
@@ -131,7 +132,7 @@ w AS (SELECT *, CASE WHEN variant = 0 THEN {NAMES!r} ELSE mixed END AS field_ord
 
 @query(f"WITH {ORDER_SQL} SELECT c_custkey, variant, array_to_string(field_order, ',') AS field_order, date_fmt FROM w")
 def augment_fields(t: Tables):
-    rows = with_variants(t.customer.select("c_custkey"), "c_custkey", 3, 42)
+    rows = with_variants(spread(t.customer.select("c_custkey")), "c_custkey", 3, 42)
     return rows.select("c_custkey", "variant", F.array_join("field_order", ",").alias("field_order"), "date_fmt")
 
 
@@ -143,7 +144,7 @@ SELECT c_custkey, split, unnest(range(CASE split WHEN 'train' THEN 3 ELSE 1 END)
   FROM customer JOIN r ON c_nationkey = grp)
 """)
 def augment_train_only(t: Tables):
-    rows = with_split(t.customer.select("c_custkey", "c_nationkey"), "c_nationkey", 0.3, 42)
+    rows = with_split(spread(t.customer.select("c_custkey", "c_nationkey")), "c_nationkey", 0.3, 42)
     rows = with_variants(rows, "c_custkey", F.when(F.col("split") == "train", 2).otherwise(0), 42)
     return rows.select("c_custkey", "split", "variant")
 
@@ -161,7 +162,7 @@ PROMPT_SQL = f"""replace({_sql_text(_WORDING.intro)} || chr(10) || chr(10)
 
 @query(f"WITH {ORDER_SQL} SELECT c_custkey, variant, {PROMPT_SQL} AS prompt FROM w")
 def schema_prompt(t: Tables):
-    rows = with_variants(t.customer.select("c_custkey"), "c_custkey", 3, 42)
+    rows = with_variants(spread(t.customer.select("c_custkey")), "c_custkey", 3, 42)
     return rows.select("c_custkey", "variant", prompt_column(F.col("field_order"), F.col("date_fmt")).alias("prompt"))
 
 
