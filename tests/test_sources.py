@@ -293,3 +293,11 @@ def test_the_driver_lists_no_small_files(spark, tmp_path):
     assert {r.stem for r in read_documents(spark, f"{tmp_path}/e*")[0].collect()} == {str(i) for i in range(300)}
     with pytest.raises(FileNotFoundError):
         read_documents(spark, str(tmp_path / "none"))
+
+
+def test_an_empty_side_is_found_before_the_other_is_made(spark, jsonl_file, tmp_path):
+    records = jsonl.read_conversations(spark, jsonl_file)
+    made = records.withColumn("conversations", F.when(F.raise_error(F.lit("made")).isNull(), F.col("conversations")))
+    with pytest.raises(ValueError, match="nothing is written"):
+        sinks.write_split(made, records.limit(0), str(tmp_path / "train.jsonl"))
+    assert not [p for p in os.listdir(tmp_path) if "train" in p]
