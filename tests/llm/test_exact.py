@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chatmill.llm import mixing, suffix_tree
-from chatmill.llm.caps import Filters, near_vectors
+from chatmill.llm.caps import Filters, between, near_vectors, sketches
 from chatmill.llm.components import components
 from chatmill.llm.feistel import permute
 from chatmill.llm.minhash import band_keys, drop_near_duplicates, forest, linked_members, near_duplicates
@@ -23,6 +23,7 @@ from chatmill.llm.projected import chi_square_limit, nearest
 from chatmill.llm.secret_scan import SENSITIVE, Meter, Novelty, base_spans, novel_spans, with_secrets
 from chatmill.llm.shingles import WordNumbers, shingle_set, words_of
 from chatmill.llm.toxicity import Lexicon, fold, learn_lexicon, matcher, score_toxicity
+from chatmill.llm.vectors import directions
 
 
 def roots(ids, links):
@@ -331,6 +332,57 @@ def test_near_vectors(spark, clouds, monkeypatch, block):
     assert got == {i: (int(linked[i].sum()), want[i]) for i in range(len(clouds))}
 
 
+@pytest.fixture(scope="module")
+def ties():
+    """Groups whose pairs all have about the same cosine: a little above 0.95, a little below it, well above it."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for share, n in ((0.95 + 1e-6, 30), (0.95 - 1e-6, 20), (0.95 + 1e-3, 25), (0.99, 30)):
+        basis, _ = np.linalg.qr(rng.standard_normal((32, 32)))
+        rows += [math.sqrt(share) * basis[0] + math.sqrt(1 - share) * basis[1 + k] for k in range(n)]
+    rows += [-rows[3]] * 3 + [rows[7] * 3.0] * 2
+    return [(i, [float(x) for x in v]) for i, v in enumerate(rows)]
+
+
+@pytest.mark.parametrize(("links", "block"), [(0, 1024), (0, 16), (1, 16), (3, 1024), (1000, 16)])
+def test_near_vectors_few_and_many_links(spark, ties, monkeypatch, links, block):
+    import chatmill.llm.caps as caps
+
+    monkeypatch.setattr(caps, "LINKS", links)
+    monkeypatch.setattr(caps, "BLOCK", block)
+    cosines = brute_cosines(ties)
+    linked = (cosines >= 0.95) & ~np.eye(len(ties), dtype=bool)
+    want = roots(range(len(ties)), np.argwhere(linked).tolist())
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(ties, "vec_id long, embedding array<double>")).collect()}
+    assert got == {i: (int(linked[i].sum()), want[i]) for i in range(len(ties))}
+
+
+def test_members_go_to_filters_in_a_byte_for_each_component(spark, monkeypatch):
+    import chatmill.llm.caps as caps
+
+    sent = []
+    met = caps._in_blocks
+    monkeypatch.setattr(caps, "_in_blocks", lambda rows, buckets: sent.append(met(rows, buckets)) or sent[-1])
+    rng = np.random.default_rng(9)
+    rows = [(3 * i + j, [float(x) for x in centre + j * 0.1 * rng.standard_normal(64)]) for i, centre in enumerate(rng.standard_normal((100, 64))) for j in range(3)]
+    assert all(r.n_links == 2 for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert len(sent) == 1 and sent[0].count() > 10 * len(rows)
+    longs, others = [[n for n, kind in sent[0].dtypes if (kind == "bigint") == is_long] for is_long in (True, False)]
+    assert sorted(longs) == ["bucket", "i", "id", "j", "side"] and others == ["sketch"]
+    assert sent[0].select(F.max(F.octet_length("sketch"))).first()[0] == 64 + 8
+
+
+@pytest.mark.parametrize("width", [1, 2])
+def test_inner_products_of_sketches_are_within_their_error(width):
+    rng = np.random.default_rng(10)
+    for size in (1, 2, 7, 64, 1500):
+        units = directions(rng.standard_normal((60, size)) ** rng.choice([1, 3, 9], (60, 1)))
+        short = sketches(units, width)
+        assert short.itemsize == width * size + 8
+        cosine, error = between(short, short)
+        assert (np.abs(cosine - units @ units.T) <= error).all() and error.max() < (0.2 if width == 1 else 1e-3)
+
+
 def test_filters_list_all_directions_beyond_the_limit():
     filters = Filters.fit(5000, 24)
     codes = filters.codes()
