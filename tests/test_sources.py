@@ -1,5 +1,7 @@
 import json
 import os
+from hashlib import md5
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -301,3 +303,27 @@ def test_an_empty_side_is_found_before_the_other_is_made(spark, jsonl_file, tmp_
     with pytest.raises(ValueError, match="nothing is written"):
         sinks.write_split(made, records.limit(0), str(tmp_path / "train.jsonl"))
     assert not [p for p in os.listdir(tmp_path) if "train" in p]
+
+
+def test_a_large_table_of_samples_is_never_on_disk_as_a_whole(spark, tmp_path, monkeypatch):
+    from chatmill.queries import QUERIES, files
+    from chatmill.sources.files import mounted_path
+
+    # One row twice, one without a key: its files lie in no folder of a sample.
+    ids = [*range(1, 121), 7, None]
+    rows = [(i, f" text {i}\r\nend ", None if i is None or i % 5 == 0 else ("de", "en", "fr")[i % 3]) for i in ids]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    shared = Path(mounted_path(spark.conf.get("spark.checkpoint.dir")))
+    held = []
+
+    def read(session, root):
+        held.append(len([p for p in shared.glob("chatmill/*/samples-*/*/*/*") if p.stat().st_size]))
+        return read_sample_folders(session, root)
+
+    monkeypatch.setattr(files, "read_sample_folders", read)
+    monkeypatch.setattr(files, "TREE_BYTES", 512 << 10, raising=False)
+    got = QUERIES["folder_samples"](spark, str(tmp_path)).collect()
+    expected = {("de" if lang == "de" else "en", str(i), md5(f"text {i}\nend".encode()).hexdigest(), f'{{"id": {i}}}') for i, _, lang in rows if i and i % 11 != 3}
+    assert sorted(map(tuple, got)) == sorted(expected)
+    assert sum(held) == 3 * 120 - len([i for i in range(1, 121) if i % 11 == 3]) and max(held) < sum(held) / 2
+    assert not [p for p in shared.glob("chatmill/*/samples-*/*/*/*") if p.stat().st_size]
